@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["profiling"]
+AREAS = ["profiling", "preparing", "clusters"]
 
 
 def _load():
