@@ -100,4 +100,5 @@ def union_all(parts: list[str]) -> str:
 
 def hash_sql(key: str, seed: int = 42) -> str:
     """The pseudo-random row order, as SQL."""
-    return f"(((({key}) % 2147483647) * 48271 + {seed * 7919}) % 2147483647)"
+    first = f"(((({key}) % 2147483647) * 1583458089 + {seed * 1103515245 % 2147483647}) % 2147483647)"
+    return f"((xor({first}, {first} >> 15) * 742938285) % 2147483647)"

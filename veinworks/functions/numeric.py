@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 MICROS_PER_DAY = 86_400_000_000
 # Multiplicative congruence used for reproducible pseudo-random order.
 HASH_PRIME = 2_147_483_647
-HASH_MULTIPLIER = 48_271
-HASH_SEED_STEP = 7_919
+HASH_MULTIPLIER = 1_583_458_089
+HASH_SECOND = 742_938_285
+HASH_SEED_STEP = 1_103_515_245
 
 
 def is_numeric(field: T.StructField) -> bool:
@@ -130,5 +131,7 @@ def hash_order(row_id: Column | str, seed: int = 42) -> Column:
     the prime) are broken by the row id wherever the order is used.
     """
     key = F.col(row_id) if isinstance(row_id, str) else row_id
-    reduced = F.pmod(key.cast("long"), F.lit(HASH_PRIME))
-    return F.pmod(reduced * F.lit(HASH_MULTIPLIER) + F.lit(seed * HASH_SEED_STEP), F.lit(HASH_PRIME))
+    start = F.lit(seed * HASH_SEED_STEP % HASH_PRIME)
+    first = F.pmod(F.pmod(key.cast("long"), F.lit(HASH_PRIME)) * F.lit(HASH_MULTIPLIER) + start, F.lit(HASH_PRIME))
+    mixed = first.bitwiseXOR(F.shiftright(first, 15))
+    return F.pmod(mixed * F.lit(HASH_SECOND), F.lit(HASH_PRIME))

@@ -19,7 +19,7 @@ from veinworks.operators.neighbors import neighbor_distance_range
 from veinworks.operators.quantiles import box_statistics, exact_quantiles, medians
 from veinworks.operators.ranking import best_row, elbow
 from veinworks.operators.scaling import rescaled_over_groups, standardise, standardise_if_wide
-from veinworks.operators.silhouette import clustering_scores, mean_silhouette, silhouette_samples
+from veinworks.operators.silhouette import clustering_scores, mean_silhouettes, silhouette_samples
 from veinworks.session import durable, from_rows
 
 # Seed and number of starts of k-means, share of rows per cluster
@@ -37,6 +37,7 @@ DASHBOARD_FEATURES = 8
 BOX_FEATURES = 10
 
 MICRO_CLUSTERS = 500
+PARALLEL_FITS = 8
 SWEEP_SCHEMA = "method string, n_clusters int, silhouette double, inertia double"
 
 
@@ -45,21 +46,33 @@ def with_vectors(df: DataFrame, cols: Sequence[str], output: str = "features") -
     return VectorAssembler(inputCols=list(cols), outputCol=output).transform(doubles)
 
 
-def fit_kmeans(
-    df: DataFrame, cols: Sequence[str], k: int, seed: int = SEED, starts: int = STARTS, max_iter: int = 300
-) -> tuple[KMeansModel, float]:
-    """The cheapest of several seeded starts, with its cost. Starts run side by side."""
+def fit_kmeans_many(
+    df: DataFrame, cols: Sequence[str], starts: dict[int, int], seed: int = SEED, max_iter: int = 300
+) -> dict[int, tuple[KMeansModel, float]]:
+    """Per k the cheapest of several seeded starts, with its cost.
+
+    All fits read the same cached vectors and run side by side.
+    """
     vectors = with_vectors(df, cols).select("features").persist()
     try:
-        def run(i: int):
-            model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-4, initMode="k-means||").fit(vectors)
-            return model, model.summary.trainingCost
-
-        with ThreadPoolExecutor(max_workers=min(starts, 4)) as pool:
-            runs = list(pool.map(run, range(starts)))
+        def run(task: tuple[int, int]):
+            k, i = task
+            model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-4).fit(vectors)
+            return k, model, float(model.summary.trainingCost)
+
+        vectors.count()
+        tasks = [(k, i) for k, n in starts.items() for i in range(n)]
+        with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
+            runs = list(pool.map(run, tasks))
     finally:
         vectors.unpersist()
-    return min(runs, key=lambda pair: pair[1])
+    return {k: min(((m, c) for kk, m, c in runs if kk == k), key=lambda pair: pair[1]) for k in starts}
+
+
+def fit_kmeans(
+    df: DataFrame, cols: Sequence[str], k: int, seed: int = SEED, starts: int = STARTS, max_iter: int = 300
+) -> tuple[KMeansModel, float]:
+    return fit_kmeans_many(df, cols, {k: starts}, seed, max_iter)[k]
 
 
 def assign_kmeans(df: DataFrame, cols: Sequence[str], model: KMeansModel, row_id: str = "row_id") -> DataFrame:
@@ -101,27 +114,34 @@ def kmeans_sweep(
     ks = cluster_counts_to_try(k_range, df.count()) if limit_k else list(range(k_range[0], k_range[1] + 1))
     if not ks:
         raise ValueError("too few rows for two clusters")
-    rows, runs = [], {}
+    fitted = fit_kmeans_many(df, cols, {k: starts for k in ks})
+    scored = with_vectors(df, cols)
     for k in ks:
-        model, cost = fit_kmeans(df, cols, k, starts=starts)
-        labels = durable(assign_kmeans(df, cols, model, row_id))
-        score = mean_silhouette(df.join(labels, row_id), cols, row_id=row_id)
-        runs[k] = (model, labels)
-        rows.append(("kmeans", k, score, float(cost)))
-    return _choose(df.sparkSession, rows, runs)
+        scored = fitted[k][0].setPredictionCol(f"k{k}").transform(scored)
+    labels = durable(scored.select(row_id, *[F.col(f"k{k}").cast("long") for k in ks]))
+    return _choose(df, cols, row_id, "kmeans", ks, labels, {k: fitted[k][0] for k in ks}, {k: fitted[k][1] for k in ks})
 
 
-def _choose(spark, rows, runs):
-    sweep = from_rows(spark, rows, SWEEP_SCHEMA)
+def _choose(df, cols, row_id, method, ks, labels, models, costs):
+    """Silhouettes of all k in one pass over labels kept side by side; then the best k."""
+    settings = F.array(*[F.struct(F.lit(f"k{k}").alias("setting"), F.col(f"k{k}").alias("label")) for k in ks])
+    scores = mean_silhouettes(df, labels.select(row_id, F.inline(settings)), cols, row_id)
+    rows = [(method, k, scores.get(f"k{k}"), costs.get(k)) for k in ks]
+    sweep = from_rows(df.sparkSession, rows, SWEEP_SCHEMA)
     scored = [r for r in rows if r[2] is not None]
     if scored:
-        k = max(scored, key=lambda r: (r[2], -r[1]))[1]
+        best = max(scored, key=lambda r: (r[2], -r[1]))[1]
     else:
-        inertias = from_rows(spark, [(r[1], r[3]) for r in rows if r[3] is not None], "k int, inertia double")
+        inertias = from_rows(df.sparkSession, [(k, c) for k, c in costs.items()], "k int, inertia double")
         found = elbow(inertias).first()
-        k = found["k"] if found else rows[0][1]
-    score = next(r[2] for r in rows if r[1] == k)
-    return {"sweep": sweep, "model": runs[k][0], "labels": runs[k][1], "n_clusters": k, "silhouette": score}
+        best = found["k"] if found else ks[0]
+    return {
+        "sweep": sweep,
+        "model": models.get(best),
+        "labels": labels.select(row_id, F.col(f"k{best}").alias("prediction")),
+        "n_clusters": best,
+        "silhouette": scores.get(f"k{best}"),
+    }
 
 
 def merge_order(centers: np.ndarray, sizes: np.ndarray, linkage: str = "ward") -> list[tuple[int, int]]:
@@ -213,9 +233,16 @@ def hierarchical_labels(
 
 
 def _cut_labels(rows, merges, n, k, row_id):
-    groups = cut_tree(merges, n, k)
-    table = rows.sparkSession.createDataFrame([(i, int(g)) for i, g in enumerate(groups)], "micro int, prediction long")
-    return rows.join(F.broadcast(table), "micro").select(row_id, "prediction")
+    return _cuts(rows, merges, n, [k]).select(row_id, F.col(f"k{k}").alias("prediction"))
+
+
+def _cuts(rows, merges, n, ks):
+    """Micro-cluster numbers replaced by the group numbers of every cut (a small table)."""
+    groups = [cut_tree(merges, n, k) for k in ks]
+    table = rows.sparkSession.createDataFrame(
+        [(i, *[int(g[i]) for g in groups]) for i in range(n)], "micro int, " + ", ".join(f"k{k} long" for k in ks)
+    )
+    return rows.join(F.broadcast(table), "micro").drop("micro")
 
 
 def hierarchical_sweep(
@@ -228,17 +255,9 @@ def hierarchical_sweep(
         raise ValueError("too few rows for two clusters")
     rows, centers, sizes = micro_clusters(df, cols, row_id, most)
     merges = merge_order(centers, sizes, linkage)
-    out, runs = [], {}
-    for k in ks:
-        labels = durable(_cut_labels(rows, merges, len(sizes), k, row_id))
-        score = mean_silhouette(df.join(labels, row_id), cols, row_id=row_id)
-        runs[k] = (merges, labels)
-        out.append(("hierarchical", k, score, None))
-    if all(r[2] is None for r in out):
-        k = ks[0]
-        return {"sweep": from_rows(df.sparkSession, out, SWEEP_SCHEMA), "model": merges, "labels": runs[k][1],
-                "n_clusters": k, "silhouette": None}
-    return _choose(df.sparkSession, out, runs)
+    labels = durable(_cuts(rows, merges, len(sizes), ks))
+    found = _choose(df, cols, row_id, "hierarchical", ks, labels, {}, {})
+    return {**found, "model": merges}
 
 
 def run_clustering(

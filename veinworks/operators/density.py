@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -19,7 +20,7 @@ from veinworks.operators.correlation import correlations
 from veinworks.operators.graph import connected_components
 from veinworks.operators.neighbors import around
 from veinworks.operators.ranking import best_row, valid_settings
-from veinworks.operators.silhouette import mean_silhouette
+from veinworks.operators.silhouette import mean_silhouettes
 from veinworks.session import durable, from_rows
 
 NOISE = -1
@@ -103,23 +104,24 @@ class _Space:
         return q.join(d, [*self.marks, "salt"])
 
 
-def core_points(space: _Space, min_samples: int) -> DataFrame:
-    """Points with at least ``min_samples`` rows (themselves included) within eps."""
+def reaches(space: _Space, most: int) -> DataFrame:
+    """Points with the rows in their cell and, where the cell holds fewer than
+    ``most`` rows, the rows within eps. Serves every ``min_samples`` up to ``most``."""
     cells = space.points.groupBy("cell").agg(F.sum("weight").alias("cell_weight"))
     staged = space.points.join(cells, "cell")
-    dense = staged.where(F.col("cell_weight") >= min_samples).drop("cell_weight")
-    sparse = staged.where(F.col("cell_weight") < min_samples).drop("cell_weight")
-    asking = sparse.select("point", *space.coords, *space.marks)
+    asking = staged.where(F.col("cell_weight") < most).select("point", *space.coords, *space.marks)
     data = space.points.select("point", "weight", *space.coords, *space.marks)
     counted = (
         space.meet(asking, data)
         .where(_near([f"q_{x}" for x in space.coords], space.coords, space.eps))
         .groupBy(F.col("q_point").alias("point"))
         .agg(F.sum("weight").alias("reach"))
-        .where(F.col("reach") >= min_samples)
-        .select("point")
     )
-    return dense.unionByName(sparse.join(counted, "point"))
+    return durable(staged.join(counted, "point", "left"))
+
+
+def is_core(min_samples: int) -> Column:
+    return F.greatest("cell_weight", F.coalesce("reach", F.lit(0))) >= min_samples
 
 
 def _cell_components(space: _Space, core: DataFrame) -> DataFrame:
@@ -153,7 +155,7 @@ def _cell_components(space: _Space, core: DataFrame) -> DataFrame:
     )
     nodes = cells.select(F.col("point").alias("node"))
     rough = connected_components(nodes, first)
-    placed = durable(cells.drop("ends").join(rough.withColumnRenamed("node", "point"), "point"))
+    placed = cells.drop("ends").join(rough.withColumnRenamed("node", "point"), "point")
 
     # Then all core rows, but only between components, and only where the
     # bounding boxes of two cells leave room for a pair within eps.
@@ -175,34 +177,31 @@ def _cell_components(space: _Space, core: DataFrame) -> DataFrame:
         apart = F.greatest(F.col(f"a_lo_{x}") - F.col(f"b_hi_{x}"), F.col(f"b_lo_{x}") - F.col(f"a_hi_{x}"), F.lit(0.0))
         gap = apart * apart if gap is None else gap + apart * apart
     reach = space.eps * space.eps * (1 + 1e-9)
-    open_pairs = durable(near_cells.join(left, "a").join(right, "b").where(gap <= reach))
-    if open_pairs.isEmpty():
-        final = rough
-    else:
-        inner = members.select("node", *space.coords)
-        to_box = None
-        for x in space.coords:
-            apart = F.greatest(F.col(f"b_lo_{x}") - F.col(x), F.col(x) - F.col(f"b_hi_{x}"), F.lit(0.0))
-            to_box = apart * apart if to_box is None else to_box + apart * apart
-        edge_side = open_pairs.join(inner.withColumnRenamed("node", "a"), "a").where(to_box <= reach)
-        edge_side = edge_side.select("a", "b", *[F.col(x).alias(f"q_{x}") for x in space.coords])
-        second = (
-            edge_side.join(inner.withColumnRenamed("node", "b"), "b")
-            .where(_near([f"q_{x}" for x in space.coords], space.coords, space.eps))
-            .select("a", "b")
-            .distinct()
-        )
-        home = placed.select("point", "component")
-        links = (
-            second.join(home.select(F.col("point").alias("a"), F.col("component").alias("ca")), "a")
-            .join(home.select(F.col("point").alias("b"), F.col("component").alias("cb")), "b")
-            .select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        )
-        roots = rough.select(F.col("component").alias("node")).distinct()
-        merged = connected_components(roots, links)
-        final = rough.withColumnRenamed("component", "_root").join(
-            merged.withColumnRenamed("node", "_root"), "_root"
-        ).select("node", "component")
+    open_pairs = near_cells.join(left, "a").join(right, "b").where(gap <= reach)
+    inner = members.select("node", *space.coords)
+    to_box = None
+    for x in space.coords:
+        apart = F.greatest(F.col(f"b_lo_{x}") - F.col(x), F.col(x) - F.col(f"b_hi_{x}"), F.lit(0.0))
+        to_box = apart * apart if to_box is None else to_box + apart * apart
+    edge_side = open_pairs.join(inner.withColumnRenamed("node", "a"), "a").where(to_box <= reach)
+    edge_side = edge_side.select("a", "b", *[F.col(x).alias(f"q_{x}") for x in space.coords])
+    second = (
+        edge_side.join(inner.withColumnRenamed("node", "b"), "b")
+        .where(_near([f"q_{x}" for x in space.coords], space.coords, space.eps))
+        .select("a", "b")
+        .distinct()
+    )
+    home = placed.select("point", "component")
+    links = (
+        second.join(home.select(F.col("point").alias("a"), F.col("component").alias("ca")), "a")
+        .join(home.select(F.col("point").alias("b"), F.col("component").alias("cb")), "b")
+        .select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    )
+    roots = rough.select(F.col("component").alias("node")).distinct()
+    merged = connected_components(roots, links)
+    final = rough.withColumnRenamed("component", "_root").join(
+        merged.withColumnRenamed("node", "_root"), "_root"
+    ).select("node", "component")
     return cells.select("cell", F.col("point").alias("node")).join(final, "node").select("cell", F.col("component").alias("cluster"))
 
 
@@ -216,10 +215,13 @@ def dbscan(
     counts the row itself.
     """
     space = _Space(df, cols, eps, row_id)
-    core = durable(core_points(space, min_samples))
-    cluster_of_cell = _cell_components(space, core)
-    core_named = durable(core.join(cluster_of_cell, "cell"))
-    others = space.points.join(core.select("point"), "point", "left_anti")
+    return _labels(space, reaches(space, min_samples), min_samples, row_id)
+
+
+def _labels(space: _Space, reached: DataFrame, min_samples: int, row_id: str) -> DataFrame:
+    core = reached.where(is_core(min_samples)).drop("cell_weight", "reach")
+    others = reached.where(~is_core(min_samples))
+    core_named = core.join(_cell_components(space, core), "cell")
     border = (
         space.meet(
             others.select("point", *space.coords, *space.marks),
@@ -251,21 +253,79 @@ def noise_and_clusters(labels: DataFrame, label: str = "prediction") -> DataFram
     )
 
 
-def _score_setting(df, cols, eps, min_samples, row_id, with_noise_only_if_none):
-    labels = durable(dbscan(df, cols, eps, min_samples, row_id))
-    row = noise_and_clusters(labels).first()
-    n_clusters, n_noise = row["n_clusters"], row["n_noise"]
-    score = None
-    joined = df.join(labels.select(row_id, "prediction"), row_id)
-    if n_clusters > 1:
-        if with_noise_only_if_none:
-            score = mean_silhouette(joined, cols, row_id=row_id) if n_noise == 0 else None
-        elif row["n_rows"] - n_noise > n_clusters:
-            score = mean_silhouette(joined.where(F.col("prediction") != NOISE), cols, row_id=row_id)
-    return labels, n_clusters, n_noise, score
+SWEEP_SCHEMA = "method string, eps double, min_samples int, n_clusters long, n_noise long, silhouette double"
 
 
-SWEEP_SCHEMA = "method string, eps double, min_samples int, n_clusters long, n_noise long, silhouette double"
+def dbscan_settings(
+    df: DataFrame, cols: Sequence[str], eps_values: Sequence[float], min_samples: Sequence[int], row_id: str = "row_id"
+) -> DataFrame:
+    """(row_id, setting, eps, min_samples, label) for every combination, written once.
+
+    Neighbour counts are shared by all ``min_samples`` of an eps, and different
+    eps run side by side.
+    """
+    points = df.select(row_id, *[F.col(f"`{c}`") for c in cols]).persist()
+
+    def run(eps: float) -> list[DataFrame]:
+        space = _Space(points, cols, eps, row_id)
+        reached = reaches(space, max(min_samples))
+        return [
+            _labels(space, reached, m, row_id).select(
+                row_id,
+                F.lit(setting_name(eps, m)).alias("setting"),
+                F.lit(float(eps)).alias("eps"),
+                F.lit(int(m)).alias("min_samples"),
+                F.col("prediction").alias("label"),
+            )
+            for m in min_samples
+        ]
+
+    try:
+        with ThreadPoolExecutor(max_workers=min(len(eps_values), 8)) as pool:
+            parts = [part for found in pool.map(run, eps_values) for part in found]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return durable(out)
+    finally:
+        points.unpersist()
+
+
+def setting_name(eps: float, min_samples: int) -> str:
+    return f"{float(eps)!r}/{int(min_samples)}"
+
+
+def _sweep(df, labels, cols, row_id, only_without_noise: bool) -> list[tuple]:
+    """Counts of all settings in one aggregation, silhouettes of the scorable ones in one pass."""
+    sizes = labels.groupBy("setting", "eps", "min_samples", "label").agg(F.count(F.lit(1)).alias("n"))
+    counts = (
+        sizes.groupBy("setting", "eps", "min_samples")
+        .agg(
+            F.sum("n").alias("n_rows"),
+            F.count_if(F.col("label") != NOISE).alias("n_clusters"),
+            F.coalesce(F.sum(F.when(F.col("label") == NOISE, F.col("n"))), F.lit(0)).alias("n_noise"),
+        )
+        .orderBy("eps", "min_samples")
+        .collect()
+    )
+    fit = [
+        r["setting"]
+        for r in counts
+        if r["n_clusters"] > 1
+        and (r["n_noise"] == 0 if only_without_noise else r["n_rows"] - r["n_noise"] > r["n_clusters"])
+    ]
+    scores = {}
+    if fit:
+        scorable = labels.where(F.col("setting").isin(fit) & (F.col("label") != NOISE))
+        scores = mean_silhouettes(df, scorable.select(row_id, "setting", "label"), cols, row_id)
+    return [
+        ("dbscan", r["eps"], r["min_samples"], r["n_clusters"], r["n_noise"], scores.get(r["setting"])) for r in counts
+    ]
+
+
+def _labels_of(labels: DataFrame, eps: float, min_samples: int, row_id: str) -> DataFrame:
+    chosen = labels.where(F.col("setting") == setting_name(eps, min_samples))
+    return chosen.select(row_id, F.col("label").alias("prediction"))
 
 
 def dbscan_grid(
@@ -280,24 +340,19 @@ def dbscan_grid(
     Returns the sweep table, the valid settings, the chosen setting and its
     labels. Without a valid setting the defaults (0.5, 5) are used.
     """
-    spark, rows, runs = df.sparkSession, [], {}
-    n_rows = df.count()
-    for eps in linspace(*eps_range):
-        for m in linspace(*min_samples_range, integer=True):
-            labels, k, noise, score = _score_setting(df, cols, eps, m, row_id, False)
-            runs[eps, m] = labels
-            rows.append(("dbscan", float(eps), int(m), k, noise, score))
-    sweep = from_rows(spark, rows, SWEEP_SCHEMA)
-    valid = valid_settings(sweep, n_rows)
+    labels = dbscan_settings(df, cols, linspace(*eps_range), linspace(*min_samples_range, integer=True), row_id)
+    sweep = from_rows(df.sparkSession, _sweep(df, labels, cols, row_id, False), SWEEP_SCHEMA)
+    valid = valid_settings(sweep, df.count())
     best = best_row(valid, "silhouette", ["eps", "min_samples"]).first()
-    if best is not None:
-        setting, labels, k, score = (best["eps"], best["min_samples"]), None, best["n_clusters"], best["silhouette"]
-        labels = runs[setting]
-    else:
-        setting, score = (DEFAULT_EPS, DEFAULT_MIN_SAMPLES), None
-        labels = durable(dbscan(df, cols, *setting, row_id))
-        k = noise_and_clusters(labels).first()["n_clusters"]
-    return {"sweep": sweep, "valid": valid, "setting": setting, "labels": labels, "n_clusters": k, "silhouette": score}
+    if best is None:
+        labels = dbscan_settings(df, cols, [DEFAULT_EPS], [DEFAULT_MIN_SAMPLES], row_id)
+        found = _labels_of(labels, DEFAULT_EPS, DEFAULT_MIN_SAMPLES, row_id)
+        k = noise_and_clusters(found).first()["n_clusters"]
+        return {"sweep": sweep, "valid": valid, "setting": (DEFAULT_EPS, DEFAULT_MIN_SAMPLES), "labels": found,
+                "n_clusters": k, "silhouette": None}
+    setting = (best["eps"], best["min_samples"])
+    return {"sweep": sweep, "valid": valid, "setting": setting, "labels": _labels_of(labels, *setting, row_id),
+            "n_clusters": best["n_clusters"], "silhouette": best["silhouette"]}
 
 
 def dbscan_eps_sweep(
@@ -308,17 +363,14 @@ def dbscan_eps_sweep(
     row_id: str = "row_id",
 ) -> dict:
     """eps sweep where only runs without any noise get a silhouette (else -1)."""
-    rows, runs = [], {}
-    for eps in linspace(*eps_range):
-        labels, k, noise, score = _score_setting(df, cols, eps, min_samples, row_id, True)
-        runs[eps] = labels
-        rows.append(("dbscan", float(eps), int(min_samples), k, noise, -1.0 if score is None else score))
+    labels = dbscan_settings(df, cols, linspace(*eps_range), [min_samples], row_id)
+    rows = [(*r[:5], -1.0 if r[5] is None else r[5]) for r in _sweep(df, labels, cols, row_id, True)]
     sweep = from_rows(df.sparkSession, rows, SWEEP_SCHEMA)
     best = best_row(sweep.where("silhouette > -1"), "silhouette", ["eps"]).first()
     return {
         "sweep": sweep,
         "setting": best["eps"] if best else None,
-        "labels": runs[best["eps"]] if best else None,
+        "labels": _labels_of(labels, best["eps"], min_samples, row_id) if best else None,
         "n_clusters": best["n_clusters"] if best else None,
         "silhouette": best["silhouette"] if best else None,
     }

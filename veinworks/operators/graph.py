@@ -16,13 +16,14 @@ def connected_components(nodes: DataFrame, edges: DataFrame, small: int = SMALL_
     resolved in one step; larger ones by alternating star contraction, with
     every round written to the checkpoint folder.
     """
-    edges = durable(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     kind = nodes.schema["node"].dataType.simpleString()
-    if edges.limit(small + 1).count() <= small:
-        found = _resolve([(r["a"], r["b"]) for r in edges.collect()])
+    few = edges.limit(small + 1).collect()
+    if len(few) <= small:
+        found = _resolve([(r["a"], r["b"]) for r in few])
         links = nodes.sparkSession.createDataFrame(found, f"node {kind}, root {kind}")
     else:
-        links = _contract(edges)
+        links = _contract(durable(edges))
     return nodes.join(links, "node", "left").select("node", F.coalesce("root", "node").alias("component"))
 
 

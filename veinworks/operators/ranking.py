@@ -26,7 +26,7 @@ def best_row(df: DataFrame, score: str, ties: Sequence[str], by: Sequence[str] =
         *[F.col(t).alias(f"_tie{i}") for i, t in enumerate(ties)],
     )
     picked = F.min_by(F.struct(*[F.col(c) for c in df.columns]), order).alias("_row")
-    return df.groupBy(*by).agg(picked).select("_row.*")
+    return df.groupBy(*by).agg(picked).where("_row is not null").select("_row.*")
 
 
 def normalised(score: Column, by: Sequence[str] = ()) -> Column:

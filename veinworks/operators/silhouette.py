@@ -65,25 +65,13 @@ def silhouette_samples(
     place = {c: i for i, c in enumerate(labels)}
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        step = max(1, 4_000_000 // max(1, len(labels)))
         for batch in batches:
-            for start in range(0, len(batch), step):
-                part = batch.iloc[start : start + step]
-                x = np.array(part["v"].tolist(), dtype=float).reshape(len(part), -1) - shift
-                own = part["label"].map(place).to_numpy()
-                total = (x * x).sum(axis=1)[:, None] * n - 2 * x @ s.T + q
-                total = np.maximum(total, 0.0)
-                rows = np.arange(len(part))
-                a = total[rows, own] / np.maximum(n[own] - 1, 1)
-                mean = total / n
-                mean[rows, own] = np.inf
-                b = mean.min(axis=1)
-                top = np.maximum(a, b)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    value = np.where((n[own] == 1) | (top == 0), 0.0, (b - a) / top)
-                if len(labels) < 2:
-                    value = np.full(len(part), np.nan)
-                yield pd.DataFrame({"row_id": part["row_id"], "label": part["label"], "silhouette": value})
+            if len(labels) < 2:
+                value = np.full(len(batch), np.nan)
+            else:
+                x = np.array(batch["v"].tolist(), dtype=float).reshape(len(batch), -1) - shift
+                value = _scores(x, batch["label"].map(place).to_numpy(), n, q, s)
+            yield pd.DataFrame({"row_id": batch["row_id"], "label": batch["label"], "silhouette": value})
 
     points = df.select(
         F.col(row_id).alias("row_id"),
@@ -166,6 +154,74 @@ def mean_silhouette(
     return silhouette_samples(df, cols, label, row_id, metric).agg(F.avg("silhouette")).first()[0]
 
 
+def mean_silhouettes(
+    df: DataFrame, labels: DataFrame, cols: Sequence[str], row_id: str = "row_id"
+) -> dict[str, float | None]:
+    """Mean silhouette (squared Euclidean) of many labellings at once.
+
+    ``labels`` holds (row_id, setting, label). A whole sweep costs one pass for
+    the cluster sums of all settings and one for the scores.
+    """
+    cols = list(cols)
+    means = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    moved = [F.col(f"`{c}`").cast("double") - F.lit(means[f"m{i}"] or 0.0) for i, c in enumerate(cols)]
+    points = df.select(row_id, *[m.alias(f"x{i}") for i, m in enumerate(moved)]).join(labels, row_id)
+    coords = [F.col(f"x{i}") for i in range(len(cols))]
+    squares = None
+    for x in coords:
+        squares = x * x if squares is None else squares + x * x
+    sums = (
+        points.groupBy("setting", "label")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(squares).alias("q"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(coords)])
+        .collect()
+    )
+    if len(sums) * len(cols) > MAX_CENTERS:
+        raise ValueError(f"{len(sums)} clusters × {len(cols)} columns are too many to compare each row with")
+    known: dict[str, tuple] = {}
+    for setting in {r["setting"] for r in sums}:
+        mine = [r for r in sums if r["setting"] == setting]
+        known[setting] = (
+            {r["label"]: i for i, r in enumerate(mine)},
+            np.array([r["n"] for r in mine], dtype=float),
+            np.array([r["q"] for r in mine], dtype=float),
+            np.array([[r[f"s{i}"] for i in range(len(cols))] for r in mine], dtype=float),
+        )
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for setting, part in batch.groupby("setting"):
+                place, n, q, s = known[setting]
+                if len(n) < 2:
+                    continue
+                x = np.array(part["v"].tolist(), dtype=float).reshape(len(part), -1)
+                values = _scores(x, part["label"].map(place).to_numpy(), n, q, s)
+                yield pd.DataFrame({"setting": [setting], "total": [float(values.sum())], "n": [len(values)]})
+
+    scored = points.select("setting", "label", F.array(*coords).alias("v")).mapInPandas(
+        score, "setting string, total double, n long"
+    )
+    rows = scored.groupBy("setting").agg((F.sum("total") / F.sum("n")).alias("mean")).collect()
+    return {**{s: None for s in known}, **{r["setting"]: r["mean"] for r in rows}}
+
+
+def _scores(x: np.ndarray, own: np.ndarray, n: np.ndarray, q: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Silhouettes of centred points from cluster sizes, squares and sums."""
+    out = np.empty(len(x))
+    step = max(1, 4_000_000 // len(n))
+    for start in range(0, len(x), step):
+        p, o = x[start : start + step], own[start : start + step]
+        total = np.maximum((p * p).sum(axis=1)[:, None] * n - 2 * p @ s.T + q, 0.0)
+        rows = np.arange(len(p))
+        a = total[rows, o] / np.maximum(n[o] - 1, 1)
+        mean = total / n
+        mean[rows, o] = np.inf
+        b = mean.min(axis=1)
+        top = np.maximum(a, b)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            out[start : start + step] = np.where((n[o] == 1) | (top == 0), 0.0, (b - a) / top)
+    return out
+
+
 def silhouette_bands(samples: DataFrame, label: str = "prediction", row_id: str = "row_id") -> DataFrame:
     """Per row its place in the cluster's ascending silhouette order.
 
