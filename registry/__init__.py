@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["profiling", "preparing", "clusters"]
+AREAS = ["profiling", "preparing", "clusters", "web"]
 
 
 def _load():
