@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["profiling", "preparing", "clusters", "web"]
+AREAS = ["profiling", "preparing", "clusters", "web", "models"]
 
 
 def _load():

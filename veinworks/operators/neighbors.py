@@ -31,10 +31,12 @@ EPS_LOW, EPS_HIGH = 0.05, 0.95
 
 def _points(df: DataFrame, features, row_id, group) -> DataFrame:
     side = F.col(group).cast("string") if group else F.lit("")
+    if isinstance(features, str):
+        place = F.col(features).cast("array<double>")
+    else:
+        place = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
     return df.select(
-        F.col(row_id).cast("long").alias("id"),
-        F.coalesce(side, F.lit("\u0000")).alias("grp"),
-        F.array(*[F.col(f"`{c}`").cast("double") for c in features]).alias("v"),
+        F.col(row_id).cast("long").alias("id"), F.coalesce(side, F.lit("\u0000")).alias("grp"), place.alias("v")
     )
 
 
@@ -117,7 +119,7 @@ def _best_in_block(k: int, width: int, exclude_self: bool):
 
 def nearest_neighbors(
     data: DataFrame,
-    features: Sequence[str],
+    features: Sequence[str] | str,
     k: int,
     queries: DataFrame | None = None,
     row_id: str = "row_id",
@@ -128,9 +130,8 @@ def nearest_neighbors(
 
     Without ``queries`` each row looks among the other rows of the table. With
     ``group`` only rows of the same group are neighbours. Ties go to the
-    smaller id.
+    smaller id. ``features`` are columns, or the name of one array column.
     """
-    features, width = list(features), len(features)
     spark = data.sparkSession
     same = queries is None
     points = _points(data, features, row_id, group)
@@ -141,7 +142,8 @@ def nearest_neighbors(
         return spark.createDataFrame([], schema)
     n_pivots = int(min(MAX_PIVOTS, max(1, math.sqrt(n) / 2)))
     chosen = sample_rows(points, n_pivots, "id").collect()
-    pivots = np.array([r["v"] for r in chosen], dtype=float).reshape(-1, width)
+    pivots = np.array([r["v"] for r in chosen], dtype=float)
+    width = pivots.shape[1]
 
     placed = points.mapInPandas(
         _assign(pivots), "id long, grp string, v array<double>, cell int, away double"
@@ -200,7 +202,7 @@ def neighbor_votes(neighbors: DataFrame, labels: DataFrame, row_id: str = "row_i
 
 
 def classify_by_neighbors(
-    train: DataFrame, test: DataFrame, features: Sequence[str], k: int = 5, row_id: str = "row_id", label: str = "label"
+    train: DataFrame, test: DataFrame, features: Sequence[str] | str, k: int = 5, row_id: str = "row_id", label: str = "label"
 ) -> DataFrame:
     """k-nearest-neighbour classification of ``test`` rows: (row_id, prediction, score)."""
     near = nearest_neighbors(train, features, k, queries=test, row_id=row_id)

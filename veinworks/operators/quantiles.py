@@ -218,42 +218,43 @@ def box_statistics(
     )
 
 
-def ordered_buckets(df: DataFrame, key: str, buckets: int | None = None) -> tuple[DataFrame, str]:
-    """Add a bucket number that grows with ``key``: equal-sized ranges from a sketch."""
-    if buckets is None:
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    probs = [i / buckets for i in range(1, buckets)] or [0.5]
-    splits = df.agg(F.percentile_approx(F.col(key), probs, SKETCH_ACCURACY)).first()[0] or []
-    marks = F.array(*[F.lit(s) for s in sorted(set(splits))]) if splits else None
-    bucket = F.size(F.filter(marks, lambda s: s < F.col(key))) if splits else F.lit(0)
-    return df.withColumn("_bucket", bucket), "_bucket"
-
-
 def running_totals(
     df: DataFrame,
     key: str,
     totals: dict[str, Column],
     descending: bool = False,
-    buckets: int | None = None,
+    by: Sequence[str] = (),
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """Cumulative sums along a unique numeric ``key`` without a single-task window.
+    """Cumulative sums along a numeric ``key`` without a window over a whole group.
 
-    Rows go to ranges of the key; each range is summed on its own and shifted
-    by the totals of the ranges before it. Only one row per range is handled
-    together.
+    A sketch cuts the key of each group into ranges of about equal size; each
+    range is summed on its own and shifted by the totals of the ranges before
+    it. Groups are few; rows level on ``key`` follow ``ties``.
     """
-    staged, bucket = ordered_buckets(df, key, buckets)
-    staged = staged.select("*", *[c.alias(f"_in_{n}") for n, c in totals.items()])
+    by, ties = list(by), list(ties)
+    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    marks = df.groupBy(*by).agg(
+        F.percentile_approx(F.col(key), [i / parts for i in range(1, parts)], SKETCH_ACCURACY).alias("_marks")
+    )
+    # One row per group, each with at most one mark per shuffle partition.
+    with_marks = df.join(F.broadcast(marks), by) if by else df.join(F.broadcast(marks))
+    staged = with_marks.select(
+        *df.columns,
+        F.size(F.filter("_marks", lambda m: m < F.col(key))).alias("_range"),
+        *[c.alias(f"_in_{n}") for n, c in totals.items()],
+    )
     side = F.desc if descending else F.asc
-    per_range = staged.groupBy(bucket).agg(*[F.sum(f"_in_{n}").alias(f"_sum_{n}") for n in totals])
-    before = Window.orderBy(side(bucket)).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select(
-        bucket, *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_off_{n}") for n in totals]
+    groups = [*by, "_range"]
+    before = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy(side("_range"))
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        staged.groupBy(*groups)
+        .agg(*[F.sum(f"_in_{n}").alias(f"_sum_{n}") for n in totals])
+        .select(*groups, *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_off_{n}") for n in totals])
     )
-    within = Window.partitionBy(bucket).orderBy(side(key)).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy(*groups).orderBy(side(key), *ties).rowsBetween(Window.unboundedPreceding, 0)
     summed = staged.select("*", *[F.sum(f"_in_{n}").over(within).alias(f"_run_{n}") for n in totals])
-    joined = summed.join(F.broadcast(offsets), bucket)
-    helper = [bucket] + [f"_{p}_{n}" for n in totals for p in ("in", "run", "off")]
-    return joined.select(
-        "*", *[(F.col(f"_run_{n}") + F.col(f"_off_{n}")).alias(n) for n in totals]
-    ).drop(*helper)
+    return summed.join(offsets, groups).select(
+        *df.columns, *[(F.col(f"_run_{n}") + F.col(f"_off_{n}")).alias(n) for n in totals]
+    )

@@ -76,19 +76,9 @@ def _per_score(df, label, score, by):
 
 
 def _cumulative(per_score: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Counts at or above each score; groups are few (models), each handled by ranges."""
+    """Counts at or above each score, per group."""
     totals = {"tp": F.col("pos"), "fp": F.col("neg")}
-    if not by:
-        return running_totals(per_score, "score", totals, descending=True)
-    groups = [tuple(g) for g in per_score.select(*by).distinct().collect()]
-    out = None
-    for g in groups:
-        cond = F.lit(True)
-        for name, v in zip(by, g):
-            cond = cond & F.col(name).eqNullSafe(F.lit(v))
-        part = running_totals(per_score.where(cond), "score", totals, descending=True)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return running_totals(per_score, "score", totals, descending=True, by=by)
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:

@@ -12,8 +12,9 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from veinworks.operators.quantiles import running_totals
 from veinworks.session import from_rows
 
 MAX_CENTERS = 20_000_000  # clusters × columns sent to executors
@@ -228,23 +229,8 @@ def silhouette_bands(samples: DataFrame, label: str = "prediction", row_id: str
     A cluster may hold most rows, so places come from range-wise running counts
     rather than from a window over a whole cluster. Clusters are few.
     """
-    from veinworks.operators.quantiles import SKETCH_ACCURACY
-
-    parts = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    probs = [i / parts for i in range(1, parts)] or [0.5]
-    splits = samples.groupBy(label).agg(F.percentile_approx("silhouette", probs, SKETCH_ACCURACY).alias("_marks"))
-    staged = samples.join(F.broadcast(splits), label).withColumn(
-        "_range", F.size(F.filter("_marks", lambda m: m < F.col("silhouette")))
-    )
-    sizes = staged.groupBy(label, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(label).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(label, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = Window.partitionBy(label, "_range").orderBy("silhouette", row_id)
-    return (
-        staged.withColumn("_place", F.row_number().over(within))
-        .join(F.broadcast(offsets), [label, "_range"])
-        .select(row_id, label, "silhouette", (F.col("_place") + F.col("_before")).alias("position"))
-    )
+    placed = running_totals(samples, "silhouette", {"position": F.lit(1)}, by=[label], ties=[row_id])
+    return placed.select(row_id, label, "silhouette", "position")
 
 
 def _centers(df, cols, label):
