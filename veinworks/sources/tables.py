@@ -31,7 +31,7 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Page bodies: a parquet table, or a folder of HTML files read whole."""
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
-    files = spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "html")
+    files = spark.read.text(path, wholetext=True).withColumnRenamed("value", "html")
     return files.select(F.xxhash64(F.input_file_name()).alias("page_id"), F.input_file_name().alias("url"), "html")
 
 
