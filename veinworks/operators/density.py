@@ -131,6 +131,8 @@ def _cell_components(space: _Space, core: DataFrame) -> DataFrame:
             F.min("point").alias("point"),
             *[F.min(x).alias(f"lo_{x}") for x in space.coords],
             *[F.max(x).alias(f"hi_{x}") for x in space.coords],
+            # A cell is at most eps wide, so it touches two candidate cells per axis at most.
+            F.collect_set(F.struct(*space.marks)).alias("touched"),
             F.array_distinct(
                 F.array(
                     *[
@@ -159,43 +161,39 @@ def _cell_components(space: _Space, core: DataFrame) -> DataFrame:
 
     # Then all core rows, but only between components, and only where the
     # bounding boxes of two cells leave room for a pair within eps.
-    members = core.join(placed.select("cell", F.col("point").alias("node"), "component"), "cell")
-    boxes = placed.select("point", "component", *[f"{e}_{x}" for x in space.coords for e in ("lo", "hi")])
-    cell_marks = members.select("node", "component", *space.marks).distinct()
-    box_side = boxes.withColumnsRenamed({"point": "node", "component": "_c"})
-    near_cells = (
-        cell_marks.select(F.col("node").alias("a"), F.col("component").alias("ca"), F.inline(around(space.marks)))
-        .join(cell_marks.select(F.col("node").alias("b"), F.col("component").alias("cb"), *space.marks), space.marks)
-        .where("ca < cb")
-        .select("a", "b")
-        .distinct()
-    )
-    left = box_side.drop("_c").select(F.col("node").alias("a"), *[F.col(f"{e}_{x}").alias(f"a_{e}_{x}") for x in space.coords for e in ("lo", "hi")])
-    right = box_side.drop("_c").select(F.col("node").alias("b"), *[F.col(f"{e}_{x}").alias(f"b_{e}_{x}") for x in space.coords for e in ("lo", "hi")])
+    edges_of = [f"{e}_{x}" for x in space.coords for e in ("lo", "hi")]
+    sides = {
+        s: placed.select(
+            F.col("point").alias(s), F.col("component").alias(f"c{s}"),
+            *[F.col(c).alias(f"{s}_{c}") for c in edges_of], F.inline("touched"),
+        )
+        for s in ("a", "b")
+    }
+    left = sides["a"].select(*[c for c in sides["a"].columns if c not in space.marks], F.inline(around(space.marks)))
     gap = None
     for x in space.coords:
         apart = F.greatest(F.col(f"a_lo_{x}") - F.col(f"b_hi_{x}"), F.col(f"b_lo_{x}") - F.col(f"a_hi_{x}"), F.lit(0.0))
         gap = apart * apart if gap is None else gap + apart * apart
     reach = space.eps * space.eps * (1 + 1e-9)
-    open_pairs = near_cells.join(left, "a").join(right, "b").where(gap <= reach)
-    inner = members.select("node", *space.coords)
+    open_pairs = durable(
+        left.join(sides["b"], space.marks).where("ca < cb").where(gap <= reach).drop(*space.marks).distinct()
+    )
+    if open_pairs.isEmpty():
+        return cells.select("cell", F.col("point").alias("node")).join(rough, "node").select(
+            "cell", F.col("component").alias("cluster")
+        )
+    inner = core.join(cells.select("cell", F.col("point").alias("node")), "cell").select("node", *space.coords)
     to_box = None
     for x in space.coords:
         apart = F.greatest(F.col(f"b_lo_{x}") - F.col(x), F.col(x) - F.col(f"b_hi_{x}"), F.lit(0.0))
         to_box = apart * apart if to_box is None else to_box + apart * apart
     edge_side = open_pairs.join(inner.withColumnRenamed("node", "a"), "a").where(to_box <= reach)
-    edge_side = edge_side.select("a", "b", *[F.col(x).alias(f"q_{x}") for x in space.coords])
-    second = (
+    edge_side = edge_side.select("a", "b", "ca", "cb", *[F.col(x).alias(f"q_{x}") for x in space.coords])
+    links = (
         edge_side.join(inner.withColumnRenamed("node", "b"), "b")
         .where(_near([f"q_{x}" for x in space.coords], space.coords, space.eps))
-        .select("a", "b")
-        .distinct()
-    )
-    home = placed.select("point", "component")
-    links = (
-        second.join(home.select(F.col("point").alias("a"), F.col("component").alias("ca")), "a")
-        .join(home.select(F.col("point").alias("b"), F.col("component").alias("cb")), "b")
         .select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        .distinct()
     )
     roots = rough.select(F.col("component").alias("node")).distinct()
     merged = connected_components(roots, links)
