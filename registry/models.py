@@ -196,15 +196,29 @@ def _(spark, sf):
     return rounded(PC.component_table(spark, DIMS, loadings, share), ["loading", "explained"])
 
 
+# Two columns have a closed form: both load equally on each component.
+_TWO = """z AS (SELECT o_orderkey, (o_totalprice - AVG(o_totalprice) OVER ()) / stddev_pop(o_totalprice) OVER () AS x,
+      (o_custkey - AVG(o_custkey) OVER ()) / stddev_pop(o_custkey) OVER () AS y FROM orders), r AS (SELECT corr(x, y) AS r FROM z)"""
+
+
 @query(
-    "component_projection_spread",
-    "SELECT 1::INTEGER AS component, 0.0::DOUBLE AS mean UNION ALL SELECT 2, 0.0",
+    "component_shares_two_columns",
+    f"WITH {_TWO} SELECT 1::INTEGER AS component, round((1 + abs(r)) / 2, 6) AS explained FROM r UNION ALL SELECT 2, round((1 - abs(r)) / 2, 6) FROM r",
 )
 def _(spark, sf):
-    pts = PC.project(vectors(spark, sf), DIMS, 2, ["row_id"])
-    means = pts.agg(r(F.avg("pc1")).alias("pc1"), r(F.avg("pc2")).alias("pc2"))
-    cells = F.array(*[F.struct(F.lit(i).alias("component"), F.col(f"pc{i}").alias("mean")) for i in (1, 2)])
-    return means.select(F.inline(cells))
+    cols = ["o_totalprice", "o_custkey"]
+    loadings, share = PC.fit_components(table(spark, sf, "orders"), cols, 2)
+    rows = PC.component_table(spark, cols, loadings, share)
+    return rounded(rows.select("component", "explained").distinct(), ["explained"])
+
+
+@query(
+    "component_projection_two_columns",
+    f"""WITH {_TWO} SELECT o_orderkey, round(abs(x + sign(r) * y) / sqrt(2), 4) AS first, round(abs(x - sign(r) * y) / sqrt(2), 4) AS second FROM z, r""",
+)
+def _(spark, sf):
+    pts = PC.project(table(spark, sf, "orders"), ["o_totalprice", "o_custkey"], 2, ["o_orderkey"])
+    return pts.select("o_orderkey", r(F.abs("pc1"), 4).alias("first"), r(F.abs("pc2"), 4).alias("second"))
 
 
 @query("component_overview")
@@ -290,7 +304,20 @@ def _(spark, sf):
     return rounded(found["leaderboard"], SC.METRICS)
 
 
-@query("grid_search_neighbors")
+from registry.base import hash_sql  # noqa: E402
+from registry.clusters import VEC  # noqa: E402
+
+
+@query(
+    "grid_search_neighbors",
+    f"""WITH {VEC}, y AS (SELECT id, e, (label < 5)::INTEGER AS y, floor({hash_sql('id')} * 5.0::DOUBLE / 2147483647.0::DOUBLE)::INTEGER AS fold FROM v WHERE {hash_sql('id')} >= 429496729),
+    p AS (SELECT a.id, a.fold, a.y AS truth, b.y, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.e, b.e), b.id) AS rank FROM y a JOIN y b ON a.fold <> b.fold),
+    s AS (SELECT id, fold, truth, rank AS k, SUM(y) OVER (PARTITION BY id ORDER BY rank) / rank::DOUBLE AS score FROM p WHERE rank <= 30),
+    g AS (SELECT fold, k, score, COUNT(*) FILTER (truth = 1) AS pos, COUNT(*) FILTER (truth = 0) AS neg FROM s GROUP BY ALL),
+    c AS (SELECT *, SUM(neg) OVER (PARTITION BY fold, k ORDER BY score) - neg AS below, SUM(pos) OVER (PARTITION BY fold, k) AS np, SUM(neg) OVER (PARTITION BY fold, k) AS nn FROM g),
+    a AS (SELECT fold, k, SUM(pos * (below + neg * 0.5)) / (MAX(np) * MAX(nn))::DOUBLE AS auc FROM c GROUP BY fold, k)
+    SELECT k::INTEGER AS k, round(AVG(auc), 6) AS mean_score FROM a GROUP BY k""",
+)
 def _(spark, sf):
     train, _ = _binary(spark, sf)
     _, table_ = M.search_parameters("KNN", train, DIMS, "label", M.combinations(M.GRIDS["KNN"]))
@@ -307,7 +334,7 @@ def _(spark, sf):
 
 @query(
     "fold_sizes",
-    None,
+    f"SELECT floor({hash_sql('c_custkey')} * 5.0::DOUBLE / 2147483647.0::DOUBLE)::INTEGER AS fold, COUNT(*) AS n FROM customer GROUP BY 1",
 )
 def _(spark, sf):
     f = table(spark, sf, "customer").select(fold_column("c_custkey", 5).alias("fold"))

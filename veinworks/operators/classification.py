@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from veinworks.operators.clustering import with_vectors
-from veinworks.operators.neighbors import nearest_neighbors, neighbor_votes
+from veinworks.operators.neighbors import nearest_neighbors, neighbor_votes, neighbor_votes_by_k
 from veinworks.operators.sampling import fold_column, oversample, sample_rows
 from veinworks.operators.scoring import best_model, leaderboard, metric_name
 from veinworks.session import durable, from_rows
@@ -220,19 +220,17 @@ def search_parameters(
                 kept = _numbered(fitting, cols, label).withColumnRenamed("_number", row_id)
                 most = max(s["n_neighbors"] for s in settings)
                 near = durable(nearest_neighbors(kept, cols, most, queries=held, row_id=row_id))
-                parts = [
-                    neighbor_votes(near.where(F.col("rank") <= s["n_neighbors"]), kept, row_id, label).select(
-                        F.col("query_id").alias(row_id), "score", F.col("prediction").cast("int").alias("prediction")
-                    )
-                    for s in settings
-                ]
+                ks = [s["n_neighbors"] for s in settings]
+                votes = neighbor_votes_by_k(near, kept, ks, row_id, label).withColumnRenamed("query_id", row_id)
+                place = F.array_position(F.array(*[F.lit(int(k)) for k in ks]), F.col("k")) - 1
+                parts = [votes.withColumn("model", F.concat(place.cast("string"), F.lit(f"/{i}"))).drop("k")]
             else:
                 with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
                     fits = list(pool.map(lambda s: FITTERS[name](fitting, cols, label, row_id, **s), settings))
-                parts = [f.score(held) for f in fits]
-            for j, part in enumerate(parts):
-                # One name per (setting, fold): scores are averaged over folds.
-                one = labelled(part, held, label, row_id).withColumn("model", F.lit(f"{j}/{i}"))
+                parts = [f.score(held).withColumn("model", F.lit(f"{j}/{i}")) for j, f in enumerate(fits)]
+            # One name per (setting, fold): scores are averaged over folds.
+            for part in parts:
+                one = labelled(part, held, label, row_id).select(row_id, "label", "score", "prediction", "model")
                 scored = one if scored is None else scored.unionByName(one)
         board = leaderboard(durable(scored)).select(
             F.split_part("Model", F.lit("/"), F.lit(1)).cast("int").alias("setting"), F.col(f"`{column}`").alias("value")

@@ -37,6 +37,7 @@ DASHBOARD_FEATURES = 8
 BOX_FEATURES = 10
 
 MICRO_CLUSTERS = 500
+MICRO_ROUNDS = 10
 PARALLEL_FITS = 8
 SWEEP_SCHEMA = "method string, n_clusters int, silhouette double, inertia double"
 
@@ -47,7 +48,8 @@ def with_vectors(df: DataFrame, cols: Sequence[str], output: str = "features") -
 
 
 def fit_kmeans_many(
-    df: DataFrame, cols: Sequence[str], starts: dict[int, int], seed: int = SEED, max_iter: int = 300
+    df: DataFrame, cols: Sequence[str], starts: dict[int, int], seed: int = SEED, max_iter: int = 300,
+    init: str = "k-means||",
 ) -> dict[int, tuple[KMeansModel, float]]:
     """Per k the cheapest of several seeded starts, with its cost.
 
@@ -57,7 +59,7 @@ def fit_kmeans_many(
     try:
         def run(task: tuple[int, int]):
             k, i = task
-            model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-4).fit(vectors)
+            model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-4, initMode=init).fit(vectors)
             return k, model, float(model.summary.trainingCost)
 
         vectors.count()
@@ -213,7 +215,7 @@ def micro_clusters(
         )
         rows = clean.join(F.broadcast(table), coords).select(row_id, "micro")
         return rows, np.array([[p[c] for c in coords] for p in points]), np.array([p["n"] for p in points])
-    model, _ = fit_kmeans(df, cols, most, starts=1, max_iter=20)
+    model, _ = fit_kmeans_many(df, cols, {most: 1}, max_iter=MICRO_ROUNDS, init="random")[most]
     rows = durable(assign_kmeans(df, cols, model, row_id).select(row_id, F.col("prediction").cast("int").alias("micro")))
     sizes = {r["micro"]: r["count"] for r in rows.groupBy("micro").count().collect()}
     centers = model.clusterCenters()

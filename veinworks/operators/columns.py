@@ -100,15 +100,20 @@ def available_members(df: DataFrame, groups: Sequence[Sequence[str]]) -> list[st
     return [c for group in groups for c in group if c in df.columns]
 
 
-def missing_fractions(df: DataFrame) -> dict[str, float]:
+def column_counts(df: DataFrame, rough_distinct: Sequence[str] = ()) -> tuple[int, dict[str, int], dict[str, int]]:
+    """(rows, present values per column, rough distinct counts), in one aggregation."""
     row = df.agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)],
+        *[F.approx_count_distinct(F.col(f"`{c}`"), 0.02).alias(f"d{i}") for i, c in enumerate(rough_distinct)],
     ).first()
-    return {
-        c: (row["_n"] - row[f"c{i}"]) / row["_n"] if row["_n"] else 0.0
-        for i, c in enumerate(df.columns)
-    }
+    present = {c: row[f"c{i}"] for i, c in enumerate(df.columns)}
+    return row["_n"], present, {c: row[f"d{i}"] for i, c in enumerate(rough_distinct)}
+
+
+def missing_fractions(df: DataFrame) -> dict[str, float]:
+    n, present, _ = column_counts(df)
+    return {c: (n - have) / n if n else 0.0 for c, have in present.items()}
 
 
 def drop_sparse_columns(df: DataFrame, threshold: float = 0.9) -> DataFrame:
@@ -118,7 +123,7 @@ def drop_sparse_columns(df: DataFrame, threshold: float = 0.9) -> DataFrame:
 
 
 def category_levels(
-    df: DataFrame, cols: Sequence[str], most: int
+    df: DataFrame, cols: Sequence[str], most: int, rough: dict[str, int] | None = None
 ) -> dict[str, list[str] | None]:
     """Sorted distinct values per column, ``None`` where there are more than ``most``.
 
@@ -128,10 +133,9 @@ def category_levels(
     cols = list(cols)
     if not cols:
         return {}
-    rough = df.agg(
-        *[F.approx_count_distinct(F.col(f"`{c}`"), 0.02).alias(f"d{i}") for i, c in enumerate(cols)]
-    ).first()
-    few = [c for i, c in enumerate(cols) if rough[f"d{i}"] <= 2 * most + 10]
+    if rough is None:
+        rough = column_counts(df.select(*[F.col(f"`{c}`") for c in cols]), cols)[2]
+    few = [c for c in cols if rough[c] <= 2 * most + 10]
     levels: dict[str, list[str] | None] = {c: None for c in cols}
     if few:
         sets = df.agg(

@@ -14,16 +14,21 @@ from veinworks.session import from_rows
 PAIRS_PER_PASS = 150
 
 
-def correlations(df: DataFrame, cols: Sequence[str]) -> dict[tuple[str, str], float | None]:
+def correlations(
+    df: DataFrame, cols: Sequence[str], complete: bool = False
+) -> dict[tuple[str, str], float | None]:
     """Correlation per ordered pair (i < j); ``None`` where it is undefined.
 
     Without gaps the matrix comes from one vectorised pass. With gaps each pair
-    uses the rows where both values are present.
+    uses the rows where both values are present. ``complete`` tells that there
+    are no gaps and at least two rows, which saves the pass that finds out.
     """
     cols = list(cols)
     if len(cols) < 2:
         return {}
     wide = df.select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    if complete:
+        return _complete(wide, cols)
     row = wide.agg(
         F.count(F.lit(1)).alias("n"), *[F.count(c).alias(c) for c in wide.columns]
     ).first()
@@ -87,9 +92,11 @@ def strongest_pairs(pairs: DataFrame, n: int = 10, negative: bool = False) -> Da
     return pairs.orderBy(order, "feature1", "feature2").limit(n)
 
 
-def redundant_columns(df: DataFrame, cols: Sequence[str], threshold: float = 0.9) -> list[str]:
+def redundant_columns(
+    df: DataFrame, cols: Sequence[str], threshold: float = 0.9, complete: bool = False
+) -> list[str]:
     """Columns strongly correlated with any earlier column, itself kept or not."""
-    found = correlations(df, cols)
+    found = correlations(df, cols, complete)
     return [
         b
         for j, b in enumerate(cols)

@@ -33,6 +33,7 @@ NODE_SCHEMA = (
     "classes:array<string>,start:int,length:int,mark:string>>"
 )
 P_RULES = ("literal", "html5")
+PAGES_PER_LOT = 256
 
 
 class _Nodes(HTMLParser):
@@ -161,21 +162,23 @@ def parse_pages(
         raise ValueError(f"p_rule must be one of: {', '.join(P_RULES)}")
     source = pages.select(*keep, F.col(html).alias("_html"))
 
+    def read(body):
+        if body is None:
+            return None, [], "no page body"
+        try:
+            return *parse_page(body, p_rule), None
+        except (AssertionError, ValueError) as problem:
+            return None, [], str(problem)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts, nodes, errors = [], [], []
-            for body in batch.pop("_html"):
-                text, found, error = None, [], "no page body"
-                if body is not None:
-                    try:
-                        text, found = parse_page(body, p_rule)
-                        error = None
-                    except (AssertionError, ValueError) as problem:
-                        error = str(problem)
-                texts.append(text)
-                nodes.append(found)
-                errors.append(error)
-            yield batch.assign(text=texts, nodes=nodes, error=errors)
+            # Nodes take more room than their page: hand them on in small lots.
+            for start in range(0, len(batch), PAGES_PER_LOT):
+                lot = batch.iloc[start : start + PAGES_PER_LOT]
+                found = [read(body) for body in lot["_html"]]
+                yield lot.drop(columns="_html").assign(
+                    text=[f[0] for f in found], nodes=[f[1] for f in found], error=[f[2] for f in found]
+                )
 
     kept = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep)
     return source.mapInPandas(run, f"{kept}, text string, nodes {NODE_SCHEMA}, error string")

@@ -201,6 +201,32 @@ def neighbor_votes(neighbors: DataFrame, labels: DataFrame, row_id: str = "row_i
     )
 
 
+def neighbor_votes_by_k(
+    neighbors: DataFrame, labels: DataFrame, ks: Sequence[int], row_id: str = "row_id", label: str = "label"
+) -> DataFrame:
+    """(query_id, k, prediction, score) for many k at once, 0/1 labels.
+
+    The running share of ones along the ranks of a query answers every k; a k
+    beyond the last neighbour is answered by all of them.
+    """
+    voted = neighbors.join(labels.select(F.col(row_id).alias("neighbor_id"), F.col(label).alias("_vote")), "neighbor_id")
+    by_rank = Window.partitionBy("query_id").orderBy("rank")
+    running = voted.select(
+        "query_id",
+        "rank",
+        F.sum("_vote").over(by_rank.rowsBetween(Window.unboundedPreceding, 0)).alias("_ones"),
+        F.max("rank").over(Window.partitionBy("query_id")).alias("_last"),
+    )
+    wanted = F.array(*[F.lit(int(k)) for k in ks])
+    mine = F.filter(wanted, lambda k: F.least(k, F.col("_last")) == F.col("rank"))
+    return running.select("query_id", F.explode(mine).alias("k"), "rank", "_ones").select(
+        "query_id",
+        "k",
+        (F.col("_ones") * 2 > F.col("rank")).cast("int").alias("prediction"),
+        (F.col("_ones") / F.col("rank")).alias("score"),
+    )
+
+
 def classify_by_neighbors(
     train: DataFrame, test: DataFrame, features: Sequence[str] | str, k: int = 5, row_id: str = "row_id", label: str = "label"
 ) -> DataFrame:

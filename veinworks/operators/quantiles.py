@@ -37,16 +37,20 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     small: int = SMALL_ROWS,
+    n_rows: int | None = None,
 ) -> dict[tuple, dict[str, list[float | None]]]:
     """Linear-interpolated quantiles as ``{group values: {column: [one per prob]}}``.
 
     Groups must be few (cluster numbers, classes); columns without values give
     ``None``. The result is small, so it comes back to the caller, who turns it
-    into literals or into a table.
+    into literals or into a table. ``n_rows`` saves a counting pass where the
+    caller knows the size of the table.
     """
     cols, probs, by = list(cols), list(probs), list(by)
     if not cols:
         return {}
+    if n_rows is not None and n_rows <= small:
+        return _direct(df, cols, probs, by)
     sizes = df.groupBy(*by).agg(
         *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]
     ).collect()
@@ -156,8 +160,8 @@ def _at_rank(counts: list[tuple[float, int]], rank: float) -> float | None:
     return low
 
 
-def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
-    result = exact_quantiles(df, cols, [0.5])
+def medians(df: DataFrame, cols: Sequence[str], n_rows: int | None = None) -> dict[str, float | None]:
+    result = exact_quantiles(df, cols, [0.5], n_rows=n_rows)
     return {c: v[0] for c, v in result.get((), {}).items()}
 
 
@@ -237,8 +241,8 @@ def running_totals(
     marks = df.groupBy(*by).agg(
         F.percentile_approx(F.col(key), [i / parts for i in range(1, parts)], SKETCH_ACCURACY).alias("_marks")
     )
-    # One row per group, each with at most one mark per shuffle partition.
-    with_marks = df.join(F.broadcast(marks), by) if by else df.join(F.broadcast(marks))
+    # Without groups the marks are a single row; with groups Spark picks the join by size.
+    with_marks = df.join(marks, by) if by else df.join(F.broadcast(marks))
     staged = with_marks.select(
         *df.columns,
         F.size(F.filter("_marks", lambda m: m < F.col(key))).alias("_range"),

@@ -51,8 +51,8 @@ def standardise_if_wide(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df
 
 
-def winsor_bounds(df: DataFrame, cols: Sequence[str]) -> dict[str, list[float | None]]:
-    return exact_quantiles(df, cols, [WINSOR_LOW, WINSOR_HIGH]).get((), {})
+def winsor_bounds(df: DataFrame, cols: Sequence[str], n_rows: int | None = None) -> dict[str, list[float | None]]:
+    return exact_quantiles(df, cols, [WINSOR_LOW, WINSOR_HIGH], n_rows=n_rows).get((), {})
 
 
 def winsorise(df: DataFrame, cols: Sequence[str]) -> DataFrame:

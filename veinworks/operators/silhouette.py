@@ -135,7 +135,7 @@ def _exact_samples(df, cols, label, row_id):
         .agg(F.sum("total").alias("total"))
     )
     sizes = points.groupBy(F.col("label").alias("other")).agg(F.count(F.lit(1)).alias("n"))
-    joined = totals.join(F.broadcast(sizes), "other")
+    joined = totals.join(sizes, "other")
     same = F.col("other") == F.col("label")
     per_row = joined.groupBy("id", "label").agg(
         F.max(F.when(same, F.col("n"))).alias("size"),

@@ -15,7 +15,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veinworks.functions.numeric import clamp, elapsed_days, numeric_columns, string_columns, z_score
-from veinworks.operators.columns import category_levels, clean_name, missing_fractions
+from veinworks.operators.columns import category_levels, clean_name, column_counts
 from veinworks.operators.correlation import redundant_columns
 from veinworks.operators.encoding import MISSING_CODE, indicator_name, label_dictionary
 from veinworks.operators.quantiles import medians
@@ -74,8 +74,9 @@ class Preprocess(Estimator, _PreprocessParams, DefaultParamsReadable, DefaultPar
                 [str(k), v] for k, v in label_dictionary(df, label, row_id, MAX_LABELS).items()
             ]
         features = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in (row_id, label)])
-        missing = missing_fractions(features)
-        kept = [c for c in features.columns if missing[c] < self.getOrDefault("missingThreshold")]
+        n, present, rough = column_counts(features, string_columns(features))
+        threshold = self.getOrDefault("missingThreshold")
+        kept = [c for c in features.columns if not n or (n - present[c]) / n < threshold]
         state["dates"] = [c for c in kept if "date" in c.lower()]
         if state["dates"] and not self.getOrDefault("asOf"):
             raise ValueError("asOf is needed for date columns: " + ", ".join(state["dates"]))
@@ -85,7 +86,7 @@ class Preprocess(Estimator, _PreprocessParams, DefaultParamsReadable, DefaultPar
         staged = features.select(*[_dated(features, c, state).alias(_dated_name(c, state)) for c in kept])
         numbers = numeric_columns(staged)
         state["numbers"] = numbers
-        state["medians"] = medians(staged, numbers) if numbers else {}
+        state["medians"] = medians(staged, numbers, n) if numbers else {}
         filled = staged.select(
             *[
                 F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(state["medians"][c])).alias(c)
@@ -93,9 +94,9 @@ class Preprocess(Estimator, _PreprocessParams, DefaultParamsReadable, DefaultPar
                 for c in staged.columns
             ]
         )
-        state["bounds"] = winsor_bounds(filled, numbers) if numbers else {}
+        state["bounds"] = winsor_bounds(filled, numbers, n) if numbers else {}
         text = string_columns(staged)
-        levels = category_levels(staged, text, self.getOrDefault("maxCategories"))
+        levels = category_levels(staged, text, self.getOrDefault("maxCategories"), rough)
         state["levels"] = {c: v[1:] for c, v in levels.items() if v is not None}
         state["text"] = text
 
@@ -104,7 +105,11 @@ class Preprocess(Estimator, _PreprocessParams, DefaultParamsReadable, DefaultPar
         measured = list(numbers)
         if self.getOrDefault("scaleIndicators"):
             measured += _indicator_names(state)
-        state["dropped"] = redundant_columns(before_filter, measured, self.getOrDefault("correlationThreshold"))
+        # Numbers are filled by now, unless a column has no value at all.
+        complete = n > 1 and all(state["medians"].get(c) is not None for c in numbers)
+        state["dropped"] = redundant_columns(
+            before_filter, measured, self.getOrDefault("correlationThreshold"), complete
+        )
         remaining = [c for c in measured if c not in state["dropped"]]
         state["scale"] = {c: list(v) for c, v in scale_parameters(before_filter, remaining).items()}
         return PreprocessModel()._with_state(state)

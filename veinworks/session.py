@@ -19,6 +19,8 @@ def build_session(app: str = "veinworks", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Rows may be whole pages: keep the batches for Python workers small.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     )
     if master:
         builder = builder.master(master)
