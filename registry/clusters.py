@@ -1,5 +1,7 @@
 """Neighbour, silhouette, clustering and segmentation queries."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from registry.base import FEATURES, customer_features, hash_sql, query, r, rounded, table, union_all
@@ -320,9 +322,33 @@ def _(spark, sf):
     return drop_noise(D.dbscan(plane(spark, sf), ["x", "y"], 0.12, 5)).select("row_id", "prediction")
 
 
-@query("dbscan_grid")
-def _(spark, sf):
-    return rounded(D.dbscan_grid(plane(spark, sf), ["x", "y"], (0.1, 0.3, 3), (5, 20, 2))["sweep"], ["silhouette"])
+def _grid_sql(eps_values, min_samples):
+    """Counts and silhouette of every setting; noise is left out of the silhouette."""
+    ctes, parts = [PLANE.replace("WITH", "WITH RECURSIVE", 1)], []
+    for i, (eps, m) in enumerate((e, m) for e in eps_values for m in min_samples):
+        labels = _dbscan_sql(eps, m).split(", pairs AS", 1)[1]
+        body = "pairs AS" + labels
+        for name in ("pairs", "core", "edges", "walk", "comp", "border", "named", "labels"):
+            body = re.sub(rf"\b{name}\b", f"{name}{i}", body)
+        ctes.append(body)
+        ctes.append(
+            f"q{i} AS (SELECT z.row_id AS id, x, y, prediction AS label FROM labels{i} l JOIN z ON z.row_id = l.row_id WHERE prediction <> -1), "
+            f"m{i} AS (SELECT a.id, a.label, b.label AS other, SUM((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS s, COUNT(*) AS n FROM q{i} a, q{i} b GROUP BY ALL), "
+            f"ab{i} AS (SELECT id, MAX(CASE WHEN other = label THEN n END) AS size, MAX(CASE WHEN other = label AND n > 1 THEN s / (n - 1) END) AS a, "
+            f"MIN(CASE WHEN other <> label THEN s / n END) AS b FROM m{i} GROUP BY id)"
+        )
+        parts.append(
+            f"SELECT 'dbscan' AS method, {eps}::DOUBLE AS eps, {m}::INTEGER AS min_samples, "
+            f"(SELECT COUNT(DISTINCT label) FROM q{i}) AS n_clusters, (SELECT COUNT(*) FROM z) - (SELECT COUNT(*) FROM q{i}) AS n_noise, "
+            f"(SELECT round(AVG(CASE WHEN size = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) FROM ab{i} WHERE b IS NOT NULL) AS silhouette"
+        )
+    return ", ".join(ctes) + union_all(parts)
+
+
+@query("dbscan_grid", _grid_sql((0.1, 0.2, 0.3), (5, 20)))
+def _(spark, sf):
+    found = D.dbscan_grid(plane(spark, sf), ["x", "y"], (0.1, 0.3, 3), (5, 20, 2))["sweep"]
+    return rounded(rounded(found, ["eps"], 3), ["silhouette"])
 
 
 @query("dbscan_eps_sweep")
