@@ -108,7 +108,7 @@ def test_every_classifier_beats_chance(spark, data, name):
 def test_compare_and_search(spark, data):
     train, test = data.where("row_id % 5 <> 1"), data.where("row_id % 5 = 1")
     grids = {"Logistic Regression": {"C": [0.01, 1], "max_iter": [50]}, "KNN": {"n_neighbors": [1, 7]}}
-    found = M.compare_models(train, test, COLS, "y", models=list(grids), search="grid", metric="accuracy", grids=grids)
+    found = M.compare_models(train, test, COLS, "y", models=list(grids), search="grid", metric="accuracy", grids=grids, balance=False)
     assert found["leaderboard"].count() == 2 and found["searches"].count() == 4
     board = {r["Model"]: r["Accuracy"] for r in found["leaderboard"].collect()}
     assert board[found["best"].name] == max(board.values())
@@ -133,7 +133,7 @@ def test_settings_are_checked():
 
 def test_runs_end_to_end(spark, data, tmp_path):
     out = str(tmp_path / "runs")
-    s = Settings("classification", label="y", models=("Logistic Regression",), n_features=3, output=out, options={"max_depth": 3, "folds": 2})
+    s = Settings("classification", label="y", models=("Logistic Regression",), n_features=3, output=out, balance=False, options={"max_depth": 3, "folds": 2})
     found = runs.run(data, s)
     assert found["tables"]["leaderboard"].first()["ROC AUC"] > 0.7
     assert ST.read_delimited(spark, f"{out}/run/leaderboard").count() == 1
