@@ -4,49 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from veinworks.session import SMALL_ROWS, durable
+from veinworks.session import durable
 
-MAX_ROUNDS = 100
 
-
-def connected_components(nodes: DataFrame, edges: DataFrame, small: int = SMALL_ROWS) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node of each component.
 
-    ``nodes`` has ``node``, ``edges`` has ``a`` and ``b``. Small edge tables are
-    resolved in one step; larger ones by alternating star contraction, with
-    every round written to the checkpoint folder.
+    ``nodes`` has ``node``, ``edges`` has ``a`` and ``b``. Alternating star
+    contraction, at every size: each round is written to the checkpoint folder,
+    and the rounds end when the edges no longer change.
     """
-    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    kind = nodes.schema["node"].dataType.simpleString()
-    few = edges.limit(small + 1).collect()
-    if len(few) <= small:
-        found = _resolve([(r["a"], r["b"]) for r in few])
-        links = nodes.sparkSession.createDataFrame(found, f"node {kind}, root {kind}")
-    else:
-        links = _contract(durable(edges))
+    links = _contract(durable(pairs_of(edges).distinct()))
     return nodes.join(links, "node", "left").select("node", F.coalesce("root", "node").alias("component"))
 
 
-def _resolve(pairs: list[tuple]) -> list[tuple]:
-    parent: dict = {}
-
-    def root(x):
-        parent.setdefault(x, x)
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for a, b in pairs:
-        low, high = sorted((root(a), root(b)))
-        parent[high] = low
-    return [(x, root(x)) for x in list(parent)]
+def pairs_of(edges: DataFrame) -> DataFrame:
+    """Edges without loops, the larger end first."""
+    return edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
 def _contract(edges: DataFrame) -> DataFrame:
     """Stars: every node ends up linked to the smallest node it can reach."""
     last = None
-    for _ in range(MAX_ROUNDS):
+    while True:
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lows = both.groupBy("a").agg(F.min("b").alias("_min")).withColumn("_min", F.least("a", "_min"))
         # Larger neighbours move to the smallest neighbour of their node.
@@ -62,4 +42,3 @@ def _contract(edges: DataFrame) -> DataFrame:
         if mark == last:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         last = mark
-    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")

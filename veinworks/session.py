@@ -21,6 +21,7 @@ def build_session(app: str = "veinworks", master: str | None = None, **conf: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Rows may be whole pages: keep the batches for Python workers small.
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -29,22 +30,26 @@ def build_session(app: str = "veinworks", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and forget its lineage.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a folder of its own.
+    Only a session on one machine without that setting gets a folder of its own.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="veinworks-checkpoint-")
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get(
-            "spark.checkpoint.dir", None
-        )
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="veinworks-checkpoint-")
         context.setCheckpointDir(folder)
+    return folder
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and forget its lineage."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
