@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["simhash"]
+MODULES = ["quality_classifier", "bpe", "simhash"]
 
 
 def _load():
