@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from veinworks.llm.base import query, table, texts
 
@@ -245,7 +245,7 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", decoded_col:
     docs = docs.select(*[c for c in docs.columns if c not in made or c == text_col])
     at = docs.columns.index(text_col)
     kept = [k for k in range(len(docs.columns)) if k != at]
-    schema = StructType([docs.schema.fields[k] for k in kept]).add("ids", "array<int>")
+    schema = StructType([docs.schema.fields[k] for k in kept]).add("ids", ArrayType(IntegerType()))
     if decoded_col:
         schema = schema.add(decoded_col, "string")
 
