@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["quality_classifier", "bpe", "quality_rules", "simhash"]
+MODULES = ["quality_classifier", "bpe", "quality_rules", "token_store", "simhash", "warc"]
 
 
 def _load():
