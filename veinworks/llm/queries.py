@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["quality_classifier", "bpe", "quality_rules", "token_store", "simhash", "warc"]
+MODULES = ["quality_classifier", "bpe", "quality_rules", "token_store", "simhash", "secrets", "warc"]
 
 
 def _load():
