@@ -2,7 +2,9 @@
 
 from importlib import import_module
 
-MODULES = ["quality_classifier", "bpe", "quality_rules", "token_store", "simhash", "secrets", "warc"]
+MODULES = [
+    "quality_classifier", "bpe", "quality_rules", "token_store", "simhash", "decontaminate", "secrets", "warc",
+]
 
 
 def _load():
