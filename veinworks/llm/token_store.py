@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 import zstandard
@@ -29,7 +30,8 @@ from veinworks.llm.files import filesystem, read_at, task_name
 # Magic numbers and flags of the seekable format.
 SKIPPABLE, SEEKABLE, CHECKSUMS, FOOTER = 0x184D2A5E, 0x8F92EAB1, 0x80, 9
 FRAME_BYTES = 1 << 18
-KNOWN_PIECES = 800_000  # encoded pieces that a task remembers
+LOT_CHARS = 8 << 20  # texts encoded together
+KNOWN_PIECES = 600_000  # encoded pieces that a task remembers
 # The split rule of byte-level tokenizers and its white space.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACES = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -41,23 +43,24 @@ class FrameWriter:
     def __init__(self, stream, frame_bytes: int = FRAME_BYTES, level: int = 1):
         self.stream, self.frame_bytes = stream, frame_bytes
         self.compressor = zstandard.ZstdCompressor(level=level)
-        self.pending = bytearray()
+        self.pending = b""
         self.entries: list[tuple[int, int, int]] = []
 
     def write(self, data: bytes) -> None:
-        self.pending += data
-        while len(self.pending) >= self.frame_bytes:
-            self._frame(bytes(self.pending[: self.frame_bytes]))
-            del self.pending[: self.frame_bytes]
+        view = memoryview(self.pending + data) if self.pending else memoryview(data)
+        whole = len(view) // self.frame_bytes * self.frame_bytes
+        for at in range(0, whole, self.frame_bytes):
+            self._frame(view[at : at + self.frame_bytes])
+        self.pending = bytes(view[whole:])
 
-    def _frame(self, data: bytes) -> None:
+    def _frame(self, data: bytes | memoryview) -> None:
         packed = self.compressor.compress(data)
         self.stream.write(packed)
         self.entries.append((len(packed), len(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF))
 
     def close(self) -> None:
         if self.pending:
-            self._frame(bytes(self.pending))
+            self._frame(self.pending)
         table = b"".join(struct.pack("<III", *e) for e in self.entries)
         footer = struct.pack("<IBI", len(self.entries), CHECKSUMS, SEEKABLE)
         self.stream.write(struct.pack("<II", SKIPPABLE, len(table) + FOOTER) + table + footer)
@@ -164,21 +167,32 @@ class PieceEncoder:
             return b"".join([self.of_word[w] for w in self._words(piece)])
         return self._library(piece)
 
-    def encode(self, lot: list[str]) -> list[bytes]:
-        """Ids of each text as packed 32-bit integers."""
+    def encode(self, lot: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts with the end id after each, number of ids of each text)."""
         whole = [bool(self.whole(text)) for text in lot]
-        split = [[text] if w else text.split(" ") for text, w in zip(lot, whole, strict=True)]
+        parts = pc.split_pattern(pa.array(["" if w else t for t, w in zip(lot, whole, strict=True)], pa.string()), pattern=" ")
+        bounds = parts.offsets.to_numpy().astype(np.int64)
+        coded = parts.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
         if len(self.pieces) > KNOWN_PIECES:
             self.pieces, self.of_word = {}, {}
-        fresh = set()
-        for text in split:
-            fresh.update(text[1:])
-        self._learn([p for p in fresh if p not in self.pieces])
-        piece = self.pieces.__getitem__
-        return [
-            self._library(text[0]) if w else self._first(text[0]) + b"".join(map(piece, text[1:]))
-            for text, w in zip(split, whole, strict=True)
+        self._learn([p for p in distinct if p not in self.pieces])
+        # A text starts with a piece of its own, without a space before it, and ends with the end id.
+        firsts = [
+            self._library(text) if w else self._first(distinct[k])
+            for text, w, k in zip(lot, whole, coded.indices.to_numpy()[bounds[:-1]].tolist(), strict=True)
         ]
+        entries = [*map(self.pieces.__getitem__, distinct), *firsts, struct.pack("<I", end_id)]
+        size = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
+        pool, start = np.frombuffer(b"".join(entries), "<u4"), np.concatenate([[0], np.cumsum(size)])
+        order = coded.indices.to_numpy().astype(np.int64)
+        order[bounds[:-1]] = len(distinct) + np.arange(len(lot))
+        order = np.insert(order, bounds[1:], len(entries) - 1)
+        sizes = size[order]
+        ends = np.cumsum(sizes)
+        ids = pool[np.repeat(start[order] - (ends - sizes), sizes) + np.arange(ends[-1])]
+        last = ends[bounds[1:] + np.arange(len(lot))]
+        return ids, np.diff(last, prepend=0)
 
 
 def write_store(
@@ -198,7 +212,6 @@ def write_store(
     with open(tokenizer, encoding="utf-8") as file:
         spec = spark.sparkContext.broadcast(file.read())  # the vocabulary: a few MB, whatever the corpus
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]):
         encoder, writer, at = PieceEncoder(spec.value), None, 0
@@ -207,19 +220,19 @@ def write_store(
                 partition, name = task_name("shard", ".zst")
                 fs, path = filesystem(folder)
                 writer = FrameWriter(fs.open_output_stream(f"{path}/{name}", compression=None))
-            starts, sizes = [], []
+            sizes: list[int] = []
             lot: list[str] = []
             chars = 0
             for k, text in enumerate(texts(batch.column(1)), 1):
                 lot.append(text)
                 chars += len(text)
-                if chars >= 4 << 20 or k == batch.num_rows:
-                    for ids in encoder.encode(lot):
-                        writer.write(ids + end)
-                        starts.append(at)
-                        sizes.append(len(ids) // 4 + 1)
-                        at += sizes[-1]
+                if chars >= LOT_CHARS or k == batch.num_rows:
+                    ids, found = encoder.encode(lot, end_id)
+                    writer.write(ids.tobytes())
+                    sizes += found.tolist()
                     lot, chars = [], 0
+            ends = at + np.cumsum(sizes)
+            starts, at = ends - sizes, int(ends[-1])
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([partition] * n, pa.int32()), pa.array([name] * n, pa.string()),
