@@ -3,8 +3,8 @@
 from importlib import import_module
 
 MODULES = [
-    "quality_classifier", "bpe", "html_content", "quality_rules", "token_store", "simhash", "decontaminate", "secrets",
-    "warc",
+    "quality_classifier", "bpe", "html_content", "quality_rules", "token_store", "simhash", "lm_scoring",
+    "decontaminate", "secrets", "warc",
 ]
 
 
