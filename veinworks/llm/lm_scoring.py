@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from veinworks.llm.base import crc_fold, fresh_folder, query, table, texts, written
 from veinworks.llm.files import filesystem
 
-LOT_CHARS = 16 << 20
+LOT_CHARS = 8 << 20
 GROUP_TOKENS = 2 << 20  # tokens of the corpus per bucket of n-grams
 END, START = 0, -1  # the end token's number; the context of the first token
 END_HASH, START_HASH = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC3A5C85C97CB3127)
@@ -47,6 +47,12 @@ def unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
+def rows_of(batch: pa.RecordBatch):
+    """Rows of a batch as tuples, one in memory at a time."""
+    for k in range(batch.num_rows):
+        yield tuple(c[k].as_py() for c in batch.columns)
+
+
 def make_lots(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_col: str = "text", lot_chars: int = LOT_CHARS) -> DataFrame:
     """(lot, doc_ids, folds, lengths, hashes, words): texts as word numbers, in lots of bounded size.
 
@@ -60,7 +66,7 @@ def make_lots(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_col: s
     def close(number: int, ids: list, folds: list, lengths: list, seqs: list, known: dict, ids_type, folds_type) -> pa.RecordBatch:
         hashed = xxhash.xxh64_intdigest
         hashes = np.array([int(END_HASH), *(hashed(w, 42) for w in known)], "<u8")
-        words = np.concatenate(seqs) if seqs else np.zeros(0, np.int64)
+        words = np.concatenate(seqs) if seqs else np.zeros(0, np.int32)
         return pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64()), pa.array([ids], pa.list_(ids_type)), pa.array([folds], pa.list_(folds_type)),
              pa.array([lengths], pa.list_(pa.int64())), pa.array([hashes.tobytes()], pa.binary()), pa.array([pack(words)], pa.binary())],
@@ -82,7 +88,7 @@ def make_lots(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_col: s
                 ids.append(doc_id)
                 folds.append(fold_)
                 lengths.append(len(seq))
-                seqs.append(np.array(seq, np.int64))
+                seqs.append(np.array(seq, np.int32))
                 chars += len(text)
                 if chars >= lot_chars:
                     yield close(number, ids, folds, lengths, seqs, known, *types)
@@ -154,7 +160,7 @@ def requests(lots: DataFrame, groups: int, held_out: int, left_out: int) -> Data
 
     def run(batches):
         for batch in batches:
-            for lot, _, folds, lengths, hashes, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for lot, _, folds, lengths, hashes, words in rows_of(batch):
                 own = Lot.read(folds, lengths, hashes, words)
                 counts = own.tallies(held_out, left_out)
                 (word, word_at), (pair, pair_at) = own.orders(groups)
@@ -271,7 +277,7 @@ def learn_weights(lots: DataFrame, groups: int, folder: str, totals: Totals, lef
         fs, path = filesystem(folder)
         sums = np.zeros((CONTEXTS, RATIOS + 1), np.int64)
         for batch in batches:
-            for lot, _, folds, lengths, hashes, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for lot, _, folds, lengths, hashes, words in rows_of(batch):
                 own = Lot.read(folds, lengths, hashes, words)
                 if not (own.fold == left_out).any():
                     continue
@@ -347,7 +353,7 @@ def score_texts(
         fs, path = filesystem(folder)
         for batch in batches:
             ids_type = batch.schema.field("doc_ids").type.value_type
-            for lot, ids, folds_, lengths, hashes, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for lot, ids, folds_, lengths, hashes, words in rows_of(batch):
                 own = Lot.read(folds_, lengths, hashes, words)
                 kept, kept_pairs, left, left_pairs = lot_counts(lot, own, groups, fs, path)
                 count = kept + left
