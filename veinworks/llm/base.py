@@ -13,6 +13,8 @@ from veinworks.session import checkpoint_folder
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+BATCH_BYTES = 8 << 20
+
 
 def query(name: str, sql: str | None = None):
     """Register a query under ``name``, with its SQL check when there is one."""
@@ -55,6 +57,17 @@ def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with batches of at most ``BATCH_BYTES``: rows may be whole texts.
+
+    Spark keeps a batch in memory on both sides of the exchange with Python.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(key).rstrip("bB")) > BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def texts(column: pa.Array) -> Iterator[str]:
     """Python strings of an Arrow column, null as the empty string."""
     for value in column:

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from veinworks.llm.base import query, table, texts
+from veinworks.llm.base import map_arrow, query, table, texts
 
 # How the tokenizer file normalises and splits, and the same split
 # for code points below U+0250, whose classes no Unicode version changes and
@@ -259,7 +259,7 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", decoded_col:
                 columns.append(pa.array([merger.decode(x) for x in ids], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def decode(rows: DataFrame, tokenizer: str, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
@@ -275,7 +275,7 @@ def decode(rows: DataFrame, tokenizer: str, ids_col: str = "ids", decoded_col: s
             found = [merger.decode(np.array(x.as_py() or [], np.int64)) for x in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, decoded_col])
 
-    return rows.mapInArrow(run, StructType(rows.schema.fields[:]).add(decoded_col, "string"))
+    return map_arrow(rows, run, StructType(rows.schema.fields[:]).add(decoded_col, "string"))
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from veinworks.llm.base import query, table, texts
+from veinworks.llm.base import map_arrow, query, table, texts
 
 Q = 12
 EDITS = 0.05
@@ -276,7 +276,7 @@ def find_passages(
 
     out = None
     for rows in blocks(benchmark, block_chars):
-        part = chosen.mapInArrow(passages(rows), schema)
+        part = map_arrow(chosen, passages(rows), schema)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -298,7 +298,7 @@ def drop_contaminated(
         return run
 
     for rows in blocks(benchmark, block_chars):
-        docs = docs.mapInArrow(clean(rows), docs.schema)
+        docs = map_arrow(docs, clean(rows), docs.schema)
     return docs
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from veinworks.llm.base import query, table, texts
+from veinworks.llm.base import map_arrow, query, table, texts
 
 # The roles of HTML elements.
 VOID = frozenset("area base basefont br col embed frame hr img input link meta param source track wbr".split())
@@ -100,16 +100,13 @@ class Lines(HTMLParser):
         return bool(words & NAMES) or not in_article and bool(words & PAGE_NAMES)
 
     def handle_starttag(self, tag, attrs):
+        if tag in BLOCKS:  # the tag counts for the line that it starts
+            self._flush()
+            self._imply_end(("p",))
         self.tags += 1
         if tag in VOID:
-            if tag == "hr":
-                self._flush()
-            elif tag == "br":
-                self.text.append(" ")
+            self.text.append(" " if tag == "br" else "")
             return
-        if tag in BLOCKS:
-            self._flush()
-            self._imply_end(("p",))
         if tag in CLOSED_BY:
             self._imply_end(CLOSED_BY[tag])
         found = {k: v or "" for k, v in attrs}
@@ -228,7 +225,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
             columns = [pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *columns], schema.fieldNames())
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 @query("op3_html_extraction")

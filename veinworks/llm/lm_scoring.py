@@ -24,7 +24,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from veinworks.llm.base import crc_fold, fresh_folder, query, table, texts, written
+from veinworks.llm.base import crc_fold, fresh_folder, map_arrow, query, table, texts, written
 from veinworks.llm.files import filesystem
 
 LOT_CHARS = 8 << 20
@@ -97,7 +97,7 @@ def make_lots(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_col: s
         if ids:
             yield close(number, ids, folds, lengths, seqs, known, *types)
 
-    return chosen.mapInArrow(run, schema)
+    return map_arrow(chosen, run, schema)
 
 
 @dataclass
@@ -178,7 +178,7 @@ def requests(lots: DataFrame, groups: int, held_out: int, left_out: int) -> Data
                 )
 
     chosen = lots.select("lot", "doc_ids", "folds", "lengths", "hashes", "words")
-    return chosen.mapInArrow(run, "bucket int, lot long, words binary, pairs binary, kept binary, left binary")
+    return map_arrow(chosen, run, "bucket int, lot long, words binary, pairs binary, kept binary, left binary")
 
 
 def replies(asked: DataFrame) -> DataFrame:
@@ -293,7 +293,7 @@ def learn_weights(lots: DataFrame, groups: int, folder: str, totals: Totals, lef
         )
 
     chosen = lots.select("lot", "doc_ids", "folds", "lengths", "hashes", "words")
-    found = chosen.mapInArrow(run, "context int, ratio int, n long").groupBy("context", "ratio").agg(F.sum("n").alias("n"))
+    found = map_arrow(chosen, run, "context int, ratio int, n long").groupBy("context", "ratio").agg(F.sum("n").alias("n"))
     table = np.zeros((CONTEXTS, RATIOS + 1))
     for c, r, n in found.collect():  # at most CONTEXTS x RATIOS rows
         table[c, r] = n
@@ -373,8 +373,8 @@ def score_texts(
 
     chosen = lots.select("lot", "doc_ids", "folds", "lengths", "hashes", "words")
     kind = docs.schema[id_col].dataType.simpleString()
-    return chosen.mapInArrow(
-        run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return map_arrow(
+        chosen, run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
 
 

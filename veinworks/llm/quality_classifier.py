@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from veinworks.llm.base import crc_fold, query, table, texts, written
+from veinworks.llm.base import crc_fold, map_arrow, query, table, texts, written
 from veinworks.llm.charclass import SYMBOLS, class_counts, class_table
 
 STATS = (
@@ -61,7 +61,7 @@ def stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     kind = docs.schema[id_col].dataType.simpleString()
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return chosen.mapInArrow(run, f"doc_id {kind}, stats array<double>")
+    return map_arrow(chosen, run, f"doc_id {kind}, stats array<double>")
 
 
 def _lists(rows: np.ndarray) -> pa.ListArray:
@@ -160,7 +160,7 @@ def _normal_equations(rows: DataFrame, model: Model, folds: int) -> tuple[np.nda
         return pa.Table.from_arrays([part["fold"][:1], part["i"][:1], _lists(total)], ["fold", "i", "sums"])
 
     schema = "fold int, i int, sums array<double>"
-    parts = rows.mapInArrow(run, schema).groupBy("fold", "i").applyInArrow(add, schema)
+    parts = map_arrow(rows, run, schema).groupBy("fold", "i").applyInArrow(add, schema)
     sums = np.zeros((folds, size, size + 1))
     for fold, i, values in parts.collect():  # folds x features rows
         sums[fold, i] = values
@@ -178,7 +178,7 @@ def _calibrate(rows: DataFrame, model: Model, by_fold: np.ndarray) -> tuple[np.n
             bins = np.minimum((raw - RAW_LOW) / (RAW_HIGH - RAW_LOW) * RAW_BINS, RAW_BINS - 1).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(raw), batch.column(1)], ["bin", "raw", "label"])
 
-    binned = rows.mapInArrow(run, "bin int, raw double, label double").groupBy("bin")
+    binned = map_arrow(rows, run, "bin int, raw double, label double").groupBy("bin")
     found = binned.agg(F.avg("raw").alias("x"), F.avg("label").alias("y"), F.count(F.lit(1)).alias("n"))
     return isotonic([(r["x"], r["y"], r["n"]) for r in found.orderBy("bin").collect()])  # at most RAW_BINS rows
 
@@ -202,7 +202,7 @@ def score_stats(stats: DataFrame, model: Model) -> DataFrame:
             scores = model.score(_matrix(batch.column(1), len(STATS)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
-    return stats.mapInArrow(run, f"doc_id {stats.schema['doc_id'].dataType.simpleString()}, score double")
+    return map_arrow(stats, run, f"doc_id {stats.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def score_rows(docs: DataFrame, model: Model, score_col: str, text_col: str = "text") -> DataFrame:
@@ -217,7 +217,7 @@ def score_rows(docs: DataFrame, model: Model, score_col: str, text_col: str = "t
             scores = pa.array(model.score(rows), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, score_col])
 
-    return docs.mapInArrow(run, StructType(docs.schema.fields[:]).add(score_col, "double"))
+    return map_arrow(docs, run, StructType(docs.schema.fields[:]).add(score_col, "double"))
 
 
 def training_labels(labels: DataFrame) -> DataFrame:

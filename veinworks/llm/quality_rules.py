@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from veinworks.llm.base import query, table, texts, written
+from veinworks.llm.base import map_arrow, query, table, texts, written
 from veinworks.llm.charclass import CLASSES, class_counts, class_table
 
 WINDOW = 5
@@ -134,12 +134,10 @@ def references(docs: DataFrame, rules: Rules, text_col: str = "text", lang_col:
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["lang", "item", "is_class", "n"]
             )
 
-    one = (
-        docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-        .mapInArrow(summaries, "lang string, least long, summary binary")
-        .groupBy("least").agg(F.min(F.struct("lang", "summary")).alias("one")).select("one.*")
-    )
-    counted = one.mapInArrow(tallies, "lang string, item string, is_class boolean, n long")
+    chosen = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    summed = map_arrow(chosen, summaries, "lang string, least long, summary binary")
+    one = summed.groupBy("least").agg(F.min(F.struct("lang", "summary")).alias("one")).select("one.*")
+    counted = map_arrow(one, tallies, "lang string, item string, is_class boolean, n long")
     counted = written(counted.groupBy("lang", "item", "is_class").agg(F.sum("n").alias("n")), "rule-counts")
     totals = counted.where("not is_class").groupBy("lang").agg(F.sum("n").alias("total"))
     everything = totals.agg(F.sum("total")).first()[0] or 0
@@ -202,7 +200,7 @@ def apply_rules(docs: DataFrame, known: References, rules: Rules, text_col: str
             if out:
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *columns], schema.fieldNames())
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def judge(docs: DataFrame, rules: Rules | None = None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from veinworks.llm.base import query, table, texts, written
+from veinworks.llm.base import map_arrow, query, table, texts, written
 
 # The base rules. Group 2 of an assignment is its value.
 ASSIGN = re.compile(
@@ -89,7 +89,7 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(found, kind)], schema.fieldNames())
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def ownership(rows: DataFrame, owner: Column, repository: Column, hashes: Column) -> DataFrame:
@@ -202,7 +202,7 @@ def mask(
             columns = [*batch.columns[:at], pa.array(found, pa.string()), *batch.columns[at + 1 : len(fields)]]
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[: len(fields)])
 
-    marked = docs.mapInArrow(first, StructType(fields[:]).add("_further", longs))
+    marked = map_arrow(docs, first, StructType(fields[:]).add("_further", longs))
     easy = marked.where(F.size("_further") == 0).drop("_further")
     hard = marked.where(F.size("_further") > 0).withColumn("_row", F.monotonically_increasing_id())
     hard = written(hard, "secret-rows")
@@ -210,7 +210,7 @@ def mask(
     each = hard.select("_row", F.explode(F.array_distinct("_further")).alias("hash"))
     by_row = each.join(copied, "hash").groupBy("_row").agg(F.collect_list("hash").alias("_copied"))  # values of one text
     known = hard.join(by_row, "_row", "left").select(*docs.columns, "_copied")
-    return easy.unionByName(known.mapInArrow(second, docs.schema))
+    return easy.unionByName(map_arrow(known, second, docs.schema))
 
 
 @query("op9_secret_scan")

@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from veinworks.llm.base import query, table, texts, written
+from veinworks.llm.base import map_arrow, query, table, texts, written
 from veinworks.operators.graph import connected_components
 
 BITS = 64
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
 
     kind = docs.schema[id_col].dataType.simpleString()
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return chosen.mapInArrow(run, f"doc_id {kind}, fp long")
+    return map_arrow(chosen, run, f"doc_id {kind}, fp long")
 
 
 def index(prints: DataFrame, max_bits: int) -> DataFrame:
@@ -91,7 +91,9 @@ def links(prints: DataFrame, max_bits: int = 2, bucket: int = 16) -> DataFrame:
         raise ValueError("max_bits is 0, 1 or 2")
     if max_bits == 0:  # distinct fingerprints are never equal
         return prints.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where("a <> b")
-    entries = index(prints, max_bits)
+    # Few bytes, but dozens of entries a fingerprint: spread before they are made.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = index(prints.repartition(parts, "fp"), max_bits)
     sizes = entries.groupBy("entry", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = written(entries.join(sizes, ["entry", "value"]), "simhash-shared")
     few = shared.where(F.col("n") <= bucket).drop("n")

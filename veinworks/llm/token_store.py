@@ -23,7 +23,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from veinworks.llm.base import fresh_folder, query, table, texts
+from veinworks.llm.base import fresh_folder, map_arrow, query, table, texts
 from veinworks.llm.bpe import byte_letters, default_tokenizer
 from veinworks.llm.files import filesystem, read_at, task_name
 
@@ -248,7 +248,7 @@ def write_store(
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     placed = chosen.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
     schema = f"doc_id {kind}, shard int, file string, start long, n_tokens long"
-    placed.mapInArrow(run, schema).write.parquet(f"{folder}/index")
+    map_arrow(placed, run, schema).write.parquet(f"{folder}/index")
     return spark.read.schema(schema).parquet(f"{folder}/index")
 
 
@@ -285,7 +285,7 @@ def read_store(index: DataFrame, folder: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary())], [*names, "ids"])
                     ids, begin, size = [], k, 0
 
-    return index.mapInArrow(run, index.withColumn("ids", F.lit(b"")).schema)
+    return map_arrow(index, run, index.withColumn("ids", F.lit(b"")).schema)
 
 
 @query("op5_token_store")

@@ -21,7 +21,7 @@ from urllib.parse import quote
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from veinworks.llm.base import fresh_folder, query, table
+from veinworks.llm.base import fresh_folder, map_arrow, query, table
 from veinworks.llm.files import coalesce, filesystem, read_at, task_name
 
 LEAST_BYTES = 1000
@@ -123,7 +123,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES
 
     fs, path = filesystem(folder)
     fs.create_dir(path, recursive=True)
-    plan_records(pages, least_bytes).mapInArrow(run, schema).write.parquet(f"{folder}/index")
+    map_arrow(plan_records(pages, least_bytes), run, schema).write.parquet(f"{folder}/index")
     return pages.sparkSession.read.schema(schema).parquet(f"{folder}/index")
 
 
@@ -180,7 +180,7 @@ def read_archives(index: DataFrame, folder: str, gap: int = GAP, most: int = MOS
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    return index.select("file", "offset", "length", "url").mapInArrow(run, schema)
+    return map_arrow(index.select("file", "offset", "length", "url"), run, schema)
 
 
 @query("op10_warc")
