@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from veinworks.session import durable
 
 
+EDGES_PER_FILE = 100_000
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node of each component.
 
@@ -35,9 +38,9 @@ def _contract(edges: DataFrame) -> DataFrame:
         mins = large.groupBy("a").agg(F.min("b").alias("_min"))
         small = large.join(mins, "a")
         moved = small.where("b <> _min").select(F.col("b").alias("a"), F.col("_min").alias("b"))
-        edges = durable(
-            moved.unionByName(mins.select("a", F.col("_min").alias("b"))).where("a <> b").distinct()
-        )
+        found = moved.unionByName(mins.select("a", F.col("_min").alias("b"))).where("a <> b").distinct()
+        # A round makes no more edges than it reads: few edges need few files.
+        edges = durable(found.coalesce(max(1, last[0] // EDGES_PER_FILE)) if last else found)
         mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == last:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
