@@ -31,7 +31,7 @@ from veinworks.llm.base import map_arrow, query, table, texts
 KNOWN_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 KNOWN_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 
-LOT_CHARS = 8 << 20  # texts merged together; a longer text is a lot of its own
+LOT_CHARS = 3 << 20  # texts merged together; a longer text is a lot of its own
 
 
 def byte_letters() -> list[str]:

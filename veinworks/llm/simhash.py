@@ -25,6 +25,7 @@ from veinworks.operators.graph import connected_components
 
 BITS = 64
 SEED = 42
+ROWS_PER_FILE = 1_000_000  # of the narrow table of fingerprints
 CHUNK = 1 << 16  # hashes whose bits are unpacked at once: bounds memory on long texts
 
 
@@ -134,7 +135,7 @@ def near_duplicates(
     """
     prints = written(fingerprints(docs, words, id_col, text_col), "simhash-prints")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    nodes = written(classes, "simhash-classes")
+    nodes = written(classes.coalesce(max(1, prints.count() // ROWS_PER_FILE)), "simhash-classes")
     found = connected_components(nodes.select(F.col("fp").alias("node")), links(nodes.select("fp"), max_bits, bucket))
     joined = nodes.join(found.withColumnRenamed("node", "fp"), "fp")
     names = joined.groupBy("component").agg(F.min("low").alias("component_id"))
