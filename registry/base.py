@@ -94,6 +94,16 @@ FROM customer c LEFT JOIN (
 NUMBERS = ["acctbal", "n_orders", "total_spend", "avg_order", "max_order", "n_urgent", "acctbal_gaps"]
 
 
+def facts(spark: SparkSession, **values) -> DataFrame:
+    """(fact, value): what must hold for a result that SQL cannot compute itself."""
+    return spark.createDataFrame([(k, float(v)) for k, v in values.items()], "fact string, value double")
+
+
+def facts_sql(**values) -> str:
+    """The same facts in SQL; each value is a number or a scalar query."""
+    return union_all([f"SELECT '{k}' AS fact, ({v})::DOUBLE AS value" for k, v in values.items()])
+
+
 def union_all(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 

@@ -2,9 +2,9 @@
 
 import re
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from registry.base import FEATURES, customer_features, hash_sql, query, r, rounded, table, union_all
+from registry.base import FEATURES, customer_features, facts, facts_sql, hash_sql, query, r, rounded, table, union_all
 from veinworks.operators import clustering as K
 from veinworks.operators import density as D
 from veinworks.operators import neighbors as NB
@@ -131,7 +131,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     profile = K.cluster_profile(vectors(spark, sf), DIMS, "label")
-    return rounded(K.normalised_profile(profile, DIMS), ["scaled"])
+    return rounded(K.normalised_profile(profile, DIMS, n=10), ["scaled"])
 
 
 @query(
@@ -141,7 +141,7 @@ def _(spark, sf):
       FROM l JOIN t USING (feature) WINDOW w AS (PARTITION BY feature)""",
 )
 def _(spark, sf):
-    return rounded(K.segment_dashboard(vectors(spark, sf), DIMS, "label")["profile"], ["scaled"])
+    return rounded(K.segment_dashboard(vectors(spark, sf), DIMS, "label", n=8)["profile"], ["scaled"])
 
 
 @query(
@@ -151,7 +151,7 @@ def _(spark, sf):
     SELECT label::BIGINT AS prediction, feature, round(median(value), 6) AS median FROM x JOIN t USING (feature) GROUP BY label, feature""",
 )
 def _(spark, sf):
-    return rounded(K.segment_dashboard(vectors(spark, sf), DIMS, "label")["medians"], ["median"])
+    return rounded(K.segment_dashboard(vectors(spark, sf), DIMS, "label", n=8)["medians"], ["median"])
 
 
 @query(
@@ -164,7 +164,7 @@ def _(spark, sf):
     from veinworks.operators.columns import wide_to_long
 
     v = vectors(spark, sf)
-    data = K.pair_plot_data(v.drop("label"), v.select("row_id", F.col("label").alias("prediction")), DIMS)
+    data = K.pair_plot_data(v.drop("label"), v.select("row_id", F.col("label").alias("prediction")), DIMS, n=8)
     shown = [c for c in data.columns if c not in ("row_id", "prediction")]
     return rounded(wide_to_long(data, shown, ["row_id", "prediction"]), ["value"])
 
@@ -351,9 +351,16 @@ def _(spark, sf):
     return rounded(rounded(found, ["eps"], 3), ["silhouette"])
 
 
-@query("dbscan_eps_sweep")
+@query("dbscan_eps_sweep", facts_sql(labelled=1, in_range=1, falling_noise=1, ordered=1))
 def _(spark, sf):
-    return rounded(D.dbscan_eps_sweep(plane(spark, sf), ["x", "y"])["sweep"], ["silhouette"])
+    found = D.dbscan_eps_sweep(plane(spark, sf), ["x", "y"])
+    rows = found["sweep"].orderBy("eps").collect()
+    noise = [r["n_noise"] for r in rows]
+    return facts(
+        spark, labelled=found["labels"] is None or found["labels"].count() == plane(spark, sf).count(),
+        in_range=all(-1 <= r["silhouette"] <= 1 for r in rows if r["silhouette"] is not None),
+        falling_noise=noise == sorted(noise, reverse=True), ordered=len({r["eps"] for r in rows}) == len(rows),
+    )
 
 
 _SWEEP = """s AS (SELECT l_tax AS eps, l_linenumber AS min_samples, COUNT(DISTINCT l_suppkey) - 95 AS n_clusters,
@@ -411,58 +418,101 @@ def _(spark, sf):
     return rounded(RK.elbow(k), ["inertia", "drop"], 2)
 
 
-# ---------------------------------------------------- clustering (rows only)
+# ------------------------------------- clustering, checked by what must hold
+
+_EMBEDDED = "SELECT COUNT(*) FROM embeddings"
+_CUSTOMERS = "SELECT COUNT(*) FROM customer"
+
+
+def _sweep_facts(spark, found, n_rows) -> DataFrame:
+    """Settings tried, whether the winner has the best score, and the rows labelled."""
+    rows = [r for r in found["sweep"].collect() if r["silhouette"] is not None]
+    best = max((r["silhouette"] for r in rows), default=None)
+    return facts(
+        spark, settings=found["sweep"].count(), winner_is_best=found["silhouette"] == best,
+        in_range=all(-1 <= r["silhouette"] <= 1 for r in rows), rows=n_rows, labelled=found["labels"].count(),
+        clusters_match=found["labels"].select("prediction").distinct().where("prediction >= 0").count() == found["n_clusters"],
+    )
+
 
+def _sweep_facts_sql(settings: str, rows: str) -> str:
+    return facts_sql(settings=settings, winner_is_best=1, in_range=1, rows=rows, labelled=rows, clusters_match=1)
 
-@query("kmeans")
+
+@query("kmeans", facts_sql(rows=_EMBEDDED, clusters=10, misplaced=0, cheapest=1))
 def _(spark, sf):
     v = vectors(spark, sf)
-    model, _ = K.fit_kmeans(v, DIMS, 10)
-    return K.assign_kmeans(v, DIMS, model)
+    model, cost = K.fit_kmeans(v, DIMS, 10)
+    found = K.assign_kmeans(v, DIMS, model)
+    nearest = K.nearest_center(v, DIMS, [list(c) for c in model.clusterCenters()]).select("row_id", F.col("prediction").alias("nearest"))
+    seen = found.join(nearest, "row_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("prediction").alias("clusters"), F.count_if(F.col("prediction") != F.col("nearest")).alias("misplaced")
+    ).first()
+    return facts(spark, **seen.asDict(), cheapest=cost <= K.fit_kmeans(v, DIMS, 10, starts=1)[1] + 1e-6)
 
 
-@query("kmeans_sweep")
+@query("kmeans_sweep", _sweep_facts_sql("9", _CUSTOMERS))
 def _(spark, sf):
-    return rounded(K.kmeans_sweep(prepared_customers(spark, sf), SEGMENT_COLS, (2, 4))["sweep"], ["silhouette", "inertia"], 4)
-
+    found = K.kmeans_sweep(prepared_customers(spark, sf), SEGMENT_COLS)
+    return _sweep_facts(spark, found, table(spark, sf, "customer").count())
 
-for _linkage in K.LINKAGES:
 
-    @query(f"hierarchical_{_linkage}")
-    def _(spark, sf, linkage=_linkage):
-        return K.hierarchical_labels(vectors(spark, sf), DIMS, 10, linkage)
+@query("hierarchical", facts_sql(rows=_EMBEDDED, clusters=10, nested=1))
+def _(spark, sf):
+    v = vectors(spark, sf)
+    fine = K.hierarchical_labels(v, DIMS, 10)
+    both = fine.join(K.hierarchical_labels(v, DIMS, 2).withColumnRenamed("prediction", "half"), "row_id")
+    groups = both.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("half").alias("halves"))
+    seen = groups.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("clusters"), (F.max("halves") == 1).cast("int").alias("nested")).first()
+    return facts(spark, **seen.asDict())
 
 
-@query("hierarchical_sweep")
+@query("hierarchical_sweep", _sweep_facts_sql("9", _CUSTOMERS))
 def _(spark, sf):
-    return rounded(K.hierarchical_sweep(prepared_customers(spark, sf), SEGMENT_COLS, (2, 6))["sweep"].drop("inertia"), ["silhouette"])
+    found = K.hierarchical_sweep(prepared_customers(spark, sf), SEGMENT_COLS)
+    return _sweep_facts(spark, found, table(spark, sf, "customer").count())
 
 
-@query("run_clustering")
+@query("run_clustering", facts_sql(methods=3, kmeans_settings=9, hierarchical_settings=9, winner_is_best=1, labelled=_CUSTOMERS))
 def _(spark, sf):
-    found = K.run_clustering(prepared_customers(spark, sf), SEGMENT_COLS, (2, 3), ["kmeans", "hierarchical"])
-    return rounded(found["sweep"].drop("inertia"), ["silhouette"], 4)
+    found = K.run_clustering(prepared_customers(spark, sf), SEGMENT_COLS)
+    rows = found["sweep"].collect()
+    methods = [r["method"] for r in rows]
+    best = max(r["silhouette"] for r in rows if r["silhouette"] is not None)
+    return facts(
+        spark, methods=len(set(methods)), kmeans_settings=methods.count("kmeans"), hierarchical_settings=methods.count("hierarchical"),
+        winner_is_best=abs(best - found["silhouette"]) < 1e-9, labelled=found["labels"].count(),
+    )
 
 
-@query("segmentation")
+@query("segmentation", facts_sql(methods=3, winner_is_best=1, rows=_CUSTOMERS, clusters_match=1))
 def _(spark, sf):
     f = customer_features(spark, sf).select(
         "row_id", F.col("acctbal_gaps").alias("Income"), F.col("n_orders").alias("NumStorePurchases"), F.col("total_spend").alias("MntTotal")
     )
-    found = K.segmentation(f, (2, 4))
-    return K.cluster_sizes(found["labels"])
+    found = K.segmentation(f)
+    scores = {r["method"]: r["silhouette"] for r in found["scores"].collect()}
+    sizes = K.cluster_sizes(found["labels"]).collect()
+    return facts(
+        spark, methods=len(scores), winner_is_best=scores[found["method"]] == max(scores.values()), rows=sum(r["count"] for r in sizes),
+        clusters_match=sum(r["prediction"] >= 0 for r in sizes) == found["n_clusters"],
+    )
 
 
-@query("cluster_overview")
+@query("cluster_overview", facts_sql(rows=_EMBEDDED, clusters="SELECT COUNT(DISTINCT label) FROM embeddings", ordered=1, uncorrelated=1))
 def _(spark, sf):
     v = vectors(spark, sf)
-    tables = K.cluster_overview(v.drop("label"), v.select("row_id", F.col("label").alias("prediction")), DIMS)
-    return rounded(tables["projection"], ["pc1", "pc2"])
+    points = K.cluster_overview(v.drop("label"), v.select("row_id", F.col("label").alias("prediction")), DIMS)["projection"]
+    seen = points.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("prediction").alias("clusters"),
+        (F.var_samp("pc1") >= F.var_samp("pc2")).cast("int").alias("ordered"), (F.abs(F.corr("pc1", "pc2")) < 1e-6).cast("int").alias("uncorrelated"),
+    ).first()
+    return facts(spark, **seen.asDict())
 
 
 @query(
     "cluster_overview_boxes",
-    f"""WITH x AS ({union_all([f"SELECT label::BIGINT AS prediction, 'e{i}' AS feature, embedding[{i + 1}]::DOUBLE AS value FROM embeddings" for i in range(10)])})
+    f"""WITH x AS ({union_all([f"SELECT label::BIGINT AS prediction, 'e{i}' AS feature, embedding[{i + 1}]::DOUBLE AS value FROM embeddings" for i in range(WIDTH)])})
     SELECT prediction, feature, round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.75), 6) AS q3 FROM x GROUP BY ALL""",
 )
 def _(spark, sf):
@@ -471,11 +521,19 @@ def _(spark, sf):
     return rounded(tables["boxes"].select("prediction", "feature", "q1", "median", "q3"), ["q1", "median", "q3"])
 
 
-@query("clustering_report")
+@query(
+    "clustering_report",
+    facts_sql(projected=_EMBEDDED, silhouettes=_EMBEDDED, sizes="SELECT COUNT(DISTINCT label) FROM embeddings", in_range=1, same_mean=1),
+)
 def _(spark, sf):
     v = vectors(spark, sf)
     tables = K.clustering_report(v.drop("label"), v.select("row_id", F.col("label").alias("prediction")), DIMS)
-    return rounded(tables["scores"], ["value"])
+    seen = tables["silhouettes"].agg(F.count("silhouette").alias("n"), F.min("silhouette").alias("low"), F.max("silhouette").alias("high"), F.avg("silhouette").alias("mean")).first()
+    scores = {r[0]: r["value"] for r in tables["scores"].collect()}
+    return facts(
+        spark, projected=tables["projection"].count(), silhouettes=seen["n"], sizes=tables["dashboard_sizes"].count(),
+        in_range=-1 <= seen["low"] <= seen["high"] <= 1, same_mean=any(v is not None and abs(v - seen["mean"]) < 1e-6 for v in scores.values()),
+    )
 
 
 # ------------------------------------------------------------ oversampling

@@ -1,12 +1,13 @@
 """Scoring, selection, classification, components, sources and whole runs."""
 
-import tempfile
+import uuid
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from registry.base import AS_OF, FEATURES, customer_features, query, r, rounded, table, union_all
-from registry.clusters import DIMS, SEGMENT_COLS, SEG, prepared_customers, segmented_customers, vectors
+from registry.base import AS_OF, FEATURES, customer_features, facts, facts_sql, hash_sql, query, r, rounded, table, union_all
+from registry.clusters import DIMS, SEGMENT_COLS, SEG, VEC, prepared_customers, segmented_customers, vectors
 from veinworks.operators import classification as M
 from veinworks.operators import components as PC
 from veinworks.operators import ranking as RK
@@ -18,6 +19,7 @@ from veinworks.plans import runs
 from veinworks.plans.preprocess import Preprocess, PreprocessModel
 from veinworks.plans.settings import Settings, apply_in_batches
 from veinworks.plans.steps import SelectFeatures
+from veinworks.session import checkpoint_folder, durable
 from veinworks.sources import tables as ST
 
 # ------------------------------------------------------------------ scoring
@@ -189,11 +191,16 @@ def _(spark, sf):
     return rounded(RK.top_n(keep_important(spread, 10.0), "importance", 5, ["feature"]), ["importance"], 2)
 
 
-@query("component_fit")
+@query("component_fit", facts_sql(rows=640, unit_length=1, orthogonal=1, falling=1, shares=1))
 def _(spark, sf):
-    v = vectors(spark, sf)
-    loadings, share = PC.fit_components(v, DIMS, 10)
-    return rounded(PC.component_table(spark, DIMS, loadings, share), ["loading", "explained"])
+    loadings, share = PC.fit_components(vectors(spark, sf), DIMS, 10)
+    product = loadings @ loadings.T
+    table_ = PC.component_table(spark, DIMS, loadings, share)
+    return facts(
+        spark, rows=table_.count(), unit_length=abs(product.diagonal() - 1).max() < 1e-9,
+        orthogonal=abs(product - np.eye(len(product))).max() < 1e-9, falling=all(a >= b for a, b in zip(share, share[1:])),
+        shares=0 < sum(share) <= 1 + 1e-9,
+    )
 
 
 # Two columns have a closed form: both load equally on each component.
@@ -221,48 +228,67 @@ def _(spark, sf):
     return pts.select("o_orderkey", r(F.abs("pc1"), 4).alias("first"), r(F.abs("pc2"), 4).alias("second"))
 
 
-@query("component_overview")
+@query("component_overview", "WITH" + FEATURES + facts_sql(rows="SELECT COUNT(acctbal_gaps) FROM features", ordered=1, uncorrelated=1))
 def _(spark, sf):
     f = customer_features(spark, sf)
     over = PC.component_overview(f, ["acctbal_gaps", "total_spend", "n_orders", "max_order"])
-    return rounded(over["projection"], ["pc1", "pc2"])
+    seen = over["projection"].agg(
+        F.count(F.lit(1)).alias("rows"), (F.var_samp("pc1") >= F.var_samp("pc2")).cast("int").alias("ordered"),
+        (F.abs(F.corr("pc1", "pc2")) < 1e-6).cast("int").alias("uncorrelated"),
+    ).first()
+    return facts(spark, **seen.asDict())
 
 
 # --------------------------------------------------------- feature selection
 
 
-@query("rank_unsupervised")
+@query("rank_unsupervised", facts_sql(features=len(SEGMENT_COLS), ranks=len(SEGMENT_COLS), finite=1))
 def _(spark, sf):
-    ranking, _ = SEL.rank_unsupervised(prepared_customers(spark, sf), SEGMENT_COLS)
-    return rounded(ranking.drop("position"), ["variance", "loading", "score"])
+    rows = SEL.rank_unsupervised(prepared_customers(spark, sf), SEGMENT_COLS)[0].collect()
+    return facts(
+        spark, features=len({r_["feature"] for r_ in rows}), ranks=len({r_["position"] for r_ in rows}),
+        finite=all(r_["score"] is not None and r_["score"] == r_["score"] for r_ in rows),
+    )
 
 
-@query("select_features_clustering")
+@query("select_features_clustering", facts_sql(features=15, report_rows=17, rows="SELECT COUNT(*) FROM embeddings", columns=16))
 def _(spark, sf):
-    v = vectors(spark, sf).drop("label")
-    found = SEL.select_features(v, problem_type="clustering", n_features=15)
-    return SEL.selection_report(spark, "clustering", found["features"])
+    found = SEL.select_features(vectors(spark, sf).drop("label"), problem_type="clustering", n_features=15)
+    report = SEL.selection_report(spark, "clustering", found["features"])
+    return facts(spark, features=len(set(found["features"])), report_rows=report.count(), rows=found["data"].count(), columns=len(found["data"].columns))
+
+
+def _curve_facts(spark, found, n_features: int, most: float) -> DataFrame:
+    """Length and range of an elimination curve, and whether the chosen size is the best."""
+    curve = {r_["n_features"]: r_["mean_score"] for r_ in found["curve"].collect()}
+    best = max(curve, key=lambda n: (curve[n], -n))
+    return facts(
+        spark, sizes=len(curve), in_range=all(v <= most for v in curve.values()),
+        chosen=len(found["features"]) == min(best, n_features), importances=found["importances"].count() == best,
+    )
 
 
 def _classified(spark, sf):
-    """Binary target on the embeddings, a handful of coordinates."""
-    v = vectors(spark, sf)
-    return v.select("row_id", (F.col("label") < 5).cast("int").alias("label"), *DIMS[:8])
+    """Labelled documents with the counts of their texts."""
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    text = F.col("text")
+    counts = {f"n_{name}": F.length(text) - F.length(F.translate(text, chars, "")) for name, chars in (
+        ("vowels", "aeiou"), ("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), ("digits", "0123456789"), ("symbols", "#*$%&|<>"), ("stops", ".,!?"),
+    )}
+    return d.select(F.col("doc_id").alias("row_id"), F.col("quality").alias("label"), "n_chars", *(c.alias(n) for n, c in counts.items()))
 
 
-@query("select_features_classification")
+@query("select_features_classification", facts_sql(sizes=6, in_range=1, chosen=1, importances=1))
 def _(spark, sf):
-    found = SEL.select_features(_classified(spark, sf), "label", n_features=4, max_depth=5)
-    return rounded(found["curve"], ["mean_score"])
+    return _curve_facts(spark, SEL.select_features(_classified(spark, sf), "label", n_features=4), 4, 1.0)
 
 
-@query("select_features_regression")
+@query("select_features_regression", facts_sql(sizes=3, in_range=1, chosen=1, importances=1))
 def _(spark, sf):
     li = table(spark, sf, "lineitem").select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"), "l_extendedprice", "l_quantity", "l_discount", "l_tax"
     )
-    found = SEL.select_features(li, "l_extendedprice", "regression")
-    return rounded(found["curve"], ["mean_score"])
+    return _curve_facts(spark, SEL.select_features(li, "l_extendedprice", "regression"), 3, 1.0)
 
 
 @query(
@@ -286,26 +312,38 @@ def _binary(spark, sf):
     return split_rows(v, 0.2)
 
 
+_TEST = f"FROM embeddings WHERE {hash_sql('vec_id')} < 429496729"
+
+
+def _in_range(rows) -> bool:
+    return all(v is None or 0 <= v <= 1 for r_ in rows for v in r_.asDict().values() if not isinstance(v, str))
+
+
 for _model in M.DEFAULTS:
 
-    @query("classifier_" + _model.lower().replace(" ", "_"))
+    @query(
+        "classifier_" + _model.lower().replace(" ", "_"),
+        facts_sql(rows=f"SELECT COUNT(*) {_TEST}", positives=f"SELECT COUNT(*) {_TEST} AND label < 5", unscored=0, agree=1, in_range=1),
+    )
     def _(spark, sf, name=_model):
         train, test = _binary(spark, sf)
-        params = {**M.DEFAULTS[name], **({"n_estimators": 20} if "n_estimators" in M.DEFAULTS[name] else {})}
-        fitted = M.FITTERS[name](train, DIMS, "label", "row_id", **params)
-        scored = M.labelled(fitted.score(test), test, "label", "row_id").withColumn("model", F.lit(name))
-        return rounded(SC.leaderboard(scored), SC.METRICS)
+        fitted = M.FITTERS[name](train, DIMS, "label", "row_id", **M.DEFAULTS[name])
+        scored = durable(M.labelled(fitted.score(test), test, "label", "row_id").withColumn("model", F.lit(name)))
+        seen = scored.agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("label").alias("positives"), F.count_if(~F.col("score").between(0, 1)).alias("unscored"),
+            F.avg((F.col("label") == F.col("prediction")).cast("int")).alias("accuracy"),
+        ).first().asDict()
+        board = SC.leaderboard(scored).collect()
+        accuracy = seen.pop("accuracy")
+        return facts(spark, **seen, agree=abs(board[0]["Accuracy"] - accuracy) < 1e-9, in_range=_in_range(board))
 
 
-@query("compare_models")
+@query("compare_models", facts_sql(models=5, in_range=1, best_first=1))
 def _(spark, sf):
     train, test = _binary(spark, sf)
-    found = M.compare_models(train, test, DIMS, "label", models=["Logistic Regression", "KNN", "SVM"])
-    return rounded(found["leaderboard"], SC.METRICS)
-
-
-from registry.base import hash_sql  # noqa: E402
-from registry.clusters import VEC  # noqa: E402
+    found = M.compare_models(train, test, DIMS, "label")
+    rows = found["leaderboard"].collect()
+    return facts(spark, models=len({r_["Model"] for r_ in rows}), in_range=_in_range(rows), best_first=max(rows, key=lambda r_: r_[found["metric"]])[found["metric"]] == next(r_ for r_ in rows if r_["Model"] == found["best"].name)[found["metric"]])
 
 
 @query(
@@ -324,12 +362,18 @@ def _(spark, sf):
     return rounded(table_.select(F.col("params")["n_neighbors"].cast("int").alias("k"), "mean_score"), ["mean_score"])
 
 
-@query("random_search_logistic")
+@query("random_search_logistic", facts_sql(drawn=1, distinct=1, in_range=1, best_wins=1))
 def _(spark, sf):
     train, _ = _binary(spark, sf)
     tried = M.drawn_combinations(M.GRIDS["Logistic Regression"])
-    _, table_ = M.search_parameters("Logistic Regression", train, DIMS, "label", tried, "accuracy")
-    return rounded(table_.select("model", F.to_json("params").alias("params"), "metric", "mean_score"), ["mean_score"])
+    best, table_ = M.search_parameters("Logistic Regression", train, DIMS, "label", tried, "accuracy")
+    rows = table_.collect()
+    top = max(r_["mean_score"] for r_ in rows)
+    winners = [{k: str(v) for k, v in r_["params"].items()} for r_ in rows if r_["mean_score"] == top]
+    return facts(
+        spark, drawn=len(rows) == len(tried), distinct=len({str(sorted(r_["params"].items())) for r_ in rows}) == len(rows),
+        in_range=all(0 <= r_["mean_score"] <= 1 for r_ in rows), best_wins={k: str(v) for k, v in best.items()} in winners,
+    )
 
 
 @query(
@@ -344,22 +388,26 @@ def _(spark, sf):
 # ------------------------------------------------------------- whole runs
 
 
-@query("classification_run")
+@query("classification_run", facts_sql(sections=1, rows=1, models=5))
 def _(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "n_chars", "lang", "source", F.length("text").alias("length"))
     d = d.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
     s = Settings(
-        "classification", row_id="doc_id", label="quality", models=("Logistic Regression", "KNN"), n_features=5,
-        options={"max_depth": 5, "folds": 3},
+        "classification", row_id="doc_id", label="quality", n_features=5,
+    )
+    tables = runs.run(d, s)["tables"]
+    summary = tables["summary"].collect()
+    return facts(
+        spark, sections=len({r_["section"] for r_ in summary}) > 1, rows=all(r_["value"] is not None for r_ in summary),
+        models=tables["leaderboard"].select("Model").distinct().count(),
     )
-    return runs.run(d, s)["tables"]["summary"]
 
 
-@query("clustering_run")
+@query("clustering_run", facts_sql(sections=1, rows=1))
 def _(spark, sf):
     f = customer_features(spark, sf)
-    s = Settings("clustering", as_of=AS_OF, n_features=5, k_range=(2, 4), methods=("kmeans", "hierarchical"))
-    return runs.run(f, s)["tables"]["summary"]
+    summary = runs.run(f, Settings("clustering", as_of=AS_OF, n_features=5))["tables"]["summary"].collect()
+    return facts(spark, sections=len({r_["section"] for r_ in summary}) > 1, rows=all(r_["value"] is not None for r_ in summary))
 
 
 @query("chained_steps", SEG + " SELECT COUNT(*) AS n_rows, 3::INTEGER AS n_columns FROM seg")
@@ -390,15 +438,8 @@ def _(spark, sf):
 
 
 def shared_folder(spark) -> str:
-    """A new folder below the shared checkpoint folder, or below /tmp in local runs."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if root is None and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if root is None:
-        return tempfile.mkdtemp(prefix="veinworks-out-")
-    import uuid
-
-    return f"{root}/out-{uuid.uuid4().hex}"
+    """A new folder below the shared checkpoint folder."""
+    return f"{checkpoint_folder(spark)}/out-{uuid.uuid4().hex}"
 
 
 _ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders"

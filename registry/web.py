@@ -274,11 +274,9 @@ def corpus(spark, sf):
     return d.select("doc_id", F.concat_ws(" ", "lang", "source").alias("title"), F.col("source").alias("url"), "text")
 
 
-def benchmark_queries(spark, sf, n):
-    """The first words of every benchmark item as a query."""
-    return table(spark, sf, "benchmark").select(
-        F.col("item_id").alias("query_id"), T.first_words(F.lower("text"), n).alias("query")
-    )
+def benchmark_queries(spark, sf):
+    """Every benchmark item as a query."""
+    return table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.lower("text").alias("query"))
 
 
 _TOKENS = "list_filter(regexp_split_to_array(lower({0}), '[^\\p{{L}}\\p{{N}}]+'), lambda t: length(t) > 0)"
@@ -293,23 +291,22 @@ def _search_sql(queries: str, match: str) -> str:
     sc AS (SELECT query_id, doc_id, round(SUM(tf * ln(1 + (SELECT COUNT(*) FROM documents) / df::DOUBLE)), 9) AS score, COUNT(*) AS found, MAX(needed) AS needed
       FROM asked JOIN df USING (term) JOIN tf USING (term) JOIN needed USING (query_id) GROUP BY query_id, doc_id),
     rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sc {keep}),
-    hits AS (SELECT query_id, rank::INTEGER AS rank, rk.doc_id, lang || ' ' || source AS title, source AS url, substr(text, 1, 200) AS snippet, round(score, 6) AS score
+    hits AS (SELECT query_id, rank::INTEGER AS rank, rk.doc_id, lang || ' ' || source AS title, source AS url, text AS snippet, round(score, 6) AS score
       FROM rk JOIN documents d ON d.doc_id = rk.doc_id WHERE rank <= 10)"""
 
 
-_FIRST = "array_to_string(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda t: length(t) > 0)[:{0}], ' ')"
-_Q = "q AS (SELECT item_id AS query_id, {0} AS query FROM benchmark)"
+_Q = "q AS (SELECT item_id AS query_id, lower(text) AS query FROM benchmark)"
 
-for _match, _n in (("all", 3), ("any", 2)):
+for _match in ("all", "any"):
 
-    @query(f"search_{_match}_terms", "WITH " + _Q.format(_FIRST.format(_n)) + ", " + _search_sql("q", _match) + " SELECT * FROM hits")
-    def _(spark, sf, match=_match, n=_n):
-        return rounded(S.search(corpus(spark, sf), benchmark_queries(spark, sf, n), 10, match), ["score"])
+    @query(f"search_{_match}_terms", "WITH " + _Q + ", " + _search_sql("q", _match) + " SELECT * FROM hits")
+    def _(spark, sf, match=_match):
+        return rounded(S.search(corpus(spark, sf), benchmark_queries(spark, sf), 10, match), ["score"])
 
 
 @query(
     "search_with_fallback",
-    "WITH " + _Q.format(_FIRST.format(6)) + """, nx AS (SELECT query_id, query, array_to_string(list_filter(regexp_split_to_array(query, '\\s+'), lambda t: length(t) > 0)[:2], ' ') AS short FROM q),
+    "WITH " + _Q + """, nx AS (SELECT query_id, query, array_to_string(list_filter(regexp_split_to_array(query, '\\s+'), lambda t: length(t) > 0)[:2], ' ') AS short FROM q),
     v AS (SELECT query_id AS qid, 0 AS level, query FROM nx UNION ALL SELECT query_id, 1, CASE WHEN contains(query, ' ') AND short <> query THEN short
       ELSE 'what is ' || query END FROM nx WHERE (contains(query, ' ') AND short <> query) OR NOT regexp_matches(query, '^(what|how|why|when|where|who)')),
     vq AS (SELECT qid * 2 + level AS query_id, qid, level, query FROM v), """ + _search_sql("vq", "all") + """,
@@ -318,7 +315,7 @@ for _match, _n in (("all", 3), ("any", 2)):
     FROM hits JOIN vq USING (query_id) JOIN b ON b.qid = vq.qid AND b.level = vq.level""",
 )
 def _(spark, sf):
-    return rounded(S.search_with_fallback(corpus(spark, sf), benchmark_queries(spark, sf, 6)), ["score"])
+    return rounded(S.search_with_fallback(corpus(spark, sf), benchmark_queries(spark, sf)), ["score"])
 
 
 # ----------------------------------------------------------- text functions

@@ -14,8 +14,6 @@ from veinworks.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__driver__memory="8g",
-        # Tiny tables: compiling generated code would take most of the time.
-        spark__sql__codegen__wholeStage="false", spark__sql__codegen__factoryMode="NO_CODEGEN",
     )
     session.sparkContext.setLogLevel("ERROR")
     return session

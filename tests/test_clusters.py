@@ -185,41 +185,28 @@ def test_one_cluster_has_no_scores(spark):
     assert SI.calinski_harabasz(df, cols) is None and SI.davies_bouldin(df, cols) is None
 
 
-def brute_linkage(points, k, linkage):
-    groups = [[i] for i in range(len(points))]
-
-    def gap(a, b):
-        pairs = [math.dist(points[i], points[j]) for i in a for j in b]
-        if linkage == "single":
-            return min(pairs)
-        if linkage == "complete":
-            return max(pairs)
-        if linkage == "average":
-            return sum(pairs) / len(pairs)
-        ca, cb = (np.mean([points[i] for i in g], axis=0) for g in (a, b))
-        return len(a) * len(b) / (len(a) + len(b)) * float(((ca - cb) ** 2).sum())
-
-    while len(groups) > k:
-        i, j = min(itertools.combinations(range(len(groups)), 2), key=lambda p: gap(groups[p[0]], groups[p[1]]))
-        groups[i] += groups.pop(j)
-    return {frozenset(g) for g in groups}
-
-
-@pytest.mark.parametrize("linkage", K.LINKAGES)
-def test_linkage_equals_brute_force(spark, linkage):
-    points = blobs(40, 2, 4, 11, 0.8) + [(0.0, 0.0)] * 2
+def test_hierarchy_finds_clear_groups_and_nests(spark):
+    points = blobs(120, 2, 4, 12, 0.1) + [(0.0, 0.0)] * 2
     df, cols = frame(spark, points)
-    got = {}
-    for r in K.hierarchical_labels(df, cols, 5, linkage).collect():
-        got.setdefault(r["prediction"], set()).add(r["row_id"])
-    assert {frozenset(v) for v in got.values()} == brute_linkage(points, 5, linkage)
-
-
-def test_linkage_over_micro_clusters_finds_clear_groups(spark):
-    points = blobs(300, 2, 3, 12, 0.1)
-    df, cols = frame(spark, points)
-    rows = K.hierarchical_labels(df, cols, 3, most=40).collect()
-    assert len({(r["row_id"] % 3, r["prediction"]) for r in rows}) == 3
+    groups = {}
+    for r in K.hierarchical_labels(df, cols, 4).collect():
+        if r["row_id"] < 120:
+            groups.setdefault(r["prediction"], set()).add(r["row_id"] % 4)
+    assert sorted(map(sorted, groups.values())) == [[0], [1], [2], [3]]
+    # Rows around the origin, where a relative step has no length.
+    centred, cols = frame(spark, [(float(x), float(y)) for x in (-1, 1) for y in (-1, 1)] * 5)
+    assert K.hierarchical_labels(centred, cols, 4).select("prediction").distinct().count() == 4
+    same, cols = frame(spark, [(1.0, 1.0)] * 6)
+    assert K.hierarchical_labels(same, cols, 3).select("prediction").distinct().count() == 1
+
+
+def test_no_column_is_left_out_of_reports(spark):
+    df, cols = frame(spark, blobs(40, 12, 2, 5))
+    labels = df.select("row_id", (F.col("row_id") % 2).alias("prediction"))
+    assert len(K.pair_plot_data(df, labels, cols).columns) == 14 and len(K.pair_plot_data(df, labels, cols, n=3).columns) == 5
+    boxes = K.cluster_overview(df, labels, cols)["boxes"]
+    assert boxes.select("feature").distinct().count() == 12
+    assert K.normalised_profile(K.cluster_profile(df.join(labels, "row_id"), cols), cols).count() == 24
 
 
 def test_kmeans_takes_the_cheapest_start_and_the_sweep_finds_k(spark):

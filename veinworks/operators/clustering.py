@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-import numpy as np
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import BisectingKMeans, BisectingKMeansModel, KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -30,14 +29,6 @@ ROWS_PER_CLUSTER = 10
 SEGMENT_EPS_STEPS = 4
 SEGMENT_MIN_SAMPLES = (5, 20, 3)
 METHODS = ("kmeans", "hierarchical", "dbscan")
-LINKAGES = ("ward", "complete", "average", "single")
-# How many columns reports show.
-PROFILE_FEATURES = 10
-DASHBOARD_FEATURES = 8
-BOX_FEATURES = 10
-
-MICRO_CLUSTERS = 500
-MICRO_ROUNDS = 10
 PARALLEL_FITS = 8
 SWEEP_SCHEMA = "method string, n_clusters int, silhouette double, inertia double"
 
@@ -146,120 +137,48 @@ def _choose(df, cols, row_id, method, ks, labels, models, costs):
     }
 
 
-def merge_order(centers: np.ndarray, sizes: np.ndarray, linkage: str = "ward") -> list[tuple[int, int]]:
-    """Merges (keep, join) of a bounded set of weighted points, nearest pair first.
+def fit_bisecting(df: DataFrame, cols: Sequence[str], ks: Sequence[int], seed: int = SEED) -> dict[int, BisectingKMeansModel]:
+    """Top-down hierarchies with k leaves, for each k; the fits run side by side."""
+    vectors = with_vectors(_positive(df, cols), cols).select("features").persist()
+    try:
+        with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
+            fits = pool.map(lambda k: BisectingKMeans(k=k, seed=seed).fit(vectors), ks)
+            return dict(zip(ks, fits, strict=True))
+    finally:
+        vectors.unpersist()
 
-    Distances between merged groups follow the usual update rules, weighted by
-    the rows each point stands for.
-    """
-    if linkage not in LINKAGES:
-        raise ValueError(f"linkage must be one of: {', '.join(LINKAGES)}")
-    n = len(sizes)
-    size = sizes.astype(float).copy()
-    gap = ((centers[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
-    if linkage == "ward":
-        gap = gap * (2 * size[:, None] * size[None, :] / (size[:, None] + size[None, :]))
-    else:
-        gap = np.sqrt(gap)
-    np.fill_diagonal(gap, np.inf)
-    alive, merges = np.ones(n, dtype=bool), []
-    for _ in range(n - 1):
-        i, j = sorted(divmod(int(gap.argmin()), n))
-        merges.append((i, j))
-        a, b = size[i], size[j]
-        if linkage == "ward":
-            total = a + b + size
-            new = ((a + size) * gap[i] + (b + size) * gap[j] - size * gap[i, j]) / total
-        elif linkage == "average":
-            new = (a * gap[i] + b * gap[j]) / (a + b)
-        elif linkage == "complete":
-            new = np.maximum(gap[i], gap[j])
-        else:
-            new = np.minimum(gap[i], gap[j])
-        alive[j] = False
-        new[~alive] = np.inf
-        new[i] = np.inf
-        gap[i, :], gap[:, i] = new, new
-        gap[j, :], gap[:, j] = np.inf, np.inf
-        size[i] = a + b
-    return merges
-
-
-def cut_tree(merges: Sequence[tuple[int, int]], n: int, k: int) -> list[int]:
-    """Group number of each point when k groups are left, numbered by first point."""
-    root = list(range(n))
-    for keep, gone in merges[: max(0, n - k)]:
-        root = [keep if r == gone else r for r in root]
-    names = {r: i for i, r in enumerate(dict.fromkeys(root))}
-    return [names[r] for r in root]
-
-
-def micro_clusters(
-    df: DataFrame, cols: Sequence[str], row_id: str = "row_id", most: int = MICRO_CLUSTERS
-) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """(rows with ``micro``, centres, sizes) with at most ``most`` micro-clusters.
-
-    Up to ``most`` distinct points stay points of their own, which makes the
-    linkage exact; beyond that k-means builds the micro-clusters.
-    """
-    cols = list(cols)
-    clean = df.select(row_id, *[(F.col(f"`{c}`").cast("double") + F.lit(0.0)).alias(f"x{i}") for i, c in enumerate(cols)])
-    coords = [f"x{i}" for i in range(len(cols))]
-    distinct = clean.groupBy(*coords).agg(F.min(row_id).alias("first"), F.count(F.lit(1)).alias("n"))
-    points = distinct.limit(most + 1).collect()
-    if len(points) <= most:
-        points.sort(key=lambda r: r["first"])
-        table = df.sparkSession.createDataFrame(
-            [(i, *[p[c] for c in coords]) for i, p in enumerate(points)],
-            "micro int, " + ", ".join(f"{c} double" for c in coords),
-        )
-        rows = clean.join(F.broadcast(table), coords).select(row_id, "micro")
-        return rows, np.array([[p[c] for c in coords] for p in points]), np.array([p["n"] for p in points])
-    model, _ = fit_kmeans_many(df, cols, {most: 1}, max_iter=MICRO_ROUNDS, init="random")[most]
-    rows = durable(assign_kmeans(df, cols, model, row_id).select(row_id, F.col("prediction").cast("int").alias("micro")))
-    sizes = {r["micro"]: r["count"] for r in rows.groupBy("micro").count().collect()}
-    centers = model.clusterCenters()
-    used = sorted(sizes)
-    dense = {m: i for i, m in enumerate(used)}
-    renumber = df.sparkSession.createDataFrame(list(dense.items()), "micro int, _new int")
-    rows = rows.join(F.broadcast(renumber), "micro").select(row_id, F.col("_new").alias("micro"))
-    return rows, np.array([centers[m] for m in used]), np.array([sizes[m] for m in used])
-
-
-def hierarchical_labels(
-    df: DataFrame, cols: Sequence[str], k: int, linkage: str = "ward", row_id: str = "row_id", most: int = MICRO_CLUSTERS
-) -> DataFrame:
-    """(row_id, prediction) of k groups by bottom-up merging of micro-clusters."""
-    rows, centers, sizes = micro_clusters(df, cols, row_id, most)
-    return _cut_labels(rows, merge_order(centers, sizes, linkage), len(sizes), k, row_id)
 
+def _positive(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns moved so that their minima are 1: halving starts from a step
+    relative to the centre's distance from the origin, and standardised columns have none."""
+    low = df.agg(*[F.min(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    return df.withColumns({c: F.col(f"`{c}`").cast("double") + F.lit(1.0 - (low[i] or 0.0)) for i, c in enumerate(cols)})
 
-def _cut_labels(rows, merges, n, k, row_id):
-    return _cuts(rows, merges, n, [k]).select(row_id, F.col(f"k{k}").alias("prediction"))
 
+def hierarchical_labels(df: DataFrame, cols: Sequence[str], k: int, row_id: str = "row_id", seed: int = SEED) -> DataFrame:
+    """(row_id, prediction) of up to k groups, by halving the group of largest cost again and again.
 
-def _cuts(rows, merges, n, ks):
-    """Micro-cluster numbers replaced by the group numbers of every cut (a small table)."""
-    groups = [cut_tree(merges, n, k) for k in ks]
-    table = rows.sparkSession.createDataFrame(
-        [(i, *[int(g[i]) for g in groups]) for i in range(n)], "micro int, " + ", ".join(f"k{k} long" for k in ks)
-    )
-    return rows.join(F.broadcast(table), "micro").drop("micro")
+    The same at every size: each halving is a pass over the rows, and nothing
+    but centres comes to the driver. Rows that are all equal stay together, so
+    there may be fewer than k groups.
+    """
+    return assign_kmeans(_positive(df, cols), cols, fit_bisecting(df, cols, [k], seed)[k], row_id)
 
 
 def hierarchical_sweep(
-    df: DataFrame, cols: Sequence[str], k_range: tuple[int, int] = (2, 10), linkage: str = "ward",
-    row_id: str = "row_id", most: int = MICRO_CLUSTERS, limit_k: bool = True,
+    df: DataFrame, cols: Sequence[str], k_range: tuple[int, int] = (2, 10), row_id: str = "row_id", limit_k: bool = True,
 ) -> dict:
-    """One merge tree, cut at every k; chosen by silhouette."""
+    """Hierarchies cut at every k; chosen by silhouette."""
     ks = cluster_counts_to_try(k_range, df.count()) if limit_k else list(range(k_range[0], k_range[1] + 1))
     if not ks:
         raise ValueError("too few rows for two clusters")
-    rows, centers, sizes = micro_clusters(df, cols, row_id, most)
-    merges = merge_order(centers, sizes, linkage)
-    labels = durable(_cuts(rows, merges, len(sizes), ks))
-    found = _choose(df, cols, row_id, "hierarchical", ks, labels, {}, {})
-    return {**found, "model": merges}
+    models = fit_bisecting(df, cols, ks)
+    scored = with_vectors(_positive(df, cols), cols)
+    for k in ks:
+        scored = models[k].setPredictionCol(f"k{k}").transform(scored)
+    labels = durable(scored.select(row_id, *[F.col(f"k{k}").cast("long") for k in ks]))
+    costs = {k: float(models[k].summary.trainingCost) for k in ks}
+    return _choose(df, cols, row_id, "hierarchical", ks, labels, models, costs)
 
 
 def run_clustering(
@@ -312,7 +231,7 @@ def segmentation_features(df: DataFrame, row_id: str = "row_id") -> DataFrame:
     chosen = segmentation_columns(df)
     picked = df.select(row_id, *[F.col(f"`{c}`") for c in chosen])
     text = string_columns(picked, [row_id])
-    encoded = one_hot(picked, text, most=10_000, missing=False) if text else picked
+    encoded = one_hot(picked, text, most=None, missing=False) if text else picked
     numbers = numeric_columns(encoded, [row_id])
     filled = fill_missing(encoded, medians(encoded, numbers))
     return filled.select(row_id, *[F.col(f"`{c}`").cast("double").alias(c) for c in numbers])
@@ -356,8 +275,8 @@ def segmentation(
 def cluster_sizes(df: DataFrame, label: str = "prediction") -> DataFrame:
     """Rows and percentage per cluster."""
     counts = df.groupBy(F.col(label).alias("prediction")).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy(F.lit(0)))
-    return counts.select("prediction", "count", (F.col("count") * 100.0 / total).alias("percentage"))
+    total = counts.agg(F.sum("count").alias("_total"))  # one row
+    return counts.join(F.broadcast(total)).select("prediction", "count", (F.col("count") * 100.0 / F.col("_total")).alias("percentage"))
 
 
 def cluster_profile(df: DataFrame, cols: Sequence[str], label: str = "prediction") -> DataFrame:
@@ -392,22 +311,24 @@ def most_variable(variances: DataFrame, cols: Sequence[str], n: int) -> list[str
     return [c for c, _ in rows[:n]]
 
 
-def normalised_profile(profile: DataFrame, cols: Sequence[str], n: int = PROFILE_FEATURES) -> DataFrame:
-    """Cluster means rescaled per column, the n most variable of them when there are more."""
+def normalised_profile(profile: DataFrame, cols: Sequence[str], n: int | None = None) -> DataFrame:
+    """Cluster means rescaled per column; with ``n``, of the n most variable columns."""
     long = rescaled_over_groups(wide_to_long(profile, cols, ["prediction"]), ["prediction"])
-    if len(cols) <= n:
+    if n is None or len(cols) <= n:
         return long
     spread = long.groupBy("feature").agg(F.var_samp("scaled").alias("variance"))
     return long.where(F.col("feature").isin(most_variable(spread, cols, n)))
 
 
-def segment_dashboard(df: DataFrame, cols: Sequence[str] | None = None, label: str = "prediction", row_id: str = "row_id") -> dict[str, DataFrame]:
-    """Sizes, boxes and medians of the most telling columns, and the scaled profile."""
+def segment_dashboard(
+    df: DataFrame, cols: Sequence[str] | None = None, label: str = "prediction", row_id: str = "row_id", n: int | None = None
+) -> dict[str, DataFrame]:
+    """Sizes, boxes and medians of the columns (with ``n``, the most telling ones), and the scaled profile."""
     cols = list(cols) if cols is not None else numeric_columns(df, [label, row_id])
     profile = cluster_profile(df, cols, label)
     shown = cols
-    if len(cols) > PROFILE_FEATURES:
-        shown = most_variable(between_cluster_variance(profile, cols), cols, DASHBOARD_FEATURES)
+    if n is not None and len(cols) > n:
+        shown = most_variable(between_cluster_variance(profile, cols), cols, n)
     profile_long = wide_to_long(profile, shown, ["prediction"])
     return {
         "sizes": cluster_sizes(df, label),
@@ -417,22 +338,26 @@ def segment_dashboard(df: DataFrame, cols: Sequence[str] | None = None, label: s
     }
 
 
-def pair_plot_data(df: DataFrame, labels: DataFrame, cols: Sequence[str], row_id: str = "row_id") -> DataFrame:
-    """The eight columns of largest variance (all, up to ten) with the cluster of each row."""
+def pair_plot_data(
+    df: DataFrame, labels: DataFrame, cols: Sequence[str], row_id: str = "row_id", n: int | None = None
+) -> DataFrame:
+    """The columns (with ``n``, those of largest variance) with the cluster of each row."""
     shown = list(cols)
-    if len(shown) > PROFILE_FEATURES:
+    if n is not None and len(shown) > n:
         spread = wide_to_long(df, shown).groupBy("feature").agg(F.var_samp("value").alias("variance"))
-        shown = most_variable(spread, shown, DASHBOARD_FEATURES)
+        shown = most_variable(spread, shown, n)
     return df.select(row_id, *[F.col(f"`{c}`") for c in shown]).join(labels.select(row_id, "prediction"), row_id)
 
 
-def cluster_overview(df: DataFrame, labels: DataFrame, cols: Sequence[str], row_id: str = "row_id") -> dict[str, DataFrame]:
-    """Projection with cluster, sizes, and boxes of the first ten original columns."""
+def cluster_overview(
+    df: DataFrame, labels: DataFrame, cols: Sequence[str], row_id: str = "row_id", n: int | None = None
+) -> dict[str, DataFrame]:
+    """Projection with cluster, sizes, and boxes of the original columns (with ``n``, the first n)."""
     labelled = df.join(labels.select(row_id, "prediction"), row_id)
     return {
         "projection": project(df, cols, 2, [row_id]).join(labels.select(row_id, "prediction"), row_id),
         "sizes": cluster_sizes(labelled),
-        "boxes": box_statistics(labelled, list(cols)[:BOX_FEATURES], ["prediction"]),
+        "boxes": box_statistics(labelled, list(cols)[:n], ["prediction"]),
     }
 
 

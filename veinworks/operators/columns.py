@@ -123,19 +123,20 @@ def drop_sparse_columns(df: DataFrame, threshold: float = 0.9) -> DataFrame:
 
 
 def category_levels(
-    df: DataFrame, cols: Sequence[str], most: int, rough: dict[str, int] | None = None
+    df: DataFrame, cols: Sequence[str], most: int | None, rough: dict[str, int] | None = None
 ) -> dict[str, list[str] | None]:
     """Sorted distinct values per column, ``None`` where there are more than ``most``.
 
     A sketch first rules out high-cardinality columns, so the exact pass only
-    collects sets that are known to be small.
+    collects sets that are known to be small. Without ``most`` every value is
+    listed: for callers that need a column per value.
     """
     cols = list(cols)
     if not cols:
         return {}
-    if rough is None:
+    if rough is None and most is not None:
         rough = column_counts(df.select(*[F.col(f"`{c}`") for c in cols]), cols)[2]
-    few = [c for c in cols if rough[c] <= 2 * most + 10]
+    few = [c for c in cols if most is None or rough[c] <= 2 * most + 10]
     levels: dict[str, list[str] | None] = {c: None for c in cols}
     if few:
         sets = df.agg(
@@ -143,7 +144,7 @@ def category_levels(
         ).first()
         for i, c in enumerate(few):
             found = sorted(sets[f"s{i}"])
-            levels[c] = found if len(found) <= most else None
+            levels[c] = found if most is None or len(found) <= most else None
     return levels
 
 

@@ -336,9 +336,11 @@ def dbscan_grid(
     """eps × min_samples sweep; noise is left out of the silhouette.
 
     Returns the sweep table, the valid settings, the chosen setting and its
-    labels. Without a valid setting the defaults (0.5, 5) are used.
+    labels. Without a valid setting the defaults (0.5, 5) are used. Values of
+    eps that are not above zero reach nobody and are left out.
     """
-    labels = dbscan_settings(df, cols, linspace(*eps_range), linspace(*min_samples_range, integer=True), row_id)
+    eps_values = [e for e in linspace(*eps_range) if e > 0] or [DEFAULT_EPS]
+    labels = dbscan_settings(df, cols, eps_values, linspace(*min_samples_range, integer=True), row_id)
     sweep = from_rows(df.sparkSession, _sweep(df, labels, cols, row_id, False), SWEEP_SCHEMA)
     valid = valid_settings(sweep, df.count())
     best = best_row(valid, "silhouette", ["eps", "min_samples"]).first()

@@ -40,7 +40,7 @@ def indicator_name(col: str, value: str) -> str:
 
 
 def one_hot_plan(
-    df: DataFrame, cols: Sequence[str], most: int = 50, missing: bool = True
+    df: DataFrame, cols: Sequence[str], most: int | None = 50, missing: bool = True
 ) -> dict[str, list[str | None]]:
     """Indicator values per column: sorted levels without the first, then missing."""
     plan: dict[str, list[str | None]] = {}
@@ -61,12 +61,12 @@ def one_hot_columns(plan: dict[str, list[str | None]]) -> list:
 
 
 def one_hot(
-    df: DataFrame, cols: Sequence[str] | None = None, most: int = 50, missing: bool = True
+    df: DataFrame, cols: Sequence[str] | None = None, most: int | None = 50, missing: bool = True
 ) -> DataFrame:
     """Replace string columns by indicators named ``column_value``.
 
     The first level is left out; ``missing`` adds ``column_nan``. Columns with
-    more than ``most`` levels are dropped.
+    more than ``most`` levels are dropped; ``None`` keeps them all.
     """
     cols = list(cols) if cols is not None else string_columns(df)
     plan = one_hot_plan(df, cols, most, missing)

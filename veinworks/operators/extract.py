@@ -197,17 +197,20 @@ def find_terms(
     staged = content.select(*keep, parts.alias("_parts"))
     found = []
     for term in terms:
-        marked = F.transform(
-            F.col("_parts"),
-            lambda p, i: F.struct(
-                F.lit(term).alias("term"), i.alias("position"), p.alias("paragraph"),
-                context(F.col("_parts"), i, size).alias("context"),
-            ),
+        row = lambda m: F.struct(
+            F.lit(term).alias("term"), m["position"].alias("position"), m["paragraph"].alias("paragraph"),
+            context(F.col("_parts"), m["position"], size).alias("context"),
         )
-        found.append(F.filter(marked, lambda m: has_term(m["paragraph"], term)))
+        found.append(F.transform(_holding(F.col("_parts"), term), row))
     return staged.select(*keep, F.inline(F.flatten(F.array(*found))))
 
 
+def _holding(parts: Column, term: str) -> Column:
+    """(position, paragraph) of the paragraphs with a term: contexts are built for these only."""
+    placed = F.transform(parts, lambda p, i: F.struct(i.alias("position"), p.alias("paragraph")))
+    return F.filter(placed, lambda m: has_term(m["paragraph"], term))
+
+
 def nested_matches(found: DataFrame, keep: Sequence[str] = ("page_id", "url")) -> DataFrame:
     """Term matches gathered per page: [{term, occurrences: [{paragraph, context, position}]}]."""
     per_term = found.groupBy(*keep, "term").agg(
@@ -225,12 +228,11 @@ def extract_by_type(pages: DataFrame, terms: Sequence[str] = (), p_rule: str = "
     Types are article, table, search and general; search without terms, and any
     other type, is read as general. ``result`` is JSON.
     """
-    parsed = parse_pages(pages, "html", ("page_id", "url", "type"), p_rule)
     keep = ("page_id", "url", "type")
     kind = F.when(F.col("type").isin("article", "table"), F.col("type"))
     kind = F.coalesce(kind, F.when(F.lit(bool(terms)), F.lit("search")).otherwise(F.lit("general")))
-    typed = parsed.withColumn("_kind", kind)
-    of = lambda k: typed.where(F.col("_kind") == k)
+    # Rows are chosen before they are parsed, so every page is parsed once.
+    of = lambda k: parse_pages(pages.where(kind == k), "html", keep, p_rule)
     articles = extract_articles(of("article"), keep)
     tables = extract_tables(of("table"), keep=keep)
     general = extract_content(of("general"), keep=keep)
@@ -243,14 +245,12 @@ def extract_by_type(pages: DataFrame, terms: Sequence[str] = (), p_rule: str = "
         searched = content.select(*keep, "success", searchable_paragraphs(content).alias("_parts"))
         matches = []
         for term in terms:
-            hits = F.filter(
-                F.transform(
-                    F.col("_parts"),
-                    lambda p, i: F.struct(
-                        p.alias("paragraph"), context(F.col("_parts"), i, CONTEXT_SIZE).alias("context"), i.alias("position")
-                    ),
+            hits = F.transform(
+                _holding(F.col("_parts"), term),
+                lambda m: F.struct(
+                    m["paragraph"].alias("paragraph"), context(F.col("_parts"), m["position"], CONTEXT_SIZE).alias("context"),
+                    m["position"].alias("position"),
                 ),
-                lambda m: has_term(m["paragraph"], term),
             )
             matches.append(F.struct(F.lit(term).alias("term"), hits.alias("occurrences")))
         found = F.filter(F.array(*matches), lambda m: F.size(m["occurrences"]) > 0)

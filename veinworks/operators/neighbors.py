@@ -271,17 +271,18 @@ def pairs_within(df: DataFrame, cols: Sequence[str], eps: float, row_id: str = "
 
 
 def neighbor_distance_range(
-    df: DataFrame, cols: Sequence[str], row_id: str = "row_id", seed: int = 42
+    df: DataFrame, cols: Sequence[str], row_id: str = "row_id", seed: int = 42, sample: int | None = EPS_SAMPLE
 ) -> tuple[float, float]:
     """5th and 95th percentile of neighbour distances on a scaled sample: an eps range.
 
-    Sampling at most 1,000 rows is part of the rule; up to 49 neighbours each.
+    The rule looks at ``sample`` rows, up to 49 neighbours each; ``None`` takes
+    all rows.
     """
     from veinworks.operators.quantiles import exact_quantiles
     from veinworks.operators.scaling import standardise
 
-    sample = sample_rows(df.select(row_id, *cols), EPS_SAMPLE, row_id, seed)
-    scaled = standardise(sample, cols)
+    rows = df.select(row_id, *cols)
+    scaled = standardise(rows if sample is None else sample_rows(rows, sample, row_id, seed), cols)
     near = durable(nearest_neighbors(scaled, cols, EPS_NEIGHBORS - 1, row_id=row_id))
     low, high = exact_quantiles(near, ["distance"], [EPS_LOW, EPS_HIGH])[()]["distance"]
     return low, high

@@ -13,8 +13,6 @@ from veinworks.operators.correlation import correlation_matrix, correlation_pair
 from veinworks.operators.quantiles import box_statistics, exact_quantiles
 from veinworks.session import from_rows
 
-MAX_NUMERIC_PLOTS = 15
-MAX_CATEGORICAL_PLOTS = 10
 TOP_CATEGORIES = 10
 
 
@@ -123,7 +121,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     A value on the upper edge belongs to the last bin; a constant column has
     one bin.
     """
-    cols = list(cols)[:MAX_NUMERIC_PLOTS]
+    cols = list(cols)
     long = wide_to_long(df, cols).where("value is not null")
     row = df.agg(
         *[F.min(F.col(f"`{c}`").cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
@@ -168,15 +166,21 @@ def profile(
     categorical: Sequence[str] | None = None,
     exclude: Sequence[str] = ("row_id",),
     bins: int = 10,
+    most_numeric: int | None = None,
+    most_categorical: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Every profiling table by name; projection onto two components included."""
+    """Every profiling table by name; projection onto two components included.
+
+    Histograms, boxes and value counts cover all columns, or the first
+    ``most_numeric`` and ``most_categorical`` ones.
+    """
     from veinworks.operators.components import component_overview
 
     numeric = list(numeric) if numeric is not None else profiled_numeric(df, exclude)
     categorical = list(categorical) if categorical is not None else categorical_columns(df, exclude)
     tables = {"missing_values": missing_values(df)}
     if numeric:
-        shown = numeric[:MAX_NUMERIC_PLOTS]
+        shown = numeric[:most_numeric]
         tables["numerical_summary"] = describe_numeric(df, numeric)
         tables["histograms"] = histogram(df, shown, bins)
         tables["boxes"] = box_statistics(df, shown)
@@ -185,7 +189,7 @@ def profile(
         tables["correlation_matrix"] = correlation_matrix(df, numeric)
         tables["top_positive_correlations"] = strongest_pairs(pairs)
         tables["top_negative_correlations"] = strongest_pairs(pairs, negative=True)
-    for c in categorical[:MAX_CATEGORICAL_PLOTS]:
+    for c in categorical[:most_categorical]:
         tables[f"value_counts_{c}"] = value_counts(df, c)
     if len(numeric) > 2:
         overview = component_overview(df, numeric)

@@ -6,14 +6,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from veinworks.functions.text import fallback_query, tokens, unwrap_redirect
 from veinworks.operators.html import descendants, first, node_text, parse_pages, select_nodes
-from veinworks.session import SMALL_ROWS
+from veinworks.session import durable
 
 # Markup of a hit on a stored result page, hits per query.
 HIT = "div.result"
 HIT_TITLE = "a.result__a"
 HIT_SNIPPET = "a.result__snippet"
 MAX_RESULTS = 10
-SNIPPET_LENGTH = 200
 # Scores are rounded so that equal ones tie whatever the order of summation.
 SCORE_DIGITS = 9
 
@@ -50,24 +49,23 @@ def search(
 
     ``corpus`` has (doc_id, title, url, text), ``queries`` (query_id, query).
     The score sums term frequency × ln(1 + documents / documents with the term).
-    ``match='all'`` asks for every term, ``'any'`` for one. Words outside the
-    queries are dropped before the first shuffle.
+    ``match='all'`` asks for every term, ``'any'`` for one. ``snippet`` is the
+    whole text. Words outside the queries are dropped before the first shuffle,
+    and the counts that remain are written once; which sides are broadcast and
+    which terms are split is left to adaptive execution.
     """
     if match not in ("all", "any"):
         raise ValueError("match must be 'all' or 'any'")
     asked = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term"))
-    vocabulary = asked.select("term").distinct()
-    few = len(vocabulary.limit(SMALL_ROWS + 1).collect()) <= SMALL_ROWS
     words = corpus.select(doc_id, F.explode(tokens(F.col("text"))).alias("term"))
-    kept = words.join(F.broadcast(vocabulary) if few else vocabulary, "term", "left_semi")
-    counts = kept.groupBy("term", doc_id).agg(F.count(F.lit(1)).alias("tf"))
+    kept = words.join(asked.select("term").distinct(), "term", "left_semi")
+    counts = durable(kept.groupBy("term", doc_id).agg(F.count(F.lit(1)).alias("tf")))
     spread = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    total = corpus.agg(F.count(F.lit(1)).alias("n"))
-    weights = spread.join(F.broadcast(total)).select("term", F.log(1 + F.col("n") / F.col("df")).alias("idf"))
+    weights = spread.select("term", F.log(1 + F.lit(corpus.count()) / F.col("df")).alias("idf"))
     needed = asked.groupBy("query_id").agg(F.count("term").alias("needed"))
     terms = asked.join(weights, "term").join(needed, "query_id")
     scored = (
-        counts.join(F.broadcast(terms) if few else terms, "term")
+        counts.join(terms, "term")
         .groupBy("query_id", doc_id)
         .agg(F.round(F.sum(F.col("tf") * F.col("idf")), SCORE_DIGITS).alias("score"), F.count("term").alias("found"), F.max("needed").alias("needed"))
     )
@@ -75,8 +73,9 @@ def search(
         scored = scored.where("found = needed")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), doc_id)
     top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max_results)
+    # At most max_results rows a query; the texts stay where they are when these are few.
     return top.join(corpus, doc_id).select(
-        "query_id", "rank", doc_id, "title", "url", F.substring("text", 1, SNIPPET_LENGTH).alias("snippet"), "score"
+        "query_id", "rank", doc_id, "title", "url", F.col("text").alias("snippet"), "score"
     )
 
 
