@@ -205,13 +205,13 @@ def write_store(
     the shards, has one row per row of ``docs``; ``start`` counts ids within
     the shard. ``end_id`` follows every document. Null texts count as empty,
     null ids come first, rows with the same id follow each other in order of
-    their texts. Other columns are ignored. ``shards`` defaults to the number
-    of shuffle partitions.
+    their texts. Other columns are ignored. ``shards`` defaults to half the
+    number of shuffle partitions: the more texts, the more pieces they share.
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as file:
         spec = spark.sparkContext.broadcast(file.read())  # the vocabulary: a few MB, whatever the corpus
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
 
     def run(batches: Iterator[pa.RecordBatch]):
         encoder, writer, at = PieceEncoder(spec.value), None, 0
