@@ -165,6 +165,13 @@ def _(spark, sf):
     return o.select("o_orderkey", N.parse_date(text).cast("timestamp_ntz").alias("parsed"))
 
 
+@query("unparsed_dates", "SELECT COUNT(*) FILTER (o_orderkey % 7 = 0 AND o_orderkey % 5 <> 0) AS n_bad, COUNT(*) AS n_rows FROM orders")
+def _(spark, sf):
+    key = F.col("o_orderkey")
+    text = F.when(key % 5 == 0, F.lit(None)).when(key % 7 == 0, F.lit("not a date")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return table(spark, sf, "orders").agg(F.count_if(N.unparsed(text)).alias("n_bad"), F.count(F.lit(1)).alias("n_rows"))
+
+
 _FILL = ["acctbal_gaps", "mostly_missing"]
 
 

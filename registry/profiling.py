@@ -126,11 +126,8 @@ def _(spark, sf):
 def _(spark, sf):
     f = customer_features(spark, sf)
     cols = ["acctbal", "n_orders", "total_spend"]
-    low = F.least(*[F.min(F.col(c).cast("double")) for c in cols])
-    high = F.greatest(*[F.max(F.col(c).cast("double")) for c in cols])
-    return f.agg(low.alias("low"), high.alias("high")).select(
-        r("low", 4).alias("low"), r("high", 4).alias("high"), ((F.col("high") > 10) | (F.col("low") < -10)).alias("needs_scaling")
-    )
+    low, high = P.value_range(f, cols)
+    return rounded(spark.createDataFrame([(low, high, high > 10 or low < -10)], "low double, high double, needs_scaling boolean"), ["low", "high"], 4)
 
 
 _CORR_COLS = NUMBERS + ["constant_col"]

@@ -7,6 +7,7 @@ from veinworks.functions import text as T
 from veinworks.operators import extract as X
 from veinworks.operators import html as H
 from veinworks.operators import search as S
+from veinworks.sources import tables as ST
 
 TERMS = ["the", "der", "que"]
 
@@ -37,7 +38,8 @@ PAGES_SQL = f"""art AS (SELECT page_id, url, html, regexp_extract(html, '<articl
 
 @query("read_pages", "SELECT page_id, url, length(html) AS n_chars FROM pages")
 def _(spark, sf):
-    return pages(spark, sf).select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
+    read = ST.read_pages(spark, f"{sf}/pages.parquet")
+    return read.select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
 
 
 _COUNTED = ["a", "article", "b", "br", "h1", "li", "p", "title", "ul"]
@@ -118,15 +120,13 @@ def _(spark, sf):
 
 @query(
     "long_paragraphs",
-    f"WITH {PAGES_SQL} SELECT page_id, position::INTEGER AS position, length(paragraph)::INTEGER AS n_chars FROM one WHERE length(paragraph) > 40",
+    f"WITH {PAGES_SQL} SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY position) - 1)::INTEGER AS position, "
+    "length(paragraph)::INTEGER AS n_chars FROM one WHERE length(paragraph) > 40",
 )
 def _(spark, sf):
     c = X.read_content(pages(spark, sf))
-    marked = F.filter(
-        F.transform("paragraphs", lambda p, i: F.struct(i.alias("position"), F.length(p).alias("n_chars"))),
-        lambda m: m["n_chars"] > T.LONG_PARAGRAPH,
-    )
-    return c.select("page_id", F.inline(marked))
+    each = c.select("page_id", F.posexplode(T.long_paragraphs(F.col("paragraphs"))).alias("position", "paragraph"))
+    return each.select("page_id", "position", F.length("paragraph").alias("n_chars"))
 
 
 @query(

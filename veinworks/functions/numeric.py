@@ -63,6 +63,11 @@ def parse_date(text: Column, fmt: str | None = None) -> Column:
     return F.try_to_timestamp(text, F.lit(fmt)) if fmt else F.try_to_timestamp(text)
 
 
+def unparsed(text: Column, fmt: str | None = None) -> Column:
+    """Whether a string is there but cannot be read as a timestamp."""
+    return text.isNotNull() & parse_date(text, fmt).isNull()
+
+
 def clamp(value: Column, low, high) -> Column:
     """Bring values into [low, high]; NULL stays NULL."""
     bounded = F.least(F.greatest(value, F.lit(low)), F.lit(high))

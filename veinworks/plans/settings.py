@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -42,7 +43,7 @@ class Settings:
     k_range: tuple[int, int] = (2, 8)
     starts: int = 10
     output: str | None = None
-    run_id: str = "run"
+    run_id: str = field(default_factory=lambda: datetime.now().strftime("%Y%m%d_%H%M%S_%f"))  # a run never overwrites another
     options: dict = field(default_factory=dict)
 
     def __post_init__(self):
