@@ -139,11 +139,7 @@ class PieceEncoder:
         """Words of the split rule; their ids, from the library's model, are in ``of_word``."""
         words, known, tokenize = self.words(text), self.of_word, self.library.model.tokenize
         for w in [w for w in set(words) if w not in known]:
-            tail = w[1:]
-            if w[0] == " " and tail.isascii() and tail.isalpha():
-                letters = self.space + tail
-            else:
-                letters = w.encode().decode("latin-1").translate(self.letters)
+            letters = w.encode().decode("latin-1").translate(self.letters)
             known[w] = array("I", [t.id for t in tokenize(letters)]).tobytes()
         return words
 
@@ -153,8 +149,20 @@ class PieceEncoder:
             for p in fresh if not self.simple else [p for p in fresh if not self.latin(p)]:
                 self.pieces[p] = self._library(" " + p)
             fresh = [p for p in fresh if p not in self.pieces]
-        out: list[bytes] = []
-        known = self.of_word
+        known, pieces, tokenize, space = self.of_word, self.pieces, self.library.model.tokenize, self.space
+        rest = []
+        for p in fresh:
+            if p.isascii() and p.isalpha():  # one word, without a search for its end
+                w = " " + p
+                ids = known.get(w)
+                if ids is None:
+                    ids = known[w] = array("I", [t.id for t in tokenize(space + p)]).tobytes()
+                pieces[p] = ids
+            elif not p or p[0].isspace():  # first in a text: beside others it would run into the space between
+                pieces[p] = self._library(" " + p)
+            else:
+                rest.append(p)
+        fresh, out = rest, []
         for w in self._words(" " + " ".join(fresh)) if fresh else []:
             if w[0] == " ":
                 out.append(known[w])
@@ -205,13 +213,13 @@ def write_store(
     the shards, has one row per row of ``docs``; ``start`` counts ids within
     the shard. ``end_id`` follows every document. Null texts count as empty,
     null ids come first, rows with the same id follow each other in order of
-    their texts. Other columns are ignored. ``shards`` defaults to half the
-    number of shuffle partitions: the more texts, the more pieces they share.
+    their texts. Other columns are ignored. ``shards`` defaults to the number
+    of shuffle partitions.
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as file:
         spec = spark.sparkContext.broadcast(file.read())  # the vocabulary: a few MB, whatever the corpus
-    shards = shards or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
+    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]):
         encoder, writer, at = PieceEncoder(spec.value), None, 0
