@@ -26,6 +26,16 @@ def linear_quantile(values, p):
     return values[low] + (values[high] - values[low]) * (rank - low)
 
 
+def test_quantiles_between_heavy_ties(spark):
+    import numpy as np
+
+    values = [1.0] * 4000 + [2.0] * 4000 + [1.0 + i / 3000 for i in range(1, 1500)] + [5.0, -3.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    probs = [0.0, 0.3, 0.41, 0.4205, 0.46, 0.5, 0.5786, 0.9, 1.0]
+    got = Q.exact_quantiles(df, ["x"], probs, small=20)[()]["x"]
+    assert got == pytest.approx(list(np.quantile(values, probs)), abs=1e-12)
+
+
 @pytest.mark.parametrize("small", [5, 50, 100_000])
 def test_exact_quantiles_whatever_the_path(spark, small):
     draw = random.Random(1)

@@ -1,9 +1,12 @@
 """Exact quantiles without gathering a column in one place.
 
-``percentile`` keeps every distinct value of a column in a single task. Here
-a sketch first brackets the wanted ranks; only rows between the brackets are
-looked at again, and the bracket is narrowed until few distinct values remain.
-Small columns, the usual case in tests, need no second pass.
+``percentile`` keeps every distinct value of a column in a single task. Here a
+sketch first brackets the wanted ranks; then the brackets are counted and
+narrowed, all in the same pass, until few values remain inside, which are
+fetched. Values that many rows share fall out at the ends of a bracket, so ties
+never stop the narrowing. The way is the same for every size; brackets travel
+as a table that the values are joined with, so the plan does not grow with the
+number of groups and columns.
 """
 
 from __future__ import annotations
@@ -12,139 +15,110 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from veinworks.session import SMALL_ROWS, from_rows
+from veinworks.session import from_rows
 
 SKETCH_ACCURACY = 10_000
-
-
-def _bracket(df: DataFrame, cols, probs, by):
-    """Counts and sketch brackets of every column, in one aggregation."""
-    slack = 4.0 / SKETCH_ACCURACY
-    aggs = []
-    for i, c in enumerate(cols):
-        value = F.col(c).cast("double")
-        aggs.append(F.count(value).alias(f"n{i}"))
-        aggs.append(F.min(value).alias(f"min{i}"))
-        aggs.append(F.max(value).alias(f"max{i}"))
-        wanted = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
-        aggs.append(F.percentile_approx(value, wanted, SKETCH_ACCURACY).alias(f"b{i}"))
-    return df.groupBy(*by).agg(*aggs)
+GRID = 64
+FETCHED = 1_000  # values inside a bracket that may be fetched
 
 
 def exact_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    small: int = SMALL_ROWS,
-    n_rows: int | None = None,
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), small: int = FETCHED
 ) -> dict[tuple, dict[str, list[float | None]]]:
     """Linear-interpolated quantiles as ``{group values: {column: [one per prob]}}``.
 
     Groups must be few (cluster numbers, classes); columns without values give
     ``None``. The result is small, so it comes back to the caller, who turns it
-    into literals or into a table. ``n_rows`` saves a counting pass where the
-    caller knows the size of the table.
+    into literals or into a table. At most ``small`` values per quantile are
+    fetched on the way.
     """
     cols, probs, by = list(cols), list(probs), list(by)
     if not cols:
         return {}
-    if n_rows is not None and n_rows <= small:
-        return _direct(df, cols, probs, by)
-    sizes = df.groupBy(*by).agg(
-        *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]
-    ).collect()
-    if all(row[f"n{i}"] <= small for row in sizes for i in range(len(cols))):
-        return _direct(df, cols, probs, by)
-    return _refined(df, cols, probs, by, small)
-
-
-def _direct(df, cols, probs, by):
-    aggs = [
-        F.percentile(F.col(c).cast("double"), probs).alias(f"q{i}") for i, c in enumerate(cols)
-    ]
-    out = {}
-    for row in df.groupBy(*by).agg(*aggs).collect():
-        key = tuple(row[b] for b in by)
-        out[key] = {c: row[f"q{i}"] or [None] * len(probs) for i, c in enumerate(cols)}
+    long = _long(df, cols, by)
+    slack = 4.0 / SKETCH_ACCURACY
+    wanted = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
+    bracket = long.groupBy("_group", "_feature").agg(
+        F.count("_value").alias("n"), F.min("_value").alias("least"), F.max("_value").alias("most"),
+        F.percentile_approx("_value", wanted, SKETCH_ACCURACY).alias("marks"),
+    )
+    out: dict[tuple, dict[str, list]] = {}
+    targets = []
+    for row in bracket.collect():  # a row per group and column
+        found = out.setdefault(tuple(row["_group"]) if by else (), {c: [None] * len(probs) for c in cols})
+        if not row["n"]:
+            continue
+        for j, p in enumerate(probs):
+            rank = p * (row["n"] - 1)
+            targets.append({
+                "group": row["_group"], "feature": row["_feature"], "at": (found[cols[row["_feature"]]], j), "rank": rank,
+                "first": int(rank), "last": int(rank) + (rank > int(rank)), "low": row["marks"][j],
+                "high": row["marks"][len(probs) + j], "least": row["least"], "most": row["most"],
+            })
+    while targets:
+        targets = _narrow(long, targets, small)
     return out
 
 
-def _refined(df, cols, probs, by, small):
-    out: dict[tuple, dict[str, list]] = {}
-    open_targets = []  # (group, column, prob index, low, high, rank inside the whole group)
-    for row in _bracket(df, cols, probs, by).collect():
-        key = tuple(row[b] for b in by)
-        out[key] = {c: [None] * len(probs) for c in cols}
-        for i, c in enumerate(cols):
-            n = row[f"n{i}"]
-            if not n:
-                continue
-            for j, p in enumerate(probs):
-                low, high = row[f"b{i}"][j], row[f"b{i}"][len(probs) + j]
-                open_targets.append((key, c, j, low, high, p * (n - 1), row[f"min{i}"], row[f"max{i}"]))
-    while open_targets:
-        open_targets = _narrow(df, by, open_targets, out, small)
-    return out
+def _long(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
+    """(_group, _feature, _value): a row per value, the feature by number."""
+    group = F.struct(*[F.col(b) for b in by]) if by else F.lit(0)
+    cells = F.array(*[F.struct(F.lit(i).alias("_feature"), F.col(c).cast("double").alias("_value")) for i, c in enumerate(cols)])
+    return df.select(group.alias("_group"), F.inline(cells))
 
 
-def _in_group(by, key) -> Column:
-    cond = F.lit(True)
-    for b, v in zip(by, key):
-        cond = cond & F.col(b).eqNullSafe(F.lit(v))
-    return cond
+def _with_targets(long: DataFrame, targets: list[dict]) -> DataFrame:
+    """Every value with the brackets of its group and column: a few rows per quantile asked for."""
+    kind = long.schema["_group"].dataType.simpleString()
+    rows = [(t["group"], t["feature"], k, t["low"], t["high"]) for k, t in enumerate(targets)]
+    table = from_rows(long.sparkSession, rows, f"_key {kind}, _number int, _target int, _low double, _high double")
+    same = F.col("_group").eqNullSafe(F.col("_key")) & (F.col("_feature") == F.col("_number"))
+    return long.where("_value is not null").join(F.broadcast(table), same)
 
 
-def _narrow(df, by, targets, out, small):
-    """One pass over all open targets: count below and inside each bracket."""
-    aggs = []
-    for t, (key, c, _, low, high, _, _, _) in enumerate(targets):
-        value = F.col(c).cast("double")
-        mine = _in_group(by, key)
-        inside = mine & (value >= low) & (value <= high)
-        aggs.append(F.count_if(mine & (value < low)).alias(f"below{t}"))
-        aggs.append(F.count_if(inside).alias(f"inside{t}"))
-        middle = F.percentile_approx(
-            F.when(inside, value), [i / 64 for i in range(65)], SKETCH_ACCURACY
-        )
-        aggs.append(middle.alias(f"grid{t}"))
-    row = df.agg(*aggs).first()
+def _narrow(long: DataFrame, targets: list[dict], small: int) -> list[dict]:
+    """Count below and inside every bracket; those with few values inside are answered, others come back narrower."""
+    value, low, high = F.col("_value"), F.col("_low"), F.col("_high")
+    inside = (value >= low) & (value <= high)
+    counted = _with_targets(long, targets).where(value <= high).groupBy("_target").agg(
+        F.count_if(value < low).alias("below"), F.count_if(inside).alias("inside"),
+        F.count_if(value == low).alias("at_low"), F.count_if(value == high).alias("at_high"),
+        F.min(F.when(value > low, value)).alias("after_low"), F.max(F.when(inside & (value < high), value)).alias("before_high"),
+        F.percentile_approx(F.when(inside, value), [i / GRID for i in range(GRID + 1)], SKETCH_ACCURACY).alias("grid"),
+    )
+    seen = {r["_target"]: r for r in counted.collect()}  # a row per quantile asked for
     ready, again = [], []
-    for t, (key, c, j, low, high, rank, least, most) in enumerate(targets):
-        below, inside = row[f"below{t}"], row[f"inside{t}"]
-        first, last = int(rank), int(rank) + (1 if rank > int(rank) else 0)
-        if first < below or last >= below + inside:  # the sketch missed: widen
-            again.append((key, c, j, least, most, rank, least, most))
-        elif low == high:
-            out[key][c][j] = low
-        elif inside <= small:
-            ready.append((key, c, j, low, high, rank - below))
+    for k, t in enumerate(targets):
+        r = seen.get(k)
+        below, n = (r["below"], r["inside"]) if r else (0, 0)
+        first, last = t["first"] - below, t["last"] - below
+        answers, j = t["at"]
+        part = t["rank"] - int(t["rank"])
+        if first < 0 or last >= n:  # the sketch missed: widen
+            again.append({**t, "low": t["least"], "high": t["most"]})
+        elif t["low"] == t["high"] or last < r["at_low"]:
+            answers[j] = t["low"]
+        elif first >= n - r["at_high"]:
+            answers[j] = t["high"]
+        elif first < r["at_low"]:  # one of the two ranks is the last of the lowest values
+            answers[j] = t["low"] + (r["after_low"] - t["low"]) * part
+        elif last >= n - r["at_high"]:
+            answers[j] = r["before_high"] + (t["high"] - r["before_high"]) * part
+        elif n <= small:
+            ready.append({**t, "rank": t["rank"] - below})
         else:
-            grid = row[f"grid{t}"]
-            share = 64.0 / inside
-            lower = max(0, int((first - below) * share) - 2)
-            upper = min(64, int((last - below) * share) + 3)
-            new_low, new_high = grid[lower], grid[upper]
-            if (new_low, new_high) == (low, high):  # heavy ties: few distinct values
-                ready.append((key, c, j, low, high, rank - below))
-            else:
-                again.append((key, c, j, new_low, new_high, rank, least, most))
+            share = float(GRID) / n
+            new_low = r["grid"][max(0, int(first * share) - 2)]
+            new_high = r["grid"][min(GRID, int(last * share) + 3)]
+            again.append({**t, "low": max(new_low, r["after_low"]), "high": min(new_high, r["before_high"])})
     if ready:
-        picks = []
-        for t, (key, c, _, low, high, _) in enumerate(ready):
-            value = F.col(c).cast("double")
-            keep = _in_group(by, key) & (value >= low) & (value <= high)
-            picks.append(F.when(keep, F.struct(F.lit(t).alias("target"), value.alias("value"))))
-        rows = (
-            df.select(F.explode(F.array_compact(F.array(*picks))).alias("pick"))
-            .groupBy("pick.target", "pick.value")
-            .count()
-            .orderBy("target", "value")
-            .collect()
-        )
-        for t, (key, c, j, _, _, rank) in enumerate(ready):
-            counts = [(r["value"], r["count"]) for r in rows if r["target"] == t]
-            out[key][c][j] = _at_rank(counts, rank)
+        picked = _with_targets(long, ready).where(inside).groupBy("_target", "_value").count()
+        values: dict[int, list] = {}
+        for r in picked.collect():  # at most ``small`` rows per quantile
+            values.setdefault(r["_target"], []).append((r["_value"], r["count"]))
+        for k, t in enumerate(ready):
+            answers, j = t["at"]
+            answers[j] = _at_rank(sorted(values[k]), t["rank"])
     return again
 
 
@@ -160,8 +134,8 @@ def _at_rank(counts: list[tuple[float, int]], rank: float) -> float | None:
     return low
 
 
-def medians(df: DataFrame, cols: Sequence[str], n_rows: int | None = None) -> dict[str, float | None]:
-    result = exact_quantiles(df, cols, [0.5], n_rows=n_rows)
+def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
+    result = exact_quantiles(df, cols, [0.5])
     return {c: v[0] for c, v in result.get((), {}).items()}
 
 
