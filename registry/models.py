@@ -503,6 +503,20 @@ def _(spark, sf):
     return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("total_spend").eqNullSafe(F.col("other"))).alias("n_different"))
 
 
+@query("classifier_round_trip", facts_sql(models=5, different=0, rows="SELECT 5 * COUNT(*) FROM documents JOIN labels USING (doc_id)"))
+def _(spark, sf):
+    rows = durable(_classified(spark, sf))
+    cols = [c for c in rows.columns if c not in ("row_id", "label")]
+    folder, different, n = shared_folder(spark), 0, 0
+    for name, fit in M.FITTERS.items():
+        fitted = fit(rows, cols, "label", "row_id", **M.DEFAULTS[name])
+        again = M.load_fitted(spark, M.save_fitted(fitted, f"{folder}/{name.replace(' ', '_')}", spark))
+        both = fitted.score(rows).join(again.score(rows).withColumnsRenamed({"score": "s", "prediction": "p"}), "row_id")
+        seen = both.agg(F.count(F.lit(1)).alias("n"), F.count_if((F.abs(F.col("score") - F.col("s")) > 1e-9) | (F.col("prediction") != F.col("p"))).alias("bad")).first()
+        different, n = different + seen["bad"], n + seen["n"]
+    return facts(spark, models=len(M.FITTERS), different=different, rows=n)
+
+
 @query(
     "summary_report",
     SEG + """, c AS (SELECT prediction, COUNT(*) AS n FROM seg GROUP BY prediction) SELECT 'clusters' AS section, 'cluster ' || prediction AS key, n::VARCHAR AS value FROM c

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 import math
 import random
 from collections.abc import Callable, Iterator, Sequence
@@ -11,7 +12,8 @@ from concurrent.futures import ThreadPoolExecutor
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import (
-    GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
+    GBTClassificationModel, GBTClassifier, LinearSVC, LinearSVCModel, LogisticRegression, LogisticRegressionModel,
+    RandomForestClassificationModel, RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -51,17 +53,23 @@ Scorer = Callable[[DataFrame], DataFrame]
 
 
 class Fitted:
-    """A trained model: its name, parameters, Spark model(s) and how it scores rows.
+    """A trained model: its name, parameters, parts and how it scores rows.
 
-    ``score`` gives (row_id, score, prediction); ``score`` is the probability of 1.
+    ``score`` gives (row_id, score, prediction); ``score`` is the probability of
+    1. ``parts`` are Spark models and tables, ``extra`` plain values: with them
+    the model can be written and read again.
     """
 
-    def __init__(self, name: str, params: dict, score: Scorer, model=None, features: Sequence[str] = ()):
-        self.name, self.params, self.score = name, params, score
-        self.model, self.features = model, list(features)
+    def __init__(self, name: str, params: dict, parts: dict, features: Sequence[str], row_id: str, **extra):
+        self.name, self.params, self.parts, self.extra = name, params, parts, extra
+        self.features, self.row_id = list(features), row_id
+        self.model = parts.get("model")
+        self.score = SCORERS[name](parts, self.features, row_id, params, extra)
 
 
-def _probability(model, cols, row_id) -> Scorer:
+def _probability(parts, cols, row_id, params, extra) -> Scorer:
+    model = parts["model"]
+
     def score(df: DataFrame) -> DataFrame:
         out = model.transform(with_vectors(df, cols))
         return out.select(
@@ -80,7 +88,7 @@ def fit_logistic(train, cols, label, row_id, C=1.0, max_iter=1000) -> Fitted:
         labelCol=label, regParam=1.0 / (C * max(rows.count(), 1)), elasticNetParam=0.0, standardization=False,
         maxIter=int(max_iter), tol=1e-6,
     ).fit(rows)
-    return Fitted("Logistic Regression", {"C": C, "max_iter": max_iter}, _probability(model, cols, row_id), model, cols)
+    return Fitted("Logistic Regression", {"C": C, "max_iter": max_iter}, {"model": model}, cols, row_id)
 
 
 def fit_forest(train, cols, label, row_id, n_estimators=100, max_depth=None) -> Fitted:
@@ -88,7 +96,7 @@ def fit_forest(train, cols, label, row_id, n_estimators=100, max_depth=None) ->
         labelCol=label, numTrees=n_estimators, maxDepth=DEEPEST_TREE if max_depth is None else max_depth, seed=SEED
     ).fit(with_vectors(train, cols))
     params = {"n_estimators": n_estimators, "max_depth": max_depth}
-    return Fitted("Random Forest", params, _probability(model, cols, row_id), model, cols)
+    return Fitted("Random Forest", params, {"model": model}, cols, row_id)
 
 
 def fit_boosted(train, cols, label, row_id, learning_rate=0.3, n_estimators=100, max_depth=6) -> Fitted:
@@ -96,7 +104,7 @@ def fit_boosted(train, cols, label, row_id, learning_rate=0.3, n_estimators=100,
         labelCol=label, stepSize=learning_rate, maxIter=n_estimators, maxDepth=max_depth, seed=SEED
     ).fit(with_vectors(train, cols))
     params = {"learning_rate": learning_rate, "n_estimators": n_estimators, "max_depth": max_depth}
-    return Fitted("Gradient Boosting", params, _probability(model, cols, row_id), model, cols)
+    return Fitted("Gradient Boosting", params, {"model": model}, cols, row_id)
 
 
 def fit_neighbors(train, cols, label, row_id, n_neighbors=5) -> Fitted:
@@ -106,14 +114,19 @@ def fit_neighbors(train, cols, label, row_id, n_neighbors=5) -> Fitted:
     their place in the written table.
     """
     kept = _numbered(train, cols, label).withColumnRenamed("_number", row_id)
+    return Fitted("KNN", {"n_neighbors": n_neighbors}, {"rows": kept}, cols, row_id, label=label)
+
+
+def _votes(parts, cols, row_id, params, extra) -> Scorer:
+    kept = parts["rows"]
 
     def score(df: DataFrame) -> DataFrame:
-        near = nearest_neighbors(kept, cols, n_neighbors, queries=df.select(row_id, *cols), row_id=row_id)
-        return neighbor_votes(near, kept, row_id, label).select(
+        near = nearest_neighbors(kept, cols, params["n_neighbors"], queries=df.select(row_id, *cols), row_id=row_id)
+        return neighbor_votes(near, kept, row_id, extra["label"]).select(
             F.col("query_id").alias(row_id), "score", F.col("prediction").cast("int").alias("prediction")
         )
 
-    return Fitted("KNN", {"n_neighbors": n_neighbors}, score, None, cols)
+    return score
 
 
 def _numbered(train: DataFrame, cols, label) -> DataFrame:
@@ -160,19 +173,57 @@ def fit_svm(train, cols, label, row_id, C=1.0, gamma=None) -> Fitted:
     try:
         n = max(lifted.count(), 1)
         model = LinearSVC(labelCol=label, regParam=1.0 / (C * n), standardization=False, maxIter=200).fit(lifted)
-        margin = F.array(vector_to_array("rawPrediction")[1])
-        margins = model.transform(lifted).select(label, array_to_vector(margin).alias("margin"))
+        margins = model.transform(lifted).select(label, _margin())
         sigmoid = LogisticRegression(labelCol=label, featuresCol="margin").fit(margins)
     finally:
         lifted.unpersist()
 
+    return Fitted("SVM", {"C": C, "gamma": gamma}, {"model": model, "sigmoid": sigmoid}, cols, row_id, width=width)
+
+
+def _margin():
+    return array_to_vector(F.array(vector_to_array("rawPrediction")[1])).alias("margin")
+
+
+def _kernel(parts, cols, row_id, params, extra) -> Scorer:
     def score(df: DataFrame) -> DataFrame:
-        out = model.transform(kernel_features(df.select(row_id, *cols), cols, width))
-        out = out.select(row_id, F.col("prediction").cast("int").alias("prediction"), array_to_vector(margin).alias("margin"))
-        out = sigmoid.setPredictionCol("_p").setRawPredictionCol("_r").transform(out)
+        out = parts["model"].transform(kernel_features(df.select(row_id, *cols), cols, extra["width"]))
+        out = out.select(row_id, F.col("prediction").cast("int").alias("prediction"), _margin())
+        out = parts["sigmoid"].setPredictionCol("_p").setRawPredictionCol("_r").transform(out)
         return out.select(row_id, vector_to_array("probability")[1].alias("score"), "prediction")
 
-    return Fitted("SVM", {"C": C, "gamma": gamma}, score, model, cols)
+    return score
+
+
+SCORERS = {
+    "Logistic Regression": _probability, "KNN": _votes, "SVM": _kernel, "Random Forest": _probability,
+    "Gradient Boosting": _probability,
+}
+READERS = {
+    "Logistic Regression": {"model": LogisticRegressionModel}, "KNN": {}, "Random Forest": {"model": RandomForestClassificationModel},
+    "SVM": {"model": LinearSVCModel, "sigmoid": LogisticRegressionModel}, "Gradient Boosting": {"model": GBTClassificationModel},
+}
+
+
+def save_fitted(fitted: Fitted, path: str, spark: SparkSession) -> str:
+    """Write a trained model of any kind: its parts, and a row that describes it."""
+    about = {"name": fitted.name, "params": fitted.params, "features": fitted.features, "row_id": fitted.row_id, "extra": fitted.extra}
+    for part, value in fitted.parts.items():
+        if isinstance(value, DataFrame):
+            value.write.mode("overwrite").parquet(f"{path}/{part}")
+        else:
+            value.write().overwrite().save(f"{path}/{part}")
+    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+    return path
+
+
+def load_fitted(spark: SparkSession, path: str) -> Fitted:
+    """Read what ``save_fitted`` has written."""
+    about = json.loads(spark.read.text(f"{path}/about").first()["value"])
+    parts = {part: kind.load(f"{path}/{part}") for part, kind in READERS[about["name"]].items()}
+    if about["name"] == "KNN":
+        parts["rows"] = spark.read.parquet(f"{path}/rows")
+    return Fitted(about["name"], about["params"], parts, about["features"], about["row_id"], **about["extra"])
 
 
 FITTERS = {

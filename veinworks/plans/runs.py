@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from veinworks.functions.numeric import numeric_columns
-from veinworks.operators.classification import compare_models, feature_importances
+from veinworks.operators.classification import compare_models, feature_importances, save_fitted
 from veinworks.operators.clustering import cluster_profile, cluster_sizes, segment_dashboard, segmentation
 from veinworks.operators.columns import keep_important, require_column
 from veinworks.operators.sampling import split_rows
@@ -60,6 +60,8 @@ def run_classification(df: DataFrame, s: Settings) -> dict:
     summary = classification_summary(result, features, df.count(), len(df.columns))
     tables["summary"] = report(df.sparkSession, summary)
     _write(tables, prepared, s)
+    if s.output:
+        save_fitted(result["best"], f"{s.output}/{s.run_id}/model", df.sparkSession)
     return {**result, "preparation": model, "prepared": prepared, "features": features, "tables": tables}
 
 
