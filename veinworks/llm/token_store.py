@@ -23,14 +23,15 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from veinworks.llm.base import fresh_folder, map_arrow, query, table, texts
+from veinworks.llm.base import fresh_folder, map_arrow, query, table
 from veinworks.llm.bpe import byte_letters, default_tokenizer
 from veinworks.llm.files import filesystem, read_at, task_name
 
 # Magic numbers and flags of the seekable format.
 SKIPPABLE, SEEKABLE, CHECKSUMS, FOOTER = 0x184D2A5E, 0x8F92EAB1, 0x80, 9
 FRAME_BYTES = 1 << 18
-LOT_CHARS = 8 << 20  # texts encoded together
+LOT_CHARS = 24 << 20  # code points of the texts that are taken apart together
+PIECES_AT_ONCE = 1 << 19  # pieces of the texts that are put together at once
 KNOWN_PIECES = 600_000  # encoded pieces that a task remembers
 # The split rule of byte-level tokenizers and its white space.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -175,32 +176,54 @@ class PieceEncoder:
             return b"".join([self.of_word[w] for w in self._words(piece)])
         return self._library(piece)
 
-    def encode(self, lot: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts with the end id after each, number of ids of each text)."""
+    def encode(self, lot: list[str], end_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Some texts at a time: (ids with the end id after each text, number of ids of each text)."""
         whole = [bool(self.whole(text)) for text in lot]
         parts = pc.split_pattern(pa.array(["" if w else t for t, w in zip(lot, whole, strict=True)], pa.string()), pattern=" ")
         bounds = parts.offsets.to_numpy().astype(np.int64)
         coded = parts.flatten().dictionary_encode()
+        del parts
         distinct = coded.dictionary.to_pylist()
         if len(self.pieces) > KNOWN_PIECES:
             self.pieces, self.of_word = {}, {}
         self._learn([p for p in distinct if p not in self.pieces])
+        order = coded.indices.to_numpy()
         # A text starts with a piece of its own, without a space before it, and ends with the end id.
         firsts = [
             self._library(text) if w else self._first(distinct[k])
-            for text, w, k in zip(lot, whole, coded.indices.to_numpy()[bounds[:-1]].tolist(), strict=True)
+            for text, w, k in zip(lot, whole, order[bounds[:-1]].tolist(), strict=True)
         ]
         entries = [*map(self.pieces.__getitem__, distinct), *firsts, struct.pack("<I", end_id)]
-        size = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
-        pool, start = np.frombuffer(b"".join(entries), "<u4"), np.concatenate([[0], np.cumsum(size)])
-        order = coded.indices.to_numpy().astype(np.int64)
-        order[bounds[:-1]] = len(distinct) + np.arange(len(lot))
-        order = np.insert(order, bounds[1:], len(entries) - 1)
-        sizes = size[order]
-        ends = np.cumsum(sizes)
-        ids = pool[np.repeat(start[order] - (ends - sizes), sizes) + np.arange(ends[-1])]
-        last = ends[bounds[1:] + np.arange(len(lot))]
-        return ids, np.diff(last, prepend=0)
+        size = np.fromiter(map(len, entries), np.int32, len(entries)) // 4
+        pool, start = np.frombuffer(b"".join(entries), "<u4"), np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        n, begin = len(distinct), 0
+        del entries, distinct
+        while begin < len(lot):
+            end = max(begin + 1, int(np.searchsorted(bounds, bounds[begin] + PIECES_AT_ONCE)) - 1)
+            own = bounds[begin : end + 1] - bounds[begin]
+            part = order[bounds[begin] : bounds[end]].copy()
+            part[own[:-1]] = n + np.arange(begin, end)
+            part = np.insert(part, own[1:], len(size) - 1)
+            sizes = size[part]
+            ends = np.cumsum(sizes)
+            ids = pool[np.repeat((start[part] - (ends - sizes)).astype(np.int32), sizes) + np.arange(ends[-1], dtype=np.int32)]
+            yield ids, np.diff(ends[own[1:] + np.arange(end - begin)], prepend=0)
+            begin = end
+
+
+def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
+    """(ids, texts) of about ``LOT_CHARS`` code points, over several batches: the more texts, the more pieces they share."""
+    keys, lot, chars = [], [], 0
+    for batch in batches:
+        own = [t or "" for t in batch.column(1).to_pylist()]
+        keys.append(batch.column(0))
+        lot += own
+        chars += sum(map(len, own))
+        if chars >= LOT_CHARS:
+            yield pa.concat_arrays(keys), lot
+            keys, lot, chars = [], [], 0
+    if lot:
+        yield pa.concat_arrays(keys), lot
 
 
 def write_store(
@@ -223,30 +246,21 @@ def write_store(
 
     def run(batches: Iterator[pa.RecordBatch]):
         encoder, writer, at = PieceEncoder(spec.value), None, 0
-        for batch in batches:
+        names = ["doc_id", "shard", "file", "start", "n_tokens"]
+        for keys, lot in _lots(batches):
             if writer is None:
                 partition, name = task_name("shard", ".zst")
                 fs, path = filesystem(folder)
                 writer = FrameWriter(fs.open_output_stream(f"{path}/{name}", compression=None))
-            sizes: list[int] = []
-            lot: list[str] = []
-            chars = 0
-            for k, text in enumerate(texts(batch.column(1)), 1):
-                lot.append(text)
-                chars += len(text)
-                if chars >= LOT_CHARS or k == batch.num_rows:
-                    ids, found = encoder.encode(lot, end_id)
-                    writer.write(ids.tobytes())
-                    sizes += found.tolist()
-                    lot, chars = [], 0
+            sizes = []
+            for ids, found in encoder.encode(lot, end_id):
+                writer.write(ids.tobytes())
+                sizes.append(found)
+            sizes = np.concatenate(sizes)
             ends = at + np.cumsum(sizes)
-            starts, at = ends - sizes, int(ends[-1])
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([partition] * n, pa.int32()), pa.array([name] * n, pa.string()),
-                 pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())],
-                ["doc_id", "shard", "file", "start", "n_tokens"],
-            )
+            n, starts, at = len(lot), ends - sizes, int(ends[-1])
+            columns = [keys, pa.array([partition] * n, pa.int32()), pa.array([name] * n, pa.string()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names)
         if writer is not None:
             writer.close()
 
