@@ -183,7 +183,14 @@ def read_archives(index: DataFrame, folder: str, gap: int = GAP, most: int = MOS
     return map_arrow(index.select("file", "offset", "length", "url"), run, schema)
 
 
-@query("op10_warc")
+@query(
+    "op10_warc",
+    """WITH p AS (SELECT page_id, COALESCE(html, '') AS html FROM pages),
+    q AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS payload_digest FROM p),
+    k AS (SELECT payload_digest, MAX(page_id) AS keeper FROM q WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN keeper <> page_id THEN keeper END AS refers_to FROM q LEFT JOIN k USING (payload_digest)""",
+)
 def op10(spark, sf_dir):
     """A record for every page, read back through the index."""
     folder = fresh_folder(spark, "warc")
