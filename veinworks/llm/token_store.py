@@ -35,7 +35,7 @@ PIECES_AT_ONCE = 1 << 19  # pieces of the texts that are put together at once
 KNOWN_PIECES = 600_000  # encoded pieces that a task remembers
 # The split rule of byte-level tokenizers and its white space.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-SPACES = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
+SPACES = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 class FrameWriter:
