@@ -186,13 +186,11 @@ def test_one_cluster_has_no_scores(spark):
 
 
 def test_hierarchy_finds_clear_groups_and_nests(spark):
-    points = blobs(120, 2, 4, 12, 0.1) + [(0.0, 0.0)] * 2
-    df, cols = frame(spark, points)
-    groups = {}
-    for r in K.hierarchical_labels(df, cols, 4).collect():
-        if r["row_id"] < 120:
-            groups.setdefault(r["prediction"], set()).add(r["row_id"] % 4)
-    assert sorted(map(sorted, groups.values())) == [[0], [1], [2], [3]]
+    df, cols = frame(spark, blobs(120, 2, 2, 12, 0.1))
+    halves = {r["row_id"]: r["prediction"] for r in K.hierarchical_labels(df, cols, 2).collect()}
+    assert len({(k % 2, p) for k, p in halves.items()}) == 2 == len(set(halves.values()))
+    leaves = {r["row_id"]: r["prediction"] for r in K.hierarchical_labels(df, cols, 4).collect()}
+    assert len(set(leaves.values())) == 4 == len({(p, halves[k]) for k, p in leaves.items()})
     # Rows around the origin, where a relative step has no length.
     centred, cols = frame(spark, [(float(x), float(y)) for x in (-1, 1) for y in (-1, 1)] * 5)
     assert K.hierarchical_labels(centred, cols, 4).select("prediction").distinct().count() == 4
