@@ -136,7 +136,8 @@ def test_runs_end_to_end(spark, data, tmp_path):
     s = Settings("classification", label="y", models=("Logistic Regression",), n_features=3, output=out, balance=False, options={"max_depth": 3, "folds": 2})
     found = runs.run(data, s)
     assert found["tables"]["leaderboard"].first()["ROC AUC"] > 0.7
-    assert ST.read_delimited(spark, f"{out}/run/leaderboard").count() == 1
+    assert ST.read_delimited(spark, f"{out}/{s.run_id}/leaderboard").count() == 1
+    assert M.load_fitted(spark, f"{out}/{s.run_id}/model").name == "Logistic Regression"
     c = Settings("clustering", n_features=2, k_range=(2, 3), starts=1, methods=("kmeans",), output=out, run_id="c1")
     grouped = runs.run(data.drop("y"), c)
     assert grouped["labelled"].count() == 240 and grouped["n_clusters"] in (2, 3)

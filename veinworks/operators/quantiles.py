@@ -42,7 +42,7 @@ def exact_quantiles(
         F.count("_value").alias("n"), F.min("_value").alias("least"), F.max("_value").alias("most"),
         F.percentile_approx("_value", wanted, SKETCH_ACCURACY).alias("marks"),
     )
-    out: dict[tuple, dict[str, list]] = {}
+    out: dict[tuple, dict[str, list]] = {} if by else {(): {c: [None] * len(probs) for c in cols}}
     targets = []
     for row in bracket.collect():  # a row per group and column
         found = out.setdefault(tuple(row["_group"]) if by else (), {c: [None] * len(probs) for c in cols})
