@@ -2,11 +2,10 @@
 
 References are learned from the corpus: per language, a histogram of character
 classes and one of common words, over documents that pass the base rules. Of
-documents that share their smallest 3-word shingle hash (copies and most near
-copies) one counts, so a crowd of copies does not become the language. A
-document fails when its histograms lie too far, by Jensen-Shannon distance,
-from every reference. Short documents are left to the base rules, because their
-histograms say little.
+documents that share their smallest 3-word shingle hash one counts. A document fails when its histograms lie too far, by
+Jensen-Shannon distance, from the reference of its language. Short documents are
+left to the base rules, because their histograms say little, and so are
+documents of a language with too few words for a reference.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ import json
 import re
 import zlib
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +26,7 @@ from veinworks.llm.base import map_arrow, query, table, texts, written
 from veinworks.llm.charclass import CLASSES, class_counts, class_table
 
 WINDOW = 5
+KEPT_REFERENCES = 256  # parsed references that a task holds at once
 BASE_SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
 SYMBOL = re.compile(r"[#*$%&|<>]")
 
@@ -69,17 +69,28 @@ class Rules:
     char_words: int = 50  # fewest words for the test of character classes
     word_words: int = 100  # fewest words for the test of common words
     common_share: float = 0.002  # of the words of a language, to be common in it
-    language_share: float = 0.001  # of all words, to be a reference
+    language_words: int = 5_000  # fewest words of a language for a reference: a common one occurs ten times
     symbol_share: float = 0.1  # symbols per word above which a document teaches nothing
 
 
 @dataclass
-class References:
-    """Histograms by language; words that no reference counts as common are one rest."""
+class Reference:
+    """Histograms of a language; words that are not common in it are one rest, the last share."""
 
-    chars: np.ndarray = field(default_factory=lambda: np.zeros((0, len(CLASSES))))
-    words: list[bytes] = field(default_factory=list)
-    common: np.ndarray = field(default_factory=lambda: np.zeros((0, 1)))  # share of each word, the rest last
+    chars: np.ndarray
+    words: list[bytes]
+    common: np.ndarray
+
+    @classmethod
+    def parse(cls, text: str) -> Reference:
+        """From the JSON of ``references``."""
+        row = json.loads(text)
+        chars = np.zeros(len(CLASSES))
+        for item, n in zip(row["classes"], row["class_counts"], strict=True):
+            chars[int(item)] = n
+        common = np.array([*row["word_counts"], 0], float) / row["total"]
+        common[-1] = 1 - common.sum()
+        return cls(chars / max(1, chars.sum()), [w.encode() for w in row["words"]], common)
 
 
 def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -92,12 +103,12 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0, (part(np.broadcast_to(p, q.shape)) + part(q)) / 2))
 
 
-def references(docs: DataFrame, rules: Rules, text_col: str = "text", lang_col: str = "lang") -> References:
-    """Learn the references from all documents that pass the base rules and hold few symbols.
+def references(docs: DataFrame, rules: Rules, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, reference): of each language with enough words, learned from all documents
+    that pass the base rules and hold few symbols.
 
-    A null language is a language of its own. Words of at least ``common_share``
-    of a language are at most 1 / ``common_share`` and references at most
-    1 / ``language_share``, so both come to the driver whatever the corpus.
+    A null language is a language of its own, named "". ``reference`` is JSON of at
+    most 1 / ``common_share`` words; the table stays with Spark.
     """
 
     def summaries(batches):
@@ -139,58 +150,63 @@ def references(docs: DataFrame, rules: Rules, text_col: str = "text", lang_col:
     one = summed.groupBy("least").agg(F.min(F.struct("lang", "summary")).alias("one")).select("one.*")
     counted = map_arrow(one, tallies, "lang string, item string, is_class boolean, n long")
     counted = written(counted.groupBy("lang", "item", "is_class").agg(F.sum("n").alias("n")), "rule-counts")
-    totals = counted.where("not is_class").groupBy("lang").agg(F.sum("n").alias("total"))
-    everything = totals.agg(F.sum("total")).first()[0] or 0
-    big = {r["lang"]: r["total"] for r in totals.where(F.col("total") >= rules.language_share * everything).collect()}
+    totals = counted.where("not is_class").groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= rules.language_words)
     frequent = counted.join(totals, "lang").where(F.col("is_class") | (F.col("n") >= rules.common_share * F.col("total")))
-    found = [r for r in frequent.collect() if r["lang"] in big]
-    langs, words = sorted(big), sorted({r["item"] for r in found if not r["is_class"]})
-    at = {w: k for k, w in enumerate(words)}
-    chars, common = np.zeros((len(langs), len(CLASSES))), np.zeros((len(langs), len(words) + 1))
-    for r in found:
-        row = langs.index(r["lang"])
-        if r["is_class"]:
-            chars[row, int(r["item"])] = r["n"]
-        else:
-            common[row, at[r["item"]]] = r["n"] / big[r["lang"]]
-    common[:, -1] = 1 - common.sum(1)
-    chars /= np.maximum(1, chars.sum(1, keepdims=True))
-    return References(chars, [w.encode() for w in words], common)
-
-
-def divergences(text: str, words: list[bytes], classes: np.ndarray, known: References) -> tuple[float, float]:
-    """Distances of a text to the nearest reference: character classes, common words."""
-    if not len(known.chars):
+    # Two sorted lists: words and their counts stay in step.
+    pair = F.struct("item", "n")
+    lists = frequent.groupBy("lang").agg(
+        F.first("total").alias("total"), F.array_sort(F.collect_list(F.when(~F.col("is_class"), pair))).alias("w"),
+        F.array_sort(F.collect_list(F.when(F.col("is_class"), pair))).alias("c"),
+    )
+    made = F.struct(
+        "total", F.col("w.item").alias("words"), F.col("w.n").alias("word_counts"), F.col("c.item").alias("classes"),
+        F.col("c.n").alias("class_counts"),
+    )
+    return written(lists.select("lang", F.to_json(made).alias("reference")), "rule-references")
+
+
+def divergences(text: str, words: list[bytes], classes: np.ndarray, known: Reference | None) -> tuple[float, float]:
+    """Distances of a text to the reference of its language: character classes, common words."""
+    if known is None:
         return 0.0, 0.0
     chars = class_counts(text, classes)
     tally = Counter(words)
     common = np.array([*(tally.get(w, 0) for w in known.words), 0], float)
     common[-1] = len(words) - common.sum()
     return (
-        float(distance(chars / max(1, chars.sum()), known.chars).min()),
-        float(distance(common / max(1, len(words)), known.common).min()),
+        float(distance(chars / max(1, chars.sum()), known.chars[None])[0]),
+        float(distance(common / max(1, len(words)), known.common[None])[0]),
     )
 
 
-def apply_rules(docs: DataFrame, known: References, rules: Rules, text_col: str = "text") -> DataFrame:
+def apply_rules(docs: DataFrame, known: DataFrame, rules: Rules, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """All columns of ``docs`` but the text, with base columns, both distances and ``kept``.
 
-    A null text counts as empty: no words, base rules failed. Columns of the
-    names made here are replaced. Without references only the base rules decide.
+    ``known`` is the table of ``references``. A null text counts as empty: no
+    words, base rules failed. Columns of the names made here are replaced. Without
+    a reference of the language both distances are 0 and only the base rules decide.
     """
     made = StructType.fromDDL(f"{BASE_SCHEMA}, char_distance double, word_distance double, kept boolean")
     kept = [c for c in docs.columns if c not in made.fieldNames() and c != text_col]
-    rows = docs.select(*kept, F.col(text_col).alias("_whole_text"))
-    schema = StructType([*rows.schema.fields[:-1], *made.fields])
+    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("_lang")
+    rows = docs.select(*kept, F.col(text_col).alias("_whole_text"), lang)
+    schema = StructType([*rows.schema.fields[:-2], *made.fields])
+    known = known.select(F.col("lang").alias("_lang"), F.col("reference").alias("_reference"))
+    rows = rows.join(known, "_lang", "left").select(*kept, "_whole_text", "_lang", "_reference")
 
     def run(batches):
-        classes = class_table()
+        classes, parsed = class_table(), {}
         for batch in batches:
             out = []
-            for text in texts(batch.column(len(kept))):
+            whole, langs, found = batch.columns[len(kept) :]
+            for text, lang, reference in zip(texts(whole), langs.to_pylist(), found, strict=True):
+                if lang not in parsed:
+                    if len(parsed) >= KEPT_REFERENCES:
+                        parsed.clear()
+                    parsed[lang] = Reference.parse(reference.as_py()) if reference.is_valid else None
                 words = text.encode("utf-8", "surrogatepass").split()
                 base = base_rules(text, words)
-                chars, common = divergences(text, words, classes, known)
+                chars, common = divergences(text, words, classes, parsed[lang])
                 slack = rules.slack / max(1, len(words)) ** 0.5
                 far = len(words) >= rules.char_words and chars > rules.char_distance + slack
                 far = far or len(words) >= rules.word_words and common > rules.word_distance + slack
@@ -206,7 +222,7 @@ def apply_rules(docs: DataFrame, known: References, rules: Rules, text_col: str
 def judge(docs: DataFrame, rules: Rules | None = None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``apply_rules`` with references learned from ``docs`` itself."""
     rules = rules or Rules()
-    return apply_rules(docs, references(docs, rules, text_col, lang_col), rules, text_col)
+    return apply_rules(docs, references(docs, rules, text_col, lang_col), rules, text_col, lang_col)
 
 
 @query("op4_quality_rules")
