@@ -1,4 +1,6 @@
-"""References of the divergence rules: every language."""
+"""References of the divergence rules: every language, every distinct text."""
+
+import json
 
 from texts import prose
 
@@ -20,3 +22,13 @@ def test_rare_languages_are_not_measured_against_others(spark):
     docs = spark.createDataFrame(main + rare + few + noise, DOCS).repartition(8)
     kept = {r["doc_id"]: r["kept"] for r in R.judge(docs).collect()}
     assert all(kept[k] for k, *_ in rare + few) and not any(kept[k] for k, *_ in noise)
+
+
+def test_every_distinct_text_counts(spark):
+    footer = " a aa aaa"  # shared by all, whichever shingle hash is smallest
+    rows = [(k, f"w{k} " + prose(1, 300) + footer, "en") for k in range(30)]
+    rows += [(100, rows[0][1], "en"), (101, rows[0][1], "fr"), (102, None, None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r["lang"]: json.loads(r["reference"]) for r in R.references(docs, R.Rules(language_words=1)).collect()}
+    assert {k: v["total"] for k, v in got.items()} == {"en": 30 * 304, "fr": 304}
+    assert dict(zip(got["en"]["words"], got["en"]["word_counts"], strict=True))["aaa"] == 30

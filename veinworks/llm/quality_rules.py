@@ -1,8 +1,9 @@
 """Quality rules: divergence of a document from what its corpus writes.
 
 References are learned from the corpus: per language, a histogram of character
-classes and one of common words, over documents that pass the base rules. Of
-documents that share their smallest 3-word shingle hash one counts. A document fails when its histograms lie too far, by
+classes and one of common words, over documents that pass the base rules. Every
+distinct text counts, however often it occurs, so a crowd of exact copies does
+not become the language. A document fails when its histograms lie too far, by
 Jensen-Shannon distance, from the reference of its language. Short documents are
 left to the base rules, because their histograms say little, and so are
 documents of a language with too few words for a reference.
@@ -105,7 +106,7 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 def references(docs: DataFrame, rules: Rules, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, reference): of each language with enough words, learned from all documents
-    that pass the base rules and hold few symbols.
+    that pass the base rules and hold few symbols; of equal texts one counts.
 
     A null language is a language of its own, named "". ``reference`` is JSON of at
     most 1 / ``common_share`` words; the table stays with Spark.
@@ -116,18 +117,17 @@ def references(docs: DataFrame, rules: Rules, text_col: str = "text", lang_col:
         for batch in batches:
             out = []
             for lang, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
-                words = text.encode("utf-8", "surrogatepass").split()
+                whole = text.encode("utf-8", "surrogatepass")
+                words = whole.split()
                 n, _, symbols, _, _, failed = base_rules(text, words)
                 if failed or symbols > rules.symbol_share * n:
                     continue
-                hashed = xxhash.xxh64_intdigest
-                least = min(hashed(b" ".join(words[i : i + 3])) for i in range(n - 2)) - (1 << 63)
                 tally = {w.decode("utf-8", "replace"): c for w, c in Counter(words).items()}
                 tally = json.dumps([class_counts(text, classes).tolist(), tally], ensure_ascii=False, separators=(",", ":"))
-                out.append((lang or "", least, zlib.compress(tally.encode("utf-8", "replace"), 1)))
+                out.append((lang or "", xxhash.xxh3_128_digest(whole), zlib.compress(tally.encode("utf-8", "replace"), 1)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else ([], [], []), (pa.string(), pa.int64(), pa.binary()), strict=True)],
-                ["lang", "least", "summary"],
+                [pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else ([], [], []), (pa.string(), pa.binary(), pa.binary()), strict=True)],
+                ["lang", "digest", "summary"],
             )
 
     def tallies(batches):
@@ -146,12 +146,13 @@ def references(docs: DataFrame, rules: Rules, text_col: str = "text", lang_col:
             )
 
     chosen = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    summed = map_arrow(chosen, summaries, "lang string, least long, summary binary")
-    one = summed.groupBy("least").agg(F.min(F.struct("lang", "summary")).alias("one")).select("one.*")
+    summed = map_arrow(chosen, summaries, "lang string, digest binary, summary binary")
+    one = summed.groupBy("lang", "digest").agg(F.min("summary").alias("summary")).select("lang", "summary")
     counted = map_arrow(one, tallies, "lang string, item string, is_class boolean, n long")
     counted = written(counted.groupBy("lang", "item", "is_class").agg(F.sum("n").alias("n")), "rule-counts")
     totals = counted.where("not is_class").groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= rules.language_words)
-    frequent = counted.join(totals, "lang").where(F.col("is_class") | (F.col("n") >= rules.common_share * F.col("total")))
+    # One row a language goes to all tasks, so words are not gathered by language before they are few.
+    frequent = counted.join(F.broadcast(totals), "lang").where(F.col("is_class") | (F.col("n") >= rules.common_share * F.col("total")))
     # Two sorted lists: words and their counts stay in step.
     pair = F.struct("item", "n")
     lists = frequent.groupBy("lang").agg(
