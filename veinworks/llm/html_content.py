@@ -3,9 +3,10 @@
 Parser events are turned, in one pass, into lines: the text between block tags,
 with the number of tags in it. Text-to-tag ratios are smoothed with a Gaussian
 over neighbouring lines and cut in two clusters; lines of the higher cluster
-mark the content. The region that holds them (the article where the page has
-one, else the innermost container of nearly all of them) gives the text, without
-the parts whose tag, role, class or id says that they are something else.
+mark the content. Parts whose tag, role, class or id says that they are something
+else are left out before. The region that holds the marked lines gives the text:
+sibling articles that together hold most of the marked text, else the innermost
+container of nearly all of it.
 """
 
 from __future__ import annotations
@@ -44,9 +45,15 @@ NAMES = frozenset(
 )
 PAGE_NAMES = frozenset("header topbar toolbar site".split())  # only outside an article
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+# Names of parts whose articles are not the article of the page.
+SECONDARY = frozenset(
+    "comment comments commentlist disqus respond replies discussion related recommended recommendations teaser teasers "
+    "promo promotion sponsored advertisement".split()
+)
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 SIGMA, REACH = 1.0, 3
+MOST = 0.5  # of the selected text that articles must hold to be the region
 SHARE = 0.98  # of the selected text that a container must hold to be entered
 
 
@@ -65,7 +72,7 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, int, bool, bool]] = []  # tag, container number or -1, aside, silent
+        self.open: list[tuple[str, int, int, bool]] = []  # tag, container number or -1, aside (2: also for articles in it), silent
         self.containers: list[str] = []
         self.text: list[str] = []
         self.tags = 0
@@ -75,7 +82,7 @@ class Lines(HTMLParser):
         if text:
             path = tuple(c for _, c, _, _ in self.open if c >= 0)
             heading = any(t in HEADINGS for t, *_ in self.open)
-            self.lines.append(Line(text, self.tags, path, any(a for _, _, a, _ in self.open), heading))
+            self.lines.append(Line(text, self.tags, path, any(a > 0 for _, _, a, _ in self.open), heading))
             self.tags = 0
         self.text = []
 
@@ -84,20 +91,24 @@ class Lines(HTMLParser):
             self._flush()
         del self.open[depth:]
 
-    def _is_aside(self, tag: str, attrs: dict[str, str]) -> bool:
+    def _is_aside(self, tag: str, attrs: dict[str, str]) -> int:
         if tag in ASIDE:
-            return True
+            return 2
         in_article = any(t in ("article", "main") for t, *_ in self.open)
         if tag == "header" and not in_article:
-            return True
+            return 1
+        names = [w.lower() for w in WORDS.findall(attrs.get("class", "") + " " + attrs.get("id", ""))]
+        if tag == "article" and names and names[0] in SECONDARY:
+            return 2
         if tag in ("html", "body", "article", "main"):
-            return False
+            return 0
+        if SECONDARY.intersection(names):
+            return 2
         if attrs.get("role", "").lower() in ROLES or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
-            return True
+            return 1
         if UNSEEN.search(attrs.get("style", "")):
-            return True
-        words = {w.lower() for w in WORDS.findall(attrs.get("class", "") + " " + attrs.get("id", ""))}
-        return bool(words & NAMES) or not in_article and bool(words & PAGE_NAMES)
+            return 1
+        return int(not NAMES.isdisjoint(names) or not in_article and not PAGE_NAMES.isdisjoint(names))
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:  # the tag counts for the line that it starts
@@ -111,8 +122,9 @@ class Lines(HTMLParser):
             self._imply_end(CLOSED_BY[tag])
         found = {k: v or "" for k, v in attrs}
         number = -1
-        if tag in ("article", "main"):  # a wrapper named after one of its parts is not that part
-            self.open = [(t, c, a and t in ASIDE, s) for t, c, a, s in self.open]
+        # A wrapper named after one of its parts is not that part; within an article it is.
+        if tag in ("article", "main") and not any(t == "article" for t, *_ in self.open):
+            self.open = [(t, c, a if a == 2 else 0, s) for t, c, a, s in self.open]
         if tag in CONTAINERS:
             number = len(self.containers)
             self.containers.append("main" if found.get("role") == "main" else tag)
@@ -176,16 +188,16 @@ def region(lines: list[Line], marked: np.ndarray, containers: list[str]) -> list
         for d, c in enumerate(x.path):
             held[c] = held.get(c, 0) + w
             depth[c] = d
-    for tag in ("article", "main"):
-        outer = [
-            c for c in held if containers[c] == tag
-            and not any(containers[p] == tag for x in lines if c in x.path for p in x.path[: x.path.index(c)])
-            and any(c in x.path and not x.aside for x in lines)
-        ]
-        if outer:
-            best = max(outer, key=lambda c: (held[c], -c))
-            return [x for x in lines if best in x.path and not x.aside]
     total, inside = weight.sum(), None
+    for tag in ("article", "main"):
+        siblings = {}  # outermost ones with marked text, by the container around them
+        for x in lines:
+            at = next((d for d, c in enumerate(x.path) if containers[c] == tag), None)
+            if at is not None and held[x.path[at]] > 0:
+                siblings.setdefault(x.path[:at], set()).add(x.path[at])
+        best = max(siblings.values(), key=lambda cs: sum(held[c] for c in cs), default=set())
+        if sum(held[c] for c in best) > MOST * total:
+            return [x for x in lines if not x.aside and not best.isdisjoint(x.path)]
     for c in sorted(held, key=depth.get):
         if held[c] >= SHARE * total and held[c] > 0:
             inside = c
@@ -206,7 +218,8 @@ def main_text(html: str) -> str:
     parser.finish()
     if not parser.lines:
         return ""
-    return "\n\n".join(x.text for x in region(parser.lines, selected(parser.lines), parser.containers))
+    lines = [x for x in parser.lines if not x.aside]
+    return "\n\n".join(x.text for x in region(lines, selected(lines), parser.containers)) if lines else ""
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
