@@ -4,7 +4,7 @@ from importlib import import_module
 
 MODULES = [
     "quality_classifier", "bpe", "html_content", "quality_rules", "token_store", "simhash", "lm_scoring",
-    "decontaminate", "secrets", "warc", "spelling", "phrases",
+    "decontaminate", "secrets", "warc", "spelling", "toxicity", "phrases",
 ]
 
 
