@@ -7,45 +7,51 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from veinworks.llm.base import table, written
 from veinworks.llm.bpe import default_tokenizer, digests, encode
 from veinworks.llm.decontaminate import drop_contaminated
-from veinworks.llm.near_copies import drop_near_copies
 from veinworks.llm.quality_classifier import fit, score_rows, stats, training_labels
 from veinworks.llm.secrets import mask
+from veinworks.llm.simhash import deduplicate
 
 LEAST_QUALITY = 0.3
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go; it learns from the labels of this input."""
-    model = fit(stats(docs), training_labels(table(spark, sf_dir, "labels")))
+    """Documents that the classifier rejects go; it learns from the labels of this input.
+
+    Null texts are scored as empty ones, rows with a null id teach nothing,
+    repeated rows are scored alike; no documents give no documents.
+    """
+    labels = training_labels(table(spark, sf_dir, "labels"))
+    model = fit(stats(docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")), labels)
     return score_rows(docs, model, "_quality").where(F.col("_quality") >= LEAST_QUALITY).drop("_quality")
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id.
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group stays, the one with the smallest id.
 
-    Near copies share five-word shingles with a Jaccard index of 0.8 or more.
+    Fingerprints of 3-word shingles link at 2 or fewer differing bits. Null
+    texts count as empty and form one group; rows with a null id stay.
     """
-    return drop_near_copies(docs)
+    return deduplicate(docs, words=3, max_bits=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
+    """Documents that hold a passage of the benchmark go; null texts hold none."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; documents stay."""
+    """Secrets are replaced by a mark; documents stay, null texts as they are."""
     masked = mask(docs, F.col("source"), F.concat_ws("/", "source", "lang"))
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of what is left and the text that they decode to, as digests."""
+    """Ids of what is left and the text that they decode to, as digests; a null text counts as empty."""
     return digests(encode(docs.select("doc_id", "text"), default_tokenizer("word_bpe_49k.json")))
 
 
 STAGES = [
-    ("quality", quality), ("near_copies", near_copies), ("decontamination", decontamination), ("secrets", secrets),
+    ("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("secrets", secrets),
     ("tokens", tokens),
 ]
 
