@@ -11,6 +11,8 @@ from veinworks.operators import neighbors as NB
 from veinworks.operators import ranking as RK
 from veinworks.operators import silhouette as SI
 from veinworks.operators.columns import attach_labels, drop_noise, fill_missing
+from veinworks.operators.linkage import linkage_labels
+from veinworks.operators.lloyd import fit_many, with_nearest
 from veinworks.operators.quantiles import medians
 from veinworks.operators.sampling import oversample, split_rows
 from veinworks.operators.scaling import standardise, winsorise
@@ -451,6 +453,77 @@ def _(spark, sf):
     return facts(spark, **seen.asDict(), cheapest=cost <= K.fit_kmeans(v, DIMS, 10, starts=1)[1] + 1e-6)
 
 
+_BALANCES = "x AS (SELECT c_custkey AS id, c_acctbal AS v FROM customer WHERE c_acctbal IS NOT NULL)"
+
+
+@query(
+    "kmeans_one_column",
+    f"""WITH {_BALANCES}, s AS (SELECT row_number() OVER (ORDER BY v, id) AS i, SUM(v) OVER o AS s, SUM(v * v) OVER o AS q, COUNT(*) OVER () AS n FROM x
+      WINDOW o AS (ORDER BY v, id ROWS UNBOUNDED PRECEDING)),
+    t AS (SELECT n, s AS total, q AS squares FROM s WHERE i = n), c AS (SELECT i, s FROM s WHERE i < n),
+    two AS (SELECT squares - s * s / i - (total - s) ** 2 / (n - i) AS cost, i AS n1, n - i AS n2, 0 AS n3 FROM c, t),
+    three AS (SELECT squares - a.s * a.s / a.i - (b.s - a.s) ** 2 / (b.i - a.i) - (total - b.s) ** 2 / (n - b.i) AS cost,
+      a.i AS n1, b.i - a.i AS n2, n - b.i AS n3 FROM c a JOIN c b ON a.i < b.i, t)
+    SELECT * FROM (SELECT 2 AS k, round(cost / 1e6, 3) AS cost, n1, n2, n3 FROM two ORDER BY two.cost LIMIT 1)
+    UNION ALL SELECT * FROM (SELECT 3 AS k, round(cost / 1e6, 3) AS cost, n1, n2, n3 FROM three ORDER BY three.cost LIMIT 1)""",
+)
+def _(spark, sf):
+    """Cost and sizes of the best clusters of one column, where the optimum can be found from split points."""
+    rows = table(spark, sf, "customer").where("c_acctbal is not null").select(F.col("c_custkey").alias("row_id"), F.col("c_acctbal").alias("v"))
+    fitted = fit_many(rows, ["v"], {2: 10, 3: 10}, tolerance=0.0)
+    ordered = {k: m.points[m.points[:, 0].argsort()] for k, m in fitted.items()}
+    labels = with_nearest(rows, ["v"], {f"k{k}": c for k, c in ordered.items()})
+    parts = []
+    for k, c in ordered.items():
+        near = labels.join(F.broadcast(spark.createDataFrame([(i, float(x[0])) for i, x in enumerate(c)], "c long, m double")), F.col(f"k{k}") == F.col("c"))
+        sizes = [F.count_if(F.col("c") == i).alias(f"n{i + 1}") for i in range(3)]
+        parts.append(near.agg(F.round(F.sum((F.col("v") - F.col("m")) ** 2) / 1e6, 3).alias("cost"), *sizes).withColumn("k", F.lit(k)))
+    return parts[0].unionByName(parts[1]).select("k", "cost", "n1", "n2", "n3")
+
+
+_LINKED = {
+    "single": ("sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2)", "MIN(d)"),
+    "complete": ("sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2)", "MAX(d)"),
+    "average": ("sqrt((p.x - q.x) ** 2 + (p.y - q.y) ** 2)", "SUM(wm * d) / SUM(wm)"),
+    "ward": ("((p.x - q.x) ** 2 + (p.y - q.y) ** 2) / 2", "(SUM((wm + wo) * d) - ANY_VALUE(wo) * ANY_VALUE(m.d)) / (SUM(wm) + ANY_VALUE(wo))"),
+}
+_CUTS = (2, 4, 7)
+
+
+def _linkage_sql(linkage: str) -> str:
+    """Merge the nearest pair step by step; the distances of a merged pair follow from its parts."""
+    first, joined = _LINKED[linkage]
+    cuts = ", ".join(f"(SELECT COUNT(*) - {k} FROM v) AS s{k}" for k in _CUTS)
+    walks = "".join(
+        f", w{k}(id, node) AS (SELECT id, id FROM v UNION ALL SELECT w{k}.id, m.a FROM w{k} JOIN merged m ON m.b = w{k}.node, cutoff WHERE m.step < cutoff.s{k}), "
+        f"l{k} AS (SELECT id, MIN(node) AS root FROM w{k} GROUP BY id)" for k in _CUTS
+    )
+    labels = ", ".join(f"dense_rank() OVER (ORDER BY l{k}.root) - 1 AS k{k}" for k in _CUTS)
+    joins = " ".join(f"JOIN l{k} USING (id)" for k in _CUTS)
+    return f"""WITH RECURSIVE v AS (SELECT s_suppkey AS id, s_acctbal / 1000 AS x, s_nationkey / 5.0 AS y FROM supplier),
+    p(step, a, b, d, wa, wb) AS (SELECT 0, p.id, q.id, {first}, 1.0::DOUBLE, 1.0::DOUBLE FROM v p JOIN v q ON p.id < q.id
+      UNION ALL
+      SELECT step, na, nb, CASE WHEN COUNT(*) = 1 THEN ANY_VALUE(d) ELSE {joined} END, MAX(ua), MAX(ub) FROM (
+        SELECT step + 1 AS step, m, d, least(ea, eb) AS na, greatest(ea, eb) AS nb, CASE WHEN ea < eb THEN va ELSE vb END AS ua, CASE WHEN ea < eb THEN vb ELSE va END AS ub,
+          CASE WHEN ea = m.a THEN wa ELSE wb END AS wm, CASE WHEN ea = m.a THEN wb ELSE wa END AS wo FROM (
+          SELECT *, CASE WHEN a = m.b THEN m.a ELSE a END AS ea, CASE WHEN b = m.b THEN m.a ELSE b END AS eb,
+            CASE WHEN a IN (m.a, m.b) THEN m.wa + m.wb ELSE wa END AS va, CASE WHEN b IN (m.a, m.b) THEN m.wa + m.wb ELSE wb END AS vb FROM (
+            SELECT *, first_value({{'a': a, 'b': b, 'd': d, 'wa': wa, 'wb': wb}}) OVER (ORDER BY d, a, b) AS m FROM p) WHERE NOT (a = m.a AND b = m.b)))
+      GROUP BY step, na, nb),
+    merged AS (SELECT step, arg_min(a, d) AS a, arg_min(b, d) AS b FROM p GROUP BY step), cutoff AS (SELECT {cuts}){walks}
+    SELECT id AS row_id, {labels} FROM v {joins}"""
+
+
+for _linkage in _LINKED:
+
+    @query(f"hierarchical_{_linkage}", _linkage_sql(_linkage))
+    def _(spark, sf, linkage=_linkage):
+        rows = table(spark, sf, "supplier").select(
+            F.col("s_suppkey").alias("row_id"), (F.col("s_acctbal") / 1000).alias("x"), (F.col("s_nationkey") / 5).alias("y")
+        )
+        return linkage_labels(rows, ["x", "y"], _CUTS, linkage)
+
+
 @query("kmeans_sweep", _sweep_facts_sql("9", _CUSTOMERS))
 def _(spark, sf):
     found = K.kmeans_sweep(prepared_customers(spark, sf), SEGMENT_COLS)

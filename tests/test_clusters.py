@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from veinworks.operators import clustering as K
 from veinworks.operators import density as D
 from veinworks.operators import graph as G
+from veinworks.operators import linkage as LK
+from veinworks.operators import lloyd as LL
 from veinworks.operators import neighbors as NB
 from veinworks.operators import ranking as RK
 from veinworks.operators import silhouette as SI
@@ -185,15 +187,78 @@ def test_one_cluster_has_no_scores(spark):
     assert SI.calinski_harabasz(df, cols) is None and SI.davies_bouldin(df, cols) is None
 
 
+def plain_linkage(points, k, linkage):
+    """Merge the two nearest groups, distances from their members, until k are left."""
+    groups = [[i] for i in range(len(points))]
+    x = np.array(points, float)
+
+    def away(a, b):
+        d = np.sqrt(((x[a][:, None] - x[b][None]) ** 2).sum(2))
+        if linkage == "ward":
+            return len(a) * len(b) / (len(a) + len(b)) * ((x[a].mean(0) - x[b].mean(0)) ** 2).sum()
+        return {"single": d.min, "complete": d.max, "average": d.mean}[linkage]()
+
+    while len(groups) > k:
+        a, b = min(itertools.combinations(range(len(groups)), 2), key=lambda p: away(groups[p[0]], groups[p[1]]))
+        groups[a] += groups.pop(b)
+    return {frozenset(g) for g in groups}
+
+
+def grouped(df, column):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r[column], set()).add(r["row_id"])
+    assert sorted(out, key=lambda c: min(out[c])) == list(range(len(out)))  # numbered by smallest row id
+    return {frozenset(g) for g in out.values()}
+
+
+@pytest.mark.parametrize("linkage", LK.LINKAGES)
+def test_linkages_equal_their_definition(spark, linkage):
+    points = blobs(40, 2, 3, 21, 0.8)
+    points += points[:5] * 2  # copies
+    df, cols = frame(spark, points)
+    found = LK.linkage_labels(df, cols, [2, 3, 5, 9], linkage)
+    for k in (2, 3, 5, 9):
+        assert grouped(found, f"k{k}") == plain_linkage(points, k, linkage)
+    with pytest.raises(ValueError):
+        LK.merges(np.zeros((2, 1)), np.ones(2), "median")
+
+
+@pytest.mark.parametrize("linkage", ["ward", "complete", "average"])
+def test_micro_clusters_stand_for_their_rows(spark, linkage):
+    df, cols = frame(spark, blobs(400, 3, 4, 22, 0.2))
+    found = LK.linkage_labels(df, cols, [4], linkage, micro=30)
+    assert grouped(found, "k4") == {frozenset(range(i, 400, 4)) for i in range(4)}
+
+
+def test_lloyd_equals_one_fit_at_a_time(spark):
+    points = blobs(90, 2, 3, 23, 0.6)
+    df, cols = frame(spark, points)
+    x = np.array(points)
+    many = LL.fit_many(df, cols, {2: 3, 3: 3, 5: 4}, tolerance=0.0)
+    for k, found in many.items():
+        d = ((x[:, None] - found.points[None]) ** 2).sum(2)
+        assert len(found.points) == k and found.cost == pytest.approx(d.min(1).sum())
+        for c in range(k):  # a fixed point: every centre is the mean of its rows
+            assert np.allclose(x[d.argmin(1) == c].mean(0), found.points[c])
+        assert found.cost <= LL.fit_many(df, cols, {k: 1}, tolerance=0.0)[k].cost + 1e-9
+    same, cols = frame(spark, [(1.0, 2.0)] * 5)
+    assert LL.fit_many(same, cols, {3: 2})[3].points.tolist() == [[1.0, 2.0]]
+    gaps = spark.createDataFrame([(0, 1.0), (1, None)], "row_id long, x double")
+    near = {r["row_id"]: r["p"] for r in LL.with_nearest(gaps, ["x"], {"p": np.array([[0.0], [1.0]])}).collect()}
+    assert near == {0: 1, 1: None}
+
+
 def test_hierarchy_finds_clear_groups_and_nests(spark):
     df, cols = frame(spark, blobs(120, 2, 2, 12, 0.1))
-    halves = {r["row_id"]: r["prediction"] for r in K.hierarchical_labels(df, cols, 2).collect()}
-    assert len({(k % 2, p) for k, p in halves.items()}) == 2 == len(set(halves.values()))
-    leaves = {r["row_id"]: r["prediction"] for r in K.hierarchical_labels(df, cols, 4).collect()}
+    for linkage in ("ward", "halving"):
+        halves = {r["row_id"]: r["prediction"] for r in K.hierarchical_labels(df, cols, 2, linkage=linkage).collect()}
+        assert len({(k % 2, p) for k, p in halves.items()}) == 2 == len(set(halves.values()))
+    leaves = {r["row_id"]: r["prediction"] for r in K.hierarchical_labels(df, cols, 4, linkage="halving").collect()}
     assert len(set(leaves.values())) == 4 == len({(p, halves[k]) for k, p in leaves.items()})
     # Rows around the origin, where a relative step has no length.
     centred, cols = frame(spark, [(float(x), float(y)) for x in (-1, 1) for y in (-1, 1)] * 5)
-    assert K.hierarchical_labels(centred, cols, 4).select("prediction").distinct().count() == 4
+    assert K.hierarchical_labels(centred, cols, 4, linkage="halving").select("prediction").distinct().count() == 4
     same, cols = frame(spark, [(1.0, 1.0)] * 6)
     assert K.hierarchical_labels(same, cols, 3).select("prediction").distinct().count() == 1
 

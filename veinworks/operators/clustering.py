@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.clustering import BisectingKMeans, BisectingKMeansModel, KMeans, KMeansModel
+import numpy as np
+from pyspark.ml.clustering import BisectingKMeans, BisectingKMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window, functions as F
 
-from veinworks.functions.numeric import numeric_columns, squared_distance, string_columns
+from veinworks.functions.numeric import numeric_columns, string_columns
 from veinworks.operators.columns import fill_missing, segmentation_columns, wide_to_long
 from veinworks.operators.components import project
 from veinworks.operators.density import dbscan_eps_sweep, dbscan_grid
 from veinworks.operators.encoding import one_hot
+from veinworks.operators.linkage import MICRO, linkage_labels
+from veinworks.operators.lloyd import Centers, fit_many, labels_of, with_nearest
 from veinworks.operators.neighbors import neighbor_distance_range
 from veinworks.operators.quantiles import box_statistics, exact_quantiles, medians
 from veinworks.operators.ranking import best_row, elbow
@@ -38,59 +41,23 @@ def with_vectors(df: DataFrame, cols: Sequence[str], output: str = "features") -
     return VectorAssembler(inputCols=list(cols), outputCol=output).transform(doubles)
 
 
-def fit_kmeans_many(
-    df: DataFrame, cols: Sequence[str], starts: dict[int, int], seed: int = SEED, max_iter: int = 300,
-    init: str = "k-means||",
-) -> dict[int, tuple[KMeansModel, float]]:
-    """Per k the cheapest of several seeded starts, with its cost.
-
-    All fits read the same cached vectors and run side by side.
-    """
-    vectors = with_vectors(df, cols).select("features").persist()
-    try:
-        def run(task: tuple[int, int]):
-            k, i = task
-            model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-4, initMode=init).fit(vectors)
-            return k, model, float(model.summary.trainingCost)
-
-        vectors.count()
-        tasks = [(k, i) for k, n in starts.items() for i in range(n)]
-        with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
-            runs = list(pool.map(run, tasks))
-    finally:
-        vectors.unpersist()
-    return {k: min(((m, c) for kk, m, c in runs if kk == k), key=lambda pair: pair[1]) for k in starts}
-
-
 def fit_kmeans(
     df: DataFrame, cols: Sequence[str], k: int, seed: int = SEED, starts: int = STARTS, max_iter: int = 300
-) -> tuple[KMeansModel, float]:
-    return fit_kmeans_many(df, cols, {k: starts}, seed, max_iter)[k]
+) -> tuple[Centers, float]:
+    """The cheapest of several seeded starts, with its cost."""
+    found = fit_many(df, cols, {k: starts}, seed, max_iter)[k]
+    return found, found.cost
 
 
-def assign_kmeans(df: DataFrame, cols: Sequence[str], model: KMeansModel, row_id: str = "row_id") -> DataFrame:
-    scored = model.transform(with_vectors(df, cols))
-    return scored.select(row_id, F.col("prediction").cast("long").alias("prediction"))
+def assign_kmeans(df: DataFrame, cols: Sequence[str], model: Centers, row_id: str = "row_id") -> DataFrame:
+    rows = df.select(row_id, *[F.col(f"`{c}`") for c in cols])
+    return with_nearest(rows, cols, {"prediction": model.points}).select(row_id, "prediction")
 
 
 def nearest_center(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]]) -> DataFrame:
-    """Each row with its nearest given centre (``prediction``) and the squared distance.
-
-    The few centres are literals, so this is one projection without a join.
-    """
-    here = [F.col(f"`{c}`").cast("double") for c in cols]
-    options = F.array(
-        *[
-            F.struct(
-                squared_distance(here, [F.lit(float(x)) for x in center]).alias("distance"), F.lit(i).alias("prediction")
-            )
-            for i, center in enumerate(centers)
-        ]
-    )
-    best = F.array_min(options)
-    return df.select("*", best.alias("_best")).select(
-        "*", F.col("_best.prediction").alias("prediction"), F.col("_best.distance").alias("squared_distance")
-    ).drop("_best")
+    """Each row with its nearest given centre (``prediction``) and the squared distance, without a join."""
+    found = with_nearest(df, cols, {"prediction": np.array(centers, float)}, "squared_distance")
+    return found.withColumn("prediction", F.col("prediction").cast("int"))
 
 
 def cluster_counts_to_try(k_range: tuple[int, int], n_rows: int) -> list[int]:
@@ -107,12 +74,9 @@ def kmeans_sweep(
     ks = cluster_counts_to_try(k_range, df.count()) if limit_k else list(range(k_range[0], k_range[1] + 1))
     if not ks:
         raise ValueError("too few rows for two clusters")
-    fitted = fit_kmeans_many(df, cols, {k: starts for k in ks})
-    scored = with_vectors(df, cols)
-    for k in ks:
-        scored = fitted[k][0].setPredictionCol(f"k{k}").transform(scored)
-    labels = durable(scored.select(row_id, *[F.col(f"k{k}").cast("long") for k in ks]))
-    return _choose(df, cols, row_id, "kmeans", ks, labels, {k: fitted[k][0] for k in ks}, {k: fitted[k][1] for k in ks})
+    fitted = fit_many(df, cols, {k: starts for k in ks}, SEED)
+    labels = labels_of(df, cols, {f"k{k}": fitted[k].points for k in ks}, row_id)
+    return _choose(df, cols, row_id, "kmeans", ks, labels, fitted, {k: fitted[k].cost for k in ks})
 
 
 def _choose(df, cols, row_id, method, ks, labels, models, costs):
@@ -125,8 +89,7 @@ def _choose(df, cols, row_id, method, ks, labels, models, costs):
     if scored:
         best = max(scored, key=lambda r: (r[2], -r[1]))[1]
     else:
-        inertias = from_rows(df.sparkSession, [(k, c) for k, c in costs.items()], "k int, inertia double")
-        found = elbow(inertias).first()
+        found = elbow(from_rows(df.sparkSession, list(costs.items()), "k int, inertia double")).first() if costs else None
         best = found["k"] if found else ks[0]
     return {
         "sweep": sweep,
@@ -155,30 +118,42 @@ def _positive(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(f"`{c}`").cast("double") + F.lit(1.0 - (low[i] or 0.0)) for i, c in enumerate(cols)})
 
 
-def hierarchical_labels(df: DataFrame, cols: Sequence[str], k: int, row_id: str = "row_id", seed: int = SEED) -> DataFrame:
-    """(row_id, prediction) of up to k groups, by halving the group of largest cost again and again.
+def halving_labels(df: DataFrame, cols: Sequence[str], ks: Sequence[int], row_id: str = "row_id", seed: int = SEED) -> DataFrame:
+    """(row_id, k2, k3, ...) of up to k groups, by halving the group of largest cost again and again.
 
-    The same at every size: each halving is a pass over the rows, and nothing
-    but centres comes to the driver. Rows that are all equal stay together, so
-    there may be fewer than k groups.
+    Each halving is a pass over the rows. Rows that are all equal stay
+    together, so there may be fewer than k groups.
     """
-    return assign_kmeans(_positive(df, cols), cols, fit_bisecting(df, cols, [k], seed)[k], row_id)
+    models, scored = fit_bisecting(df, cols, ks, seed), with_vectors(_positive(df, cols), cols)
+    for k in ks:
+        scored = models[k].setPredictionCol(f"k{k}").transform(scored)
+    return durable(scored.select(row_id, *[F.col(f"k{k}").cast("long") for k in ks]))
+
+
+def hierarchical_labels(
+    df: DataFrame, cols: Sequence[str], k: int, row_id: str = "row_id", seed: int = SEED, linkage: str = "ward", micro: int = MICRO
+) -> DataFrame:
+    """(row_id, prediction) of up to k groups: bottom-up by ``linkage``, or top-down with ``linkage="halving"``."""
+    found = _hierarchy(df, cols, [k], row_id, seed, linkage, micro)
+    return found.select(row_id, F.col(f"k{k}").alias("prediction"))
+
+
+def _hierarchy(df, cols, ks, row_id, seed, linkage, micro) -> DataFrame:
+    if linkage == "halving":
+        return halving_labels(df, cols, ks, row_id, seed)
+    return linkage_labels(df, cols, ks, linkage, row_id, micro, seed)
 
 
 def hierarchical_sweep(
     df: DataFrame, cols: Sequence[str], k_range: tuple[int, int] = (2, 10), row_id: str = "row_id", limit_k: bool = True,
+    linkage: str = "ward", micro: int = MICRO,
 ) -> dict:
-    """Hierarchies cut at every k; chosen by silhouette."""
+    """One hierarchy cut at every k; chosen by silhouette."""
     ks = cluster_counts_to_try(k_range, df.count()) if limit_k else list(range(k_range[0], k_range[1] + 1))
     if not ks:
         raise ValueError("too few rows for two clusters")
-    models = fit_bisecting(df, cols, ks)
-    scored = with_vectors(_positive(df, cols), cols)
-    for k in ks:
-        scored = models[k].setPredictionCol(f"k{k}").transform(scored)
-    labels = durable(scored.select(row_id, *[F.col(f"k{k}").cast("long") for k in ks]))
-    costs = {k: float(models[k].summary.trainingCost) for k in ks}
-    return _choose(df, cols, row_id, "hierarchical", ks, labels, models, costs)
+    labels = _hierarchy(df, cols, ks, row_id, SEED, linkage, micro)
+    return _choose(df, cols, row_id, "hierarchical", ks, labels, {}, {})
 
 
 def run_clustering(
