@@ -26,8 +26,9 @@ from veinworks.llm.base import crc_fold, map_arrow, query, table, texts, written
 
 DECAY, SHARPNESS, LEAST_MATCH = 0.6, 3, 0.45
 TRAIN_DOCS = 20_000  # bound of the labelled sample, by hash of the id
-LANDMARKS, CANDIDATES, LEAST_DOCS, LEAST_LIFT, ALIKE = 32, 600, 5, 6.0, 0.7
+LANDMARKS, CANDIDATES, LEAST_DOCS, LEAST_LIFT, ALIKE = 24, 600, 5, 6.0, 0.7
 ROUNDS = 2
+CHUNK = 2048  # words in turn
 TOKENS = 200_000  # of which a task remembers the matches
 AROUND = ".,;:!?\"'()[]{}<>*_-"
 ENDS = ".!?"
@@ -83,54 +84,69 @@ class Kernel:
         self.own = np.maximum(np.diag(self.sums(landmarks)), 1e-9)
 
     def sums(self, words: list[str]) -> np.ndarray:
-        """The kernel of words (rows) and landmarks, word positions in turn for all words at once."""
-        codes = np.zeros((len(words), max(map(len, words))), np.int32)
+        """The kernel of words (rows) and landmarks, character by character for all words at once.
+
+        Words that start alike share their state, as do those that differ only
+        in characters that no landmark holds.
+        """
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        codes = np.zeros((len(words), lengths.max(initial=0)), np.int32)
         for row, word in zip(codes, words, strict=True):
             row[: len(word)] = [self.codes.get(c, 0) for c in word]
-        one = np.zeros((len(words), len(self.landmarks), self.width), np.float32)  # first of the triple seen
+        result = np.zeros((len(words), len(self.landmarks)), np.float32)
+        one = np.zeros((1, len(self.landmarks), self.width), np.float32)  # first of the triple seen
         two, out = np.zeros_like(one), np.zeros(one.shape[:2], np.float32)
-        for column in codes.T:
-            same = self.same[column]
-            out += np.einsum("nmt,nmt->nm", same[:, :, 1:], two[:, :, :-1])
+        alive, state = np.flatnonzero(lengths), np.zeros(len(words), np.int64)
+        for at, column in enumerate(codes.T):
+            alive = alive[lengths[alive] > at]
+            states, own = np.unique(state[alive] * len(self.same) + column[alive], return_inverse=True)
+            before, char = np.divmod(states, len(self.same))
+            same, one, two = self.same[char], one[before], two[before]
+            out = out[before] + np.einsum("nmt,nmt->nm", same[:, :, 1:], two[:, :, :-1])
             second = same[:, :, 1:] * one[:, :, :-1]
             two *= self.decay
             two[:, :, 1:] += second @ self.spread[1:, 1:]
             one *= self.decay
-            one += self.first[column]
-        return out
+            one += self.first[char]
+            state[alive] = own
+            ended = lengths[alive] == at + 1
+            result[alive[ended]] = out[own[ended]]
+        return result
 
     def __call__(self, words: list[str]) -> np.ndarray:
+        """Matches of words; sorted chunks share most of their starts."""
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
-        order = sorted(range(len(words)), key=lambda k: len(words[k]))
-        start = 0
-        while start < len(order):
-            end, limit = start + 1, 1.5 * len(words[order[start]]) + 4
-            while end < min(len(order), start + 512) and len(words[order[end]]) <= limit:
-                end += 1
-            out[order[start:end]] = self.sums([words[k] for k in order[start:end]])
-            start = end
+        order = sorted(range(len(words)), key=words.__getitem__)
+        for start in range(0, len(order), CHUNK):
+            rows = order[start : start + CHUNK]
+            out[rows] = self.sums([words[k] for k in rows])
         return np.minimum(out / self.own, 1) ** SHARPNESS
 
 
 class Matches:
-    """What a task remembers: the matches of tokens that have any."""
+    """What a task remembers: tokens seen, the words they spell, and the matches of tokens that have any."""
 
     def __init__(self, kernel: Kernel):
-        self.kernel, self.seen, self.hot = kernel, set(), {}
+        self.kernel, self.seen, self.words, self.hot = kernel, set(), {}, {}
 
     def learn(self, found: set[str]) -> None:
-        new = sorted(found - self.seen)
+        new = found - self.seen
+        if not new:
+            return
         if len(self.seen) + len(new) > TOKENS:
-            self.seen, self.hot, new = set(), {}, sorted(found)
+            self.seen, self.words, self.hot, new = set(), {}, {}, found
         self.seen.update(new)
-        words = [(t, w) for t in new for w in spellings(t)]
-        if not words:
-            return
-        rows = self.kernel([w for _, w in words])
-        rows[rows < LEAST_MATCH**SHARPNESS] = 0
-        for k in np.flatnonzero(rows.any(1)):
-            token = words[k][0]
-            self.hot[token] = np.maximum(self.hot[token], rows[k]) if token in self.hot else rows[k]
+        spelled = {t: spellings(t) for t in new}
+        words = [w for w in dict.fromkeys(w for own in spelled.values() for w in own) if w not in self.words]
+        if words:
+            rows = self.kernel(words)
+            rows[rows < LEAST_MATCH**SHARPNESS] = 0
+            self.words.update(dict.fromkeys(words))
+            self.words.update({words[k]: rows[k] for k in np.flatnonzero(rows.any(1))})
+        for token, own in spelled.items():
+            found = [m for w in own if (m := self.words[w]) is not None]
+            if found:
+                self.hot[token] = np.max(found, 0)
 
     def of(self, text: str, found: set[str]) -> np.ndarray:
         """Best matches of each sentence that has any, else one row of zeros."""
