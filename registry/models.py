@@ -388,26 +388,59 @@ def _(spark, sf):
 # ------------------------------------------------------------- whole runs
 
 
-@query("classification_run", facts_sql(sections=1, rows=1, models=5))
+_RUN = f"FROM documents JOIN labels USING (doc_id) WHERE {hash_sql('doc_id')} < 429496729"
+# Classes are coded in the order in which they first appear.
+_FIRST = "(SELECT arg_min(quality, doc_id) FROM documents JOIN labels USING (doc_id))"
+
+
+@query(
+    "classification_run",
+    facts_sql(
+        rows="SELECT COUNT(*) FROM documents JOIN labels USING (doc_id)", columns=6, tested=f"SELECT 5 * COUNT(*) {_RUN}",
+        positives=f"SELECT COUNT(*) {_RUN} AND quality <> {_FIRST}", negatives=f"SELECT COUNT(*) {_RUN} AND quality = {_FIRST}",
+        models=5, best_first=1, stated=1, recomputed=1,
+    ),
+)
 def _(spark, sf):
+    """The run's tables agree with the input and with each other: rows tested, classes, accuracy from the matrix."""
     d = table(spark, sf, "documents").select("doc_id", "n_chars", "lang", "source", F.length("text").alias("length"))
     d = d.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
-    s = Settings(
-        "classification", row_id="doc_id", label="quality", n_features=5,
-    )
-    tables = runs.run(d, s)["tables"]
-    summary = tables["summary"].collect()
+    found = runs.run(d, Settings("classification", row_id="doc_id", label="quality"))
+    board = found["tables"]["leaderboard"].collect()
+    summary = {(x["section"], x["key"]): x["value"] for x in found["tables"]["summary"].collect()}
+    scored = found["scored"].where(F.col("model") == found["best"].name)
+    seen = scored.agg(
+        F.count_if(F.col("label") == 1).alias("positives"), F.count_if(F.col("label") == 0).alias("negatives"),
+        F.avg((F.col("label") == F.col("prediction")).cast("int")).alias("accuracy"),
+    ).first()
+    winner = next(x for x in board if x["Model"] == found["best"].name)
     return facts(
-        spark, sections=len({r_["section"] for r_ in summary}) > 1, rows=all(r_["value"] is not None for r_ in summary),
-        models=tables["leaderboard"].select("Model").distinct().count(),
+        spark, rows=summary["data", "rows"], columns=summary["data", "columns"], tested=found["scored"].count(), positives=seen["positives"],
+        negatives=seen["negatives"], models=len(board), best_first=winner[found["metric"]] == max(x[found["metric"]] for x in board),
+        stated=all(v is not None for v in summary.values()), recomputed=abs(winner["Accuracy"] - seen["accuracy"]) < 1e-9,
     )
 
 
-@query("clustering_run", facts_sql(sections=1, rows=1))
+@query(
+    "clustering_run",
+    facts_sql(
+        rows="SELECT COUNT(*) FROM customer", columns=16, labelled="SELECT COUNT(*) FROM customer", sizes="SELECT COUNT(*) FROM customer",
+        clusters_match=1, winner_is_best=1, stated=1, percentages=100,
+    ),
+)
 def _(spark, sf):
+    """The run's tables agree with the input and with each other: sizes, shares, the winner's score."""
     f = customer_features(spark, sf)
-    summary = runs.run(f, Settings("clustering", as_of=AS_OF, n_features=5))["tables"]["summary"].collect()
-    return facts(spark, sections=len({r_["section"] for r_ in summary}) > 1, rows=all(r_["value"] is not None for r_ in summary))
+    found = runs.run(f, Settings("clustering", as_of=AS_OF))
+    summary = {(x["section"], x["key"]): x["value"] for x in found["tables"]["summary"].collect()}
+    sizes = found["tables"]["sizes"].collect()
+    scores = {x["method"]: x["silhouette"] for x in found["scores"].collect()}
+    clusters = [x for x in sizes if x["prediction"] >= 0]
+    return facts(
+        spark, rows=summary["data", "rows"], columns=summary["data", "columns"], labelled=found["labelled"].count(), sizes=sum(x["count"] for x in sizes),
+        clusters_match=int(summary["clusters", "n_clusters"]) == len(clusters), winner_is_best=scores[found["method"]] == max(scores.values()),
+        stated=all(v is not None for v in summary.values()), percentages=round(sum(x["percentage"] for x in sizes), 6),
+    )
 
 
 @query("chained_steps", SEG + " SELECT COUNT(*) AS n_rows, 3::INTEGER AS n_columns FROM seg")

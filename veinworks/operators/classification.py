@@ -92,10 +92,9 @@ def fit_logistic(train, cols, label, row_id, C=1.0, max_iter=1000) -> Fitted:
 
 
 def fit_forest(train, cols, label, row_id, n_estimators=100, max_depth=None) -> Fitted:
-    model = RandomForestClassifier(
-        labelCol=label, numTrees=n_estimators, maxDepth=DEEPEST_TREE if max_depth is None else max_depth, seed=SEED
-    ).fit(with_vectors(train, cols))
-    params = {"n_estimators": n_estimators, "max_depth": max_depth}
+    depth = DEEPEST_TREE if max_depth is None else max_depth
+    model = RandomForestClassifier(labelCol=label, numTrees=n_estimators, maxDepth=depth, seed=SEED).fit(with_vectors(train, cols))
+    params = {"n_estimators": n_estimators, "max_depth": depth}
     return Fitted("Random Forest", params, {"model": model}, cols, row_id)
 
 
@@ -178,7 +177,7 @@ def fit_svm(train, cols, label, row_id, C=1.0, gamma=None) -> Fitted:
     finally:
         lifted.unpersist()
 
-    return Fitted("SVM", {"C": C, "gamma": gamma}, {"model": model, "sigmoid": sigmoid}, cols, row_id, width=width)
+    return Fitted("SVM", {"C": C, "gamma": width}, {"model": model, "sigmoid": sigmoid}, cols, row_id, width=width)
 
 
 def _margin():
