@@ -72,6 +72,25 @@ def _(spark, sf):
     )
 
 
+_RELATED = {
+    "nav li > a": "len(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<li><a '))",
+    "body nav ul a": "len(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<a '))",
+    "nav + div.ad": "len(regexp_extract_all(html, '</nav>(<!--.*?-->)?<div class=.ad.>', 0, 's'))",
+    "h1 + p": "len(regexp_extract_all(html, '</h1><p>'))",
+    "article > h1, div.ad ~ article": "len(regexp_extract_all(html, '<article>')) + len(regexp_extract_all(html, '<article><h1>'))",
+}
+
+
+@query(
+    "select_related_nodes",
+    "SELECT page_id, " + ", ".join(f"({sql})::INTEGER AS n{i}" for i, sql in enumerate(_RELATED.values())) + " FROM pages",
+)
+def _(spark, sf):
+    """Nodes that stand in a relation to others, as a user's field map may ask for them."""
+    parsed = X.parsed_pages(pages(spark, sf))
+    return parsed.select("page_id", *[F.size(H.select_nodes(F.col("nodes"), s)).alias(f"n{i}") for i, s in enumerate(_RELATED)])
+
+
 @query(
     "page_content",
     f"""WITH {PAGES_SQL} SELECT page_id, url, true AS success, {clean("regexp_extract(html, '<title>(.*?)</title>', 1, 's')")} AS title,
@@ -103,7 +122,7 @@ def _(spark, sf):
     {clean("regexp_extract(html, '<footer>(.*?)</footer>', 1, 's')")} AS footer FROM pages""",
 )
 def _(spark, sf):
-    c = X.read_content(pages(spark, sf), {"ad": "div.ad", "footer": "footer", "meta": "meta"})
+    c = X.read_content(pages(spark, sf), {"ad": "body > div.ad", "footer": "article + footer, footer", "meta": "head meta"})
     # The two entities of the footer are put back for the comparison.
     footer = F.replace(F.replace("footer", F.lit("©"), F.lit("&copy;")), F.lit("·"), F.lit("&middot;"))
     return c.select("page_id", F.col("meta").isNotNull().alias("has_meta"), "ad", footer.alias("footer"))

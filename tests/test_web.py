@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from veinworks.functions import text as T
 from veinworks.operators import extract as X
 from veinworks.operators import html as H
+from veinworks.session import durable
 from veinworks.operators import search as S
 
 LONG = "A paragraph that is clearly longer than forty characters."
@@ -102,6 +103,33 @@ def test_selectors(spark):
         H.matches(node, "div > p")
 
 
+def test_selectors_with_relations(spark):
+    page = (
+        '<div id="a"><p>0</p><ul class="x"><li><a href="1">1</a></li><li><b><a>2</a></b></li></ul><p class="k">3</p><i>4</i><p>5</p></div>'
+        '<p>6</p><ul><li>7<ul><li><a>8</a></li></ul></li></ul><h2>9</h2><p>10</p>'
+    )
+    df = spark.createDataFrame([(1, page), (2, "<p>x</p>"), (3, "")], "page_id long, html string")
+    parsed = durable(H.parse_pages(df, keep=("page_id",)))
+
+    def found(selector):
+        out = parsed.select("page_id", H.node_texts(F.col("text"), H.select_nodes(F.col("nodes"), selector)).alias("t")).orderBy("page_id")
+        rows = [r["t"] for r in out.collect()]
+        assert all(not t for t in rows[1:]) or selector in ("p", "* , p")
+        return rows[0]
+
+    assert found("ul li a") == ["1", "2", "8"] and found("li > a") == ["1", "8"] and found("div.x > p") == []
+    assert found("div > p") == ["0", "3", "5"] and found("#a>p.k") == ["3"] and found("h2 + p") == ["10"]
+    assert found("ul + p") == ["3"] and found("ul ~ p") == ["3", "5", "10"] and found("div ~ ul li li") == ["8"]
+    assert found("ul.x a[href], h2+p , i") == ["1", "4", "10"] and found("ul ul a") == ["8"] and found('[id="a"] b > a') == ["2"]
+    assert found("div p + ul > li b a") == ["2"]
+    first_list = H.first(H.select_nodes(F.col("nodes"), "ul"))
+    below = parsed.where("page_id = 1").select(H.node_texts(F.col("text"), H.descendants(F.col("nodes"), first_list, "div a")).alias("t"))
+    assert below.first()["t"] == ["1", "2"]
+    for wrong in ("> p", "p >", "a > > b", ",p", "p,,a", "", "p:first-child"):
+        with pytest.raises(ValueError):
+            H.select_nodes(F.col("nodes"), wrong)
+
+
 def test_nodes_know_their_subtree(spark):
     df = spark.createDataFrame([(1, "<ul><li>a<br>b</li><li/>c</ul></p><i>d")], "page_id long, html string")
     rows = H.node_table(H.parse_pages(df, keep=("page_id",))).orderBy("node").collect()

@@ -29,7 +29,7 @@ KEEP_SPACE_TAGS = frozenset("pre textarea".split())
 ASCII_SPACES = " \n\t\f\r"
 
 NODE_SCHEMA = (
-    "array<struct<node:int,parent:int,last:int,tag:string,attrs:map<string,string>,"
+    "array<struct<node:int,parent:int,previous:int,last:int,tag:string,attrs:map<string,string>,"
     "classes:array<string>,start:int,length:int,mark:string>>"
 )
 P_RULES = ("literal", "html5")
@@ -49,6 +49,7 @@ class _Nodes(HTMLParser):
         self.p_rule = p_rule
         self.nodes: list[dict] = []
         self.open: list[int] = []
+        self.newest: dict[int, int] = {}  # last child so far of each parent
         self.text: list[str] = []
         self.length = 0
         self.pending: list[str] = []
@@ -82,10 +83,13 @@ class _Nodes(HTMLParser):
         if tag == "p" and self.p_rule == "html5":
             self.handle_endtag("p")
         found = {k: v if v is not None else "" for k, v in attrs}
+        parent = self.open[-1] if self.open else -1
+        previous, self.newest[parent] = self.newest.get(parent, -1), len(self.nodes)
         self.nodes.append(
             {
                 "node": len(self.nodes),
-                "parent": self.open[-1] if self.open else -1,
+                "parent": parent,
+                "previous": previous,
                 "tag": tag,
                 "attrs": found,
                 "classes": found.get("class", "").split(),
@@ -220,9 +224,91 @@ def matches(node: Column, selector: str) -> Column:
     return any_of
 
 
+_COMPOUND = re.compile(r"(?:[^\s>+~,\[]|\[[^\]]*\])+")
+
+
+def selector_steps(selector: str) -> list[list[tuple[str, str]]]:
+    """Per part of a selector list the steps (relation to the step before, compound).
+
+    Relations are `` `` (descendant, also of the first step), ``>``, ``+`` and ``~``.
+    """
+    parts, steps, relation, end = [], [], " ", 0
+    for hit in _COMPOUND.finditer(selector):
+        between = selector[end : hit.start()]
+        marks = "".join(between.split())
+        if "," in marks:
+            parts.append(steps)
+            steps, marks = [], marks.replace(",", "", 1)
+        if len(marks) > 1 or (marks and (marks not in ">+~" or not steps)) or (parts and not parts[-1]):
+            raise ValueError(f"selector {selector!r} is not supported")
+        relation = marks or " "
+        steps.append((relation, hit.group()))
+        end = hit.end()
+    if selector[end:].strip() or not steps:
+        raise ValueError(f"selector {selector!r} is not supported")
+    return [*parts, steps]
+
+
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _flag(flags: Column, place: Column) -> Column:
+    return F.coalesce(F.get(flags, place), F.lit(False))
+
+
+def _flags_of(numbers: Column) -> Column:
+    """True at the given ascending places, false before and between them."""
+    before = F.slice(F.concat(F.array(F.lit(-1)), numbers), F.lit(1), F.size(numbers))
+    return F.flatten(F.zip_with(numbers, before, lambda n, b: F.concat(F.array_repeat(F.lit(False), n - b - 1), F.array(F.lit(True)))))
+
+
+def _related(nodes: Column, flags: Column, relation: str, compound: str) -> Column:
+    """Flags of the nodes that meet ``compound`` and are related to a flagged one.
+
+    Parents and previous siblings are looked up by number; descendants are the
+    numbers that the flagged nodes' intervals cover. Only ``~`` looks through
+    all flagged nodes for each candidate.
+    """
+    if relation == ">":
+        return F.transform(nodes, lambda n: matches(n, compound) & _flag(flags, n["parent"]))
+    if relation == "+":
+        return F.transform(nodes, lambda n: matches(n, compound) & _flag(flags, n["previous"]))
+    holders = F.filter(nodes, lambda n: _flag(flags, n["node"]))
+    if relation == "~":
+        return _bound(holders, lambda held: F.transform(
+            nodes, lambda n: matches(n, compound) & F.exists(held, lambda h: (h["parent"] == n["parent"]) & (h["node"] < n["node"]))
+        ))
+    none = F.array().cast("array<int>")
+    covered = F.flatten(F.transform(holders, lambda h: F.when(h["last"] > h["node"], F.sequence(h["node"] + 1, h["last"])).otherwise(none)))
+    candidates = F.transform(F.filter(nodes, lambda n: matches(n, compound)), lambda n: n["node"])
+    return _bound(F.array_intersect(candidates, covered), _flags_of)
+
+
+def _selected(nodes: Column, steps: list[tuple[str, str]]) -> Column:
+    """Flags of the nodes that the last of several steps reaches; the nodes are all those of a page."""
+    *before, (relation, compound) = steps
+    if not before:
+        return F.transform(nodes, lambda n: matches(n, compound))
+    return _bound(_selected(nodes, before), lambda flags: _related(nodes, flags, relation, compound))
+
+
 def select_nodes(nodes: Column, selector: str) -> Column:
-    """Matching nodes in document order."""
-    return F.filter(nodes, lambda n: matches(n, selector))
+    """Matching nodes of a page in document order.
+
+    A list of compounds (tags, classes, ids, attributes) with descendant (`` ``),
+    child (``>``), next (``+``) and later sibling (``~``) steps between them.
+    """
+    parts = selector_steps(selector)
+    plain = [steps[0][1] for steps in parts if len(steps) == 1]
+    related = [steps for steps in parts if len(steps) > 1]
+    if not related:
+        return F.filter(nodes, lambda n: matches(n, selector))
+    flags = F.array(*[_selected(nodes, steps) for steps in related])
+    return _bound(flags, lambda f: F.filter(
+        nodes, lambda n: F.exists(f, lambda one: _flag(one, n["node"])) | (matches(n, ", ".join(plain)) if plain else F.lit(False))
+    ))
 
 
 def inside(nodes: Column, outer: Column) -> Column:
@@ -231,7 +317,10 @@ def inside(nodes: Column, outer: Column) -> Column:
 
 
 def descendants(nodes: Column, outer: Column, selector: str) -> Column:
-    return select_nodes(inside(nodes, outer), selector)
+    """Matching nodes below one; steps before the last may lie outside of it."""
+    if all(len(steps) == 1 for steps in selector_steps(selector)):
+        return select_nodes(inside(nodes, outer), selector)
+    return F.filter(select_nodes(nodes, selector), lambda n: (n["node"] > outer["node"]) & (n["node"] <= outer["last"]))
 
 
 def first(nodes: Column) -> Column:
