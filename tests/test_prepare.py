@@ -4,6 +4,7 @@ import math
 import random
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,6 +109,36 @@ def test_correlation_with_gaps_constants_and_one_row(spark):
     assert all(v is None for v in R.correlations(df.limit(1), ["a", "b"]).values())
 
 
+def test_pairwise_correlations_of_many_columns_in_one_scan(spark):
+    width, rows = 1000, 40
+    draw = np.random.default_rng(4)
+    x = draw.normal(1e6, 1.0, size=(rows, width))
+    x[:, 7] = 5.0
+    x[draw.random((rows, width)) < 0.2] = np.nan
+    data = [(k, [None if np.isnan(v) else float(v) for v in r]) for k, r in enumerate(x)]
+    wide = spark.createDataFrame(data, "k int, v array<double>").repartition(3)
+    cols = [f"c{i}" for i in range(width)]
+    wide = wide.select(*[F.get("v", F.lit(i)).alias(c) for i, c in enumerate(cols)])
+    found = R.correlation_rows(wide, cols)
+    assert found.count() == width * (width + 1) // 2
+    for r in found.where("i % 250 = 7 and j % 90 = 12 or i = 7 and j < 9 or i = 11 and j = 11").collect():
+        both = ~np.isnan(x[:, r["i"]]) & ~np.isnan(x[:, r["j"]])
+        a, b = x[both, r["i"]], x[both, r["j"]]
+        assert r["n"] == both.sum()
+        assert r["correlation"] is None if 7 in (r["i"], r["j"]) else r["correlation"] == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-9)
+
+
+def test_merged_parts_equal_parts_of_all_rows():
+    draw = np.random.default_rng(5)
+    x = draw.normal(50, 3, size=(60, 4))
+    x[draw.random(x.shape) < 0.3] = np.nan
+    x[:20, 1] = np.nan
+    total = np.zeros((len(R.PARTS), 4, 4))
+    for part in np.split(x, [0, 20, 21, 45]):
+        total = R.merged(total, R.pair_sums(part))
+    assert np.allclose(total, R.pair_sums(x))
+
+
 def test_a_dropped_column_still_counts_against_later_ones(spark):
     rows = [(float(i), i + 0.1 * (i % 2), i + 0.2 * (i % 3)) for i in range(50)]
     df = spark.createDataFrame(rows, "a double, b double, c double")
