@@ -12,6 +12,8 @@ from __future__ import annotations
 import json
 import re
 import struct
+import sys
+import types
 from array import array
 from collections.abc import Iterator
 
@@ -32,7 +34,7 @@ SKIPPABLE, SEEKABLE, CHECKSUMS, FOOTER = 0x184D2A5E, 0x8F92EAB1, 0x80, 9
 FRAME_BYTES = 1 << 18
 LOT_CHARS = 24 << 20  # code points of the texts that are taken apart together
 PIECES_AT_ONCE = 1 << 19  # pieces of the texts that are put together at once
-KNOWN_PIECES = 600_000  # encoded pieces that a task remembers
+KNOWN_PIECES = 600_000  # encoded pieces that a worker process remembers
 # The split rule of byte-level tokenizers and its white space.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACES = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -130,6 +132,7 @@ class PieceEncoder:
         self.space = self.letters[32]
         self.simple = not json.loads(spec).get("normalizer")
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.of_word: dict[str, bytes] = {}
 
     def _library(self, text: str) -> bytes:
@@ -184,9 +187,17 @@ class PieceEncoder:
         coded = parts.flatten().dictionary_encode()
         del parts
         distinct = coded.dictionary.to_pylist()
-        if len(self.pieces) > KNOWN_PIECES:
-            self.pieces, self.of_word = {}, {}
-        self._learn([p for p in distinct if p not in self.pieces])
+        if len(self.pieces) > KNOWN_PIECES // 2:  # pieces not met again since the last turn go
+            self.older, self.pieces, self.of_word = self.pieces, {}, {}
+        fresh = []
+        for p in distinct:
+            if p not in self.pieces:
+                ids = self.older.get(p)
+                if ids is None:
+                    fresh.append(p)
+                else:
+                    self.pieces[p] = ids
+        self._learn(fresh)
         order = coded.indices.to_numpy()
         # A text starts with a piece of its own, without a space before it, and ends with the end id.
         firsts = [
@@ -211,6 +222,19 @@ class PieceEncoder:
             begin = end
 
 
+def encoder_of(spec: str) -> PieceEncoder:
+    """The encoder of this worker process: its next task starts with the pieces of the last.
+
+    Functions travel with their task and bring their own globals, so what is
+    kept between tasks lies in a module of the process.
+    """
+    kept = vars(sys.modules.setdefault("veinworks_worker", types.ModuleType("veinworks_worker")))
+    key = xxhash.xxh64_intdigest(spec)
+    if kept.get("encoder", (None, None))[0] != key:
+        kept["encoder"] = key, PieceEncoder(spec)
+    return kept["encoder"][1]
+
+
 def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
     """(ids, texts) of about ``LOT_CHARS`` code points, over several batches: the more texts, the more pieces they share."""
     keys, lot, chars = [], [], 0
@@ -235,9 +259,9 @@ def write_store(
     The index (doc_id, shard, file, start, n_tokens), kept as Parquet beside
     the shards, has one row per row of ``docs``; ``start`` counts ids within
     the shard. ``end_id`` follows every document. Null texts count as empty,
-    null ids come first, rows with the same id follow each other in order of
-    their texts. Other columns are ignored. ``shards`` defaults to the number
-    of shuffle partitions.
+    null ids come first, rows with the same id follow each other in order of a
+    hash of their texts, so they may fill several shards. Other columns are
+    ignored. ``shards`` defaults to the number of shuffle partitions.
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as file:
@@ -245,7 +269,7 @@ def write_store(
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]):
-        encoder, writer, at = PieceEncoder(spec.value), None, 0
+        encoder, writer, at = encoder_of(spec.value), None, 0
         names = ["doc_id", "shard", "file", "start", "n_tokens"]
         for keys, lot in _lots(batches):
             if writer is None:
@@ -268,7 +292,8 @@ def write_store(
     fs.create_dir(path, recursive=True)
     kind = docs.schema[id_col].dataType.simpleString()
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    placed = chosen.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    order = ("doc_id", F.xxhash64("text"))
+    placed = chosen.repartitionByRange(shards, *order).sortWithinPartitions(*order, "text")
     schema = f"doc_id {kind}, shard int, file string, start long, n_tokens long"
     map_arrow(placed, run, schema).write.parquet(f"{folder}/index")
     return spark.read.schema(schema).parquet(f"{folder}/index")
