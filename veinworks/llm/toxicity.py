@@ -25,8 +25,10 @@ from pyspark.sql import DataFrame, functions as F
 from veinworks.llm.base import crc_fold, map_arrow, query, table, texts, written
 
 DECAY, SHARPNESS, LEAST_MATCH = 0.6, 3, 0.45
-TRAIN_DOCS = 20_000  # bound of the labelled sample, by hash of the id
+TRAIN_DOCS = 12_000  # bound of the labelled sample, by hash of the id
 LANDMARKS, CANDIDATES, LEAST_DOCS, LEAST_LIFT, ALIKE = 24, 600, 5, 6.0, 0.7
+LEAST_SHARE = 0.25  # of the clearest candidate's lift
+LONGEST = 9  # characters of a landmark
 ROUNDS = 2
 CHUNK = 2048  # words in turn
 TOKENS = 200_000  # of which a task remembers the matches
@@ -43,6 +45,8 @@ def framed(word: str) -> str:
 def spellings(token: str) -> list[str]:
     """The word of a token, and its letters alone where something stands between them."""
     word = token.strip(AROUND)
+    if word.isalpha():
+        return [framed(word)]
     letters = "".join(filter(str.isalpha, word))
     return [framed(w) for w in dict.fromkeys((word, letters)) if w]
 
@@ -74,6 +78,9 @@ class Kernel:
     def __init__(self, landmarks: list[str], decay: float = DECAY):
         self.landmarks, self.decay, self.width = landmarks, decay, max(map(len, landmarks))
         self.codes = {c: k + 1 for k, c in enumerate(sorted(set("".join(landmarks))))}
+        self.of_point = np.zeros(max(map(ord, self.codes)) + 2, np.int32)  # the last one answers for all beyond
+        for c, k in self.codes.items():
+            self.of_point[ord(c)] = k
         self.same = np.zeros((len(self.codes) + 1, len(landmarks), self.width), np.float32)
         for k, landmark in enumerate(landmarks):
             for at, c in enumerate(landmark):
@@ -90,9 +97,10 @@ class Kernel:
         in characters that no landmark holds.
         """
         lengths = np.fromiter(map(len, words), np.int64, len(words))
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
         codes = np.zeros((len(words), lengths.max(initial=0)), np.int32)
-        for row, word in zip(codes, words, strict=True):
-            row[: len(word)] = [self.codes.get(c, 0) for c in word]
+        places = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        codes[np.repeat(np.arange(len(words)), lengths), places] = self.of_point[np.minimum(points, len(self.of_point) - 1)]
         result = np.zeros((len(words), len(self.landmarks)), np.float32)
         one = np.zeros((1, len(self.landmarks), self.width), np.float32)  # first of the triple seen
         two, out = np.zeros_like(one), np.zeros(one.shape[:2], np.float32)
@@ -196,10 +204,10 @@ def taught(rows: np.ndarray, label: int, weights: np.ndarray, bias: float) -> np
 
 
 def word_starts(token: str) -> set[str]:
-    """Landmark candidates: the starts of a word, and the word."""
+    """Landmark candidates: the starts of a word, and a short word itself."""
     out = set()
     for word in spellings(token):
-        out |= {word[:k] for k in range(4, min(len(word), 9) + 1)} | {word[:12]}
+        out |= {word[:k] for k in range(4, min(len(word), LONGEST) + 1)}
     return out
 
 
@@ -235,7 +243,8 @@ def candidates(train: DataFrame) -> list[str]:
     share = (F.col("toxic") + F.col("clean")) / (labels[0] + labels[1])
     lift = (a - b) / F.sqrt(share * (1 - share) * (1 / labels[0] + 1 / labels[1]) + 1e-12)
     found = found.where(F.col("toxic") >= LEAST_DOCS).withColumn("lift", lift).where(F.col("lift") >= LEAST_LIFT)
-    return [r["start"] for r in found.orderBy(F.desc("lift"), F.desc("start")).limit(CANDIDATES).collect()]
+    rows = found.orderBy(F.desc("lift"), F.desc("start")).limit(CANDIDATES).collect()
+    return [r["start"] for r in rows if r["lift"] >= LEAST_SHARE * rows[0]["lift"]]
 
 
 def landmarks(starts: list[str]) -> list[str]:
