@@ -194,6 +194,15 @@ def _(spark, sf):
     return rounded(SI.silhouette_samples(vectors(spark, sf), DIMS, "label", metric="euclidean"), ["silhouette"])
 
 
+for _metric, _away in (
+    ("manhattan", "list_sum(list_transform(list_zip(a.e, b.e), lambda z: abs(z[1] - z[2])))"), ("cosine", "CASE WHEN a.id = b.id THEN 0 ELSE list_cosine_distance(a.e, b.e) END"),
+):
+
+    @query(f"silhouette_samples_{_metric}", _PAIR_MEANS.format(d=_away) + " SELECT id AS row_id, label, round(s, 6) + 0.0::DOUBLE AS silhouette FROM sil")
+    def _(spark, sf, metric=_metric):
+        return rounded(SI.silhouette_samples(vectors(spark, sf), DIMS, "label", metric=metric), ["silhouette"])
+
+
 @query(
     "silhouette_bands",
     _PAIR_MEANS.format(d=_SQ) + " SELECT id AS row_id, label, row_number() OVER (PARTITION BY label ORDER BY s, id) AS position FROM sil",

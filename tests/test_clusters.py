@@ -181,6 +181,28 @@ def test_silhouettes_equal_brute_force(spark, metric, monkeypatch):
         assert many == {"a": pytest.approx(sum(want.values()) / 80), "b": None}
 
 
+@pytest.mark.parametrize("metric", SI.METRICS)
+def test_silhouettes_equal_brute_force_for_every_metric(spark, metric):
+    points = blobs(60, 3, 4, 31, 1.5) + [(0.0, 0.0, 0.0)] * 3 + [(9.0, 9.0, 9.0)]
+    labels = [i % 4 for i in range(60)] + [0, 1, 1, 7]
+    df, cols = frame(spark, points, labels)
+    x = np.array(points)
+    if metric == "cosine":
+        length = np.sqrt((x * x).sum(1, keepdims=True))
+        unit = np.divide(x, length, where=length > 0, out=np.zeros_like(x))
+        d = 1 - unit @ unit.T
+        np.fill_diagonal(d, 0)
+    else:
+        gaps = np.abs(x[:, None] - x[None])
+        d = gaps.sum(2) if metric == "manhattan" else (gaps**2).sum(2) ** (1 if metric == "sqeuclidean" else 0.5)
+    got = {r["row_id"]: r["silhouette"] for r in SI.silhouette_samples(df, cols, metric=metric).collect()}
+    for i, own in enumerate(labels):
+        mine = [j for j in range(len(labels)) if labels[j] == own and j != i]
+        b = min(np.mean([d[i, j] for j in range(len(labels)) if labels[j] == c]) for c in set(labels) - {own})
+        a = np.mean([d[i, j] for j in mine]) if mine else None
+        assert got[i] == pytest.approx((b - a) / max(a, b) if mine else 0.0, abs=1e-9)
+
+
 def test_one_cluster_has_no_scores(spark):
     df, cols = frame(spark, [(0.0, 1.0), (2.0, 3.0)], [0, 0])
     assert SI.mean_silhouette(df, cols) is None

@@ -1,8 +1,10 @@
 """How well separated clusters are.
 
-``sqeuclidean`` needs one pass for cluster sums and one for the scores. The
-``euclidean`` form needs every distance, so its cost grows with the square of
-the rows; it is meant for samples and moderate tables.
+``sqeuclidean`` and ``cosine`` need one pass for cluster sums and one for the
+scores. ``manhattan`` sums, column by column, the distances to all rows of a
+cluster from running counts and totals along the sorted values: n log n, without
+a pair of rows. The ``euclidean`` form needs every distance, so its cost grows
+with the square of the rows; it is meant for samples and moderate tables.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from veinworks.session import from_rows
 
 MAX_CENTERS = 20_000_000  # clusters × columns sent to executors
 BLOCK_ROWS = 2_000
-METRICS = ("sqeuclidean", "euclidean")
+METRICS = ("sqeuclidean", "euclidean", "manhattan", "cosine")
 
 
 def cluster_sums(df: DataFrame, cols: Sequence[str], label: str) -> list:
@@ -50,13 +52,18 @@ def silhouette_samples(
 ) -> DataFrame:
     """(row_id, label, silhouette) per row: (b - a) / max(a, b), 0 for singletons.
 
-    NULL when there is only one cluster.
+    NULL when there is only one cluster. With ``cosine`` a row of zeros is at
+    distance 1 from every other row.
     """
     if metric == "euclidean":
         return _exact_samples(df, list(cols), label, row_id)
-    if metric != "sqeuclidean":
+    if metric == "manhattan":
+        return _manhattan_samples(df, list(cols), label, row_id)
+    if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     cols = list(cols)
+    if metric == "cosine":
+        df, cols = _unit_rows(df, cols, label, row_id)
     shift, sums = cluster_sums(df, cols, label)
     shift = np.array(shift)
     labels = [r["label"] for r in sums]
@@ -70,8 +77,9 @@ def silhouette_samples(
             if len(labels) < 2:
                 value = np.full(len(batch), np.nan)
             else:
-                x = np.array(batch["v"].tolist(), dtype=float).reshape(len(batch), -1) - shift
-                value = _scores(x, batch["label"].map(place).to_numpy(), n, q, s)
+                x = np.array(batch["v"].tolist(), dtype=float).reshape(len(batch), -1)
+                own = batch["label"].map(place).to_numpy()
+                value = _cosine_scores(x, own, n, s + n[:, None] * shift) if metric == "cosine" else _scores(x - shift, own, n, q, s)
             yield pd.DataFrame({"row_id": batch["row_id"], "label": batch["label"], "silhouette": value})
 
     points = df.select(
@@ -88,6 +96,51 @@ def silhouette_samples(
     return named
 
 
+def _unit_rows(df, cols, label, row_id):
+    """Rows of length 1 (zeros stay), as columns u0, u1 ..., with their names."""
+    values = [F.col(f"`{c}`").cast("double") for c in cols]
+    length = F.sqrt(sum((v * v for v in values[1:]), values[0] * values[0]))
+    units = [F.coalesce(F.try_divide(v, length), F.lit(0.0)).alias(f"u{i}") for i, v in enumerate(values)]
+    return df.select(row_id, label, *units), [f"u{i}" for i in range(len(cols))]
+
+
+def _manhattan_samples(df, cols, label, row_id):
+    means = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    sizes = {r[0]: r[1] for r in df.groupBy(label).count().orderBy(label).collect()}  # one row per cluster
+    names, every = list(sizes), range(len(sizes))
+    cells = F.array(*[
+        F.struct(F.lit(i).alias("dim"), (F.col(f"`{c}`").cast("double") - F.lit(means[f"m{i}"] or 0.0)).alias("value"))
+        for i, c in enumerate(cols)
+    ])
+    points = df.select(F.col(row_id).alias("id"), F.col(label).alias("label"), F.inline(cells))
+    # Equal values are one row: however many rows share a value, no range is crowded.
+    values = points.groupBy("dim", "value").agg(*[F.count_if(F.col("label") == name).alias(f"n{k}") for k, name in enumerate(names)])
+    totals = values.groupBy("dim").agg(*[F.sum(F.col(f"n{k}") * F.col("value")).alias(f"t{k}") for k in every])
+    below = {f"c{k}": F.col(f"n{k}") for k in every} | {f"s{k}": F.col(f"n{k}") * F.col("value") for k in every}
+    placed = running_totals(values, "value", below, by=["dim"]).join(totals, "dim")
+    away = [
+        F.col("value") * (2 * F.col(f"c{k}") - F.lit(sizes[name])) + F.col(f"t{k}") - 2 * F.col(f"s{k}") for k, name in enumerate(names)
+    ]
+    found = points.join(placed.select("dim", "value", *[a.alias(f"a{k}") for k, a in enumerate(away)]), ["dim", "value"])
+    sums = found.groupBy("id", "label").agg(*[F.sum(f"a{k}").alias(f"a{k}") for k in every])
+    clusters = F.array(*[
+        F.struct((F.col("label") == name).alias("own"), F.lit(sizes[name]).alias("n"), F.greatest(F.lit(0.0), F.col(f"a{k}")).alias("total"))
+        for k, name in enumerate(names)
+    ])
+    own = F.get(F.filter(clusters, lambda c: c["own"]), F.lit(0))
+    size, total = own["n"], own["total"]
+    b = F.array_min(F.transform(F.filter(clusters, lambda c: ~c["own"]), lambda c: c["total"] / c["n"]))
+    return _named_scores(sums.select("id", "label", size.alias("size"), F.try_divide(total, size - 1).alias("a"), b.alias("b")), label, row_id)
+
+
+def _named_scores(rows: DataFrame, label: str, row_id: str) -> DataFrame:
+    """(row_id, label, silhouette) from the size of a row's cluster and its mean distances a and b."""
+    value = F.when(F.col("b").isNull(), None).when(F.col("size") == 1, 0.0).otherwise(
+        F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
+    )
+    return rows.select(F.col("id").alias(row_id), F.col("label").alias(label), value.alias("silhouette"))
+
+
 def _exact_samples(df, cols, label, row_id):
     points = df.select(
         F.col(row_id).alias("id"),
@@ -142,10 +195,7 @@ def _exact_samples(df, cols, label, row_id):
         F.max(F.when(same, F.try_divide("total", F.col("n") - 1))).alias("a"),
         F.min(F.when(~same, F.col("total") / F.col("n"))).alias("b"),
     )
-    value = F.when(F.col("b").isNull(), None).when(F.col("size") == 1, 0.0).otherwise(
-        F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
-    )
-    return per_row.select(F.col("id").alias(row_id), F.col("label").alias(label), value.alias("silhouette"))
+    return _named_scores(per_row, label, row_id)
 
 
 def mean_silhouette(
@@ -212,17 +262,34 @@ def _scores(x: np.ndarray, own: np.ndarray, n: np.ndarray, q: np.ndarray, s: np.
     for start in range(0, len(x), step):
         p, o = x[start : start + step], own[start : start + step]
         total = np.maximum((p * p).sum(axis=1)[:, None] * n - 2 * p @ s.T + q, 0.0)
-        rows = np.arange(len(p))
-        a = total[rows, o] / np.maximum(n[o] - 1, 1)
-        mean = total / n
-        mean[rows, o] = np.inf
-        b = mean.min(axis=1)
-        top = np.maximum(a, b)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            out[start : start + step] = np.where((n[o] == 1) | (top == 0), 0.0, (b - a) / top)
+        out[start : start + step] = _from_totals(total, o, n)
+    return out
+
+
+def _cosine_scores(x: np.ndarray, own: np.ndarray, n: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Silhouettes of rows of length 1 (or 0) from cluster sizes and sums of such rows."""
+    out = np.empty(len(x))
+    step = max(1, 4_000_000 // len(n))
+    for start in range(0, len(x), step):
+        p, o = x[start : start + step], own[start : start + step]
+        total = n - p @ s.T
+        total[np.arange(len(p)), o] -= 1 - (p * p).sum(axis=1)  # a row is at no distance from itself
+        out[start : start + step] = _from_totals(np.maximum(total, 0.0), o, n)
     return out
 
 
+def _from_totals(total: np.ndarray, own: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Silhouettes from the summed distances of rows to all clusters."""
+    rows = np.arange(len(total))
+    a = total[rows, own] / np.maximum(n[own] - 1, 1)
+    mean = total / n
+    mean[rows, own] = np.inf
+    b = mean.min(axis=1)
+    top = np.maximum(a, b)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where((n[own] == 1) | (top == 0), 0.0, (b - a) / top)
+
+
 def silhouette_bands(samples: DataFrame, label: str = "prediction", row_id: str = "row_id") -> DataFrame:
     """Per row its place in the cluster's ascending silhouette order.
 
