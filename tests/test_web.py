@@ -1,5 +1,7 @@
 """Markup cases for extraction, term search and stored result pages."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from veinworks.functions import text as T
 from veinworks.operators import extract as X
 from veinworks.operators import html as H
 from veinworks.session import durable
+from veinworks.operators import inverted as I
 from veinworks.operators import search as S
 
 LONG = "A paragraph that is clearly longer than forty characters."
@@ -213,3 +216,22 @@ def test_pages_by_type(spark):
     assert '"title":"G"' in out[3]["result"]
     found = {r["page_id"]: r["result"] for r in X.extract_by_type(df, ["needle"]).collect()}
     assert '"term":"needle"' in found[3] and "headers" in found[2]
+
+
+@pytest.mark.parametrize("match", ["all", "any"])
+def test_stored_index_gives_the_rows_of_a_search_without_one(spark, tmp_path, match):
+    draw = random.Random(6)
+    words = [f"w{k}" for k in range(30)]
+    texts = [" ".join(draw.choices(words, weights=[1 / (k + 1) for k in range(30)], k=draw.randint(1, 40))) for _ in range(300)]
+    corpus = spark.createDataFrame([(i, "t", "u", t) for i, t in enumerate(texts)] + [(900, "t", "u", None)], "doc_id long, title string, url string, text string")
+    asked = [(i, " ".join(draw.sample(words, draw.randint(1, 8)))) for i in range(25)] + [(90, "w0 nowhere"), (91, ""), (92, None), (93, "nowhere")]
+    queries = spark.createDataFrame(asked, "query_id long, query string")
+    folder = I.write_index(corpus, str(tmp_path / "index"), buckets=8)
+    order = ["query_id", "rank", "doc_id", "score", "snippet"]
+    want = S.search(corpus, queries, 5, match).select(*order).orderBy("query_id", "rank").collect()
+    found = I.search_index(folder, queries, 5, match)
+    assert found.select(*order).orderBy("query_id", "rank").collect() == want and len(want) > 20
+    one = I.search_index(folder, queries.where("query_id = 93 or query_id = 91"), 5, match)
+    assert one.count() == 0
+    plan = I._opened(spark, f"{folder}/postings", queries.limit(1).selectExpr("'w3' as term"), "term", 8)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan  # other buckets are not read

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from veinworks.functions.text import fallback_query, tokens, unwrap_redirect
 from veinworks.operators.html import descendants, first, node_text, parse_pages, select_nodes
+from veinworks.operators.inverted import SCORE_DIGITS, search_index
 from veinworks.session import durable
 
 # Markup of a hit on a stored result page, hits per query.
@@ -13,8 +14,6 @@ HIT = "div.result"
 HIT_TITLE = "a.result__a"
 HIT_SNIPPET = "a.result__snippet"
 MAX_RESULTS = 10
-# Scores are rounded so that equal ones tie whatever the order of summation.
-SCORE_DIGITS = 9
 
 
 def parse_results(pages: DataFrame, max_results: int = MAX_RESULTS, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
@@ -80,12 +79,13 @@ def search(
 
 
 def search_with_fallback(
-    corpus: DataFrame, queries: DataFrame, max_results: int = MAX_RESULTS, doc_id: str = "doc_id"
+    corpus: DataFrame | None, queries: DataFrame, max_results: int = MAX_RESULTS, doc_id: str = "doc_id", index: str | None = None
 ) -> DataFrame:
     """Search results plus ``level`` (0 as asked, 1 fallback) and the query used.
 
     A query without hits is asked once more: cut to its first two words when it
-    is longer, else with a question in front unless it is one already.
+    is longer, else with a question in front unless it is one already. With
+    ``index``, the folder of a stored index, no corpus is needed.
     """
     asked = queries.select("query_id", "query", fallback_query(F.col("query")).alias("_next"))
     variants = asked.select(
@@ -100,7 +100,7 @@ def search_with_fallback(
             )
         ).alias("v"),
     ).select(F.struct("query_id", "v.level").alias("query_id"), F.col("v.asked").alias("query"))
-    hits = search(corpus, variants, max_results, "all", doc_id)
+    hits = search_index(index, variants, max_results, "all", doc_id) if index else search(corpus, variants, max_results, "all", doc_id)
     best = F.min("query_id.level").over(Window.partitionBy("query_id.query_id"))
     chosen = hits.withColumn("_best", best).where(F.col("query_id.level") == F.col("_best")).drop("_best")
     used = variants.withColumnRenamed("query", "asked")
