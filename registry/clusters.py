@@ -333,45 +333,52 @@ def _(spark, sf):
     return drop_noise(D.dbscan(plane(spark, sf), ["x", "y"], 0.12, 5)).select("row_id", "prediction")
 
 
-def _grid_sql(eps_values, min_samples):
-    """Counts and silhouette of every setting; noise is left out of the silhouette."""
+def _grid_sql(eps_values, min_samples, only_without_noise=False):
+    """Counts and silhouette of every setting; labels spread from row to row in as many steps as the plane is wide."""
     ctes, parts = [PLANE.replace("WITH", "WITH RECURSIVE", 1)], []
-    for i, (eps, m) in enumerate((e, m) for e in eps_values for m in min_samples):
-        labels = _dbscan_sql(eps, m).split(", pairs AS", 1)[1]
-        body = "pairs AS" + labels
-        for name in ("pairs", "core", "edges", "walk", "comp", "border", "named", "labels"):
-            body = re.sub(rf"\b{name}\b", f"{name}{i}", body)
-        ctes.append(body)
+    for j, eps in enumerate(eps_values):
+        steps = 150 if eps < 0.25 else 40
         ctes.append(
-            f"q{i} AS (SELECT z.row_id AS id, x, y, prediction AS label FROM labels{i} l JOIN z ON z.row_id = l.row_id WHERE prediction <> -1), "
-            f"m{i} AS (SELECT a.id, a.label, b.label AS other, SUM((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS s, COUNT(*) AS n FROM q{i} a, q{i} b GROUP BY ALL), "
-            f"ab{i} AS (SELECT id, MAX(CASE WHEN other = label THEN n END) AS size, MAX(CASE WHEN other = label AND n > 1 THEN s / (n - 1) END) AS a, "
-            f"MIN(CASE WHEN other <> label THEN s / n END) AS b FROM m{i} GROUP BY id)"
-        )
-        parts.append(
-            f"SELECT 'dbscan' AS method, {eps}::DOUBLE AS eps, {m}::INTEGER AS min_samples, "
-            f"(SELECT COUNT(DISTINCT label) FROM q{i}) AS n_clusters, (SELECT COUNT(*) FROM z) - (SELECT COUNT(*) FROM q{i}) AS n_noise, "
-            f"(SELECT round(AVG(CASE WHEN size = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) FROM ab{i} WHERE b IS NOT NULL) AS silhouette"
+            f"p{j} AS MATERIALIZED (SELECT a.row_id AS a, b.row_id AS b FROM z a JOIN z b ON abs(a.x - b.x) <= {eps} "
+            f"WHERE sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) <= {eps}), c{j} AS (SELECT a AS id, COUNT(*) AS n FROM p{j} GROUP BY a)"
         )
+        for m in min_samples:
+            i = f"{j}_{m}"
+            ctes.append(
+                f"k{i} AS MATERIALIZED (SELECT id FROM c{j} WHERE n >= {m}), "
+                f"e{i} AS MATERIALIZED (SELECT a, b FROM p{j} JOIN k{i} u ON a = u.id JOIN k{i} v ON b = v.id), "
+                f"w{i}(step, node, root) AS (SELECT 0, id, id FROM k{i} UNION ALL SELECT step + 1, e.a, MIN(root) FROM w{i} JOIN e{i} e ON e.b = node WHERE step < {steps} GROUP BY step, e.a), "
+                f"f{i} AS MATERIALIZED (SELECT node, root AS cluster FROM w{i} WHERE step = {steps}), "
+                f"o{i} AS (SELECT a AS node, MIN(cluster) AS cluster FROM p{j} JOIN f{i} ON node = b WHERE a NOT IN (SELECT id FROM k{i}) GROUP BY a), "
+                f"q{i} AS MATERIALIZED (SELECT row_id AS id, x, y, cluster AS label FROM z JOIN (FROM f{i} UNION ALL FROM o{i}) ON node = row_id), "
+                f"m{i} AS (SELECT a.id, a.label, b.label AS other, SUM((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS s, COUNT(*) AS n FROM q{i} a, q{i} b GROUP BY ALL), "
+                f"ab{i} AS (SELECT id, MAX(CASE WHEN other = label THEN n END) AS size, MAX(CASE WHEN other = label AND n > 1 THEN s / (n - 1) END) AS a, "
+                f"MIN(CASE WHEN other <> label THEN s / n END) AS b FROM m{i} GROUP BY id)"
+            )
+            noise = f"(SELECT COUNT(*) FROM z) - (SELECT COUNT(*) FROM q{i})"
+            score = f"(SELECT round(AVG(CASE WHEN size = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) FROM ab{i} WHERE b IS NOT NULL)"
+            if only_without_noise:
+                score = f"CASE WHEN {noise} = 0 THEN COALESCE({score}, -1) ELSE -1 END"
+            parts.append(
+                f"SELECT 'dbscan' AS method, {eps}::DOUBLE AS eps, {m}::INTEGER AS min_samples, "
+                f"(SELECT COUNT(DISTINCT label) FROM q{i}) AS n_clusters, {noise} AS n_noise, {score} AS silhouette"
+            )
     return ", ".join(ctes) + union_all(parts)
 
 
-@query("dbscan_grid", _grid_sql((0.1, 0.2, 0.3), (5, 20)))
+@query("dbscan_grid", _grid_sql((0.1, 0.325, 0.55, 0.775, 1.0), (5, 10, 15, 20)))
 def _(spark, sf):
-    found = D.dbscan_grid(plane(spark, sf), ["x", "y"], (0.1, 0.3, 3), (5, 20, 2))["sweep"]
+    found = D.dbscan_grid(plane(spark, sf), ["x", "y"])["sweep"]
     return rounded(rounded(found, ["eps"], 3), ["silhouette"])
 
 
-@query("dbscan_eps_sweep", facts_sql(labelled=1, in_range=1, falling_noise=1, ordered=1))
+_EPS = tuple(0.1 + 1.9 * i / 9 for i in range(10))
+
+
+@query("dbscan_eps_sweep", "SELECT * REPLACE (round(eps, 3) AS eps) FROM (" + _grid_sql(_EPS, (5,), True) + ")")
 def _(spark, sf):
-    found = D.dbscan_eps_sweep(plane(spark, sf), ["x", "y"])
-    rows = found["sweep"].orderBy("eps").collect()
-    noise = [r["n_noise"] for r in rows]
-    return facts(
-        spark, labelled=found["labels"] is None or found["labels"].count() == plane(spark, sf).count(),
-        in_range=all(-1 <= r["silhouette"] <= 1 for r in rows if r["silhouette"] is not None),
-        falling_noise=noise == sorted(noise, reverse=True), ordered=len({r["eps"] for r in rows}) == len(rows),
-    )
+    found = D.dbscan_eps_sweep(plane(spark, sf), ["x", "y"])["sweep"]
+    return rounded(rounded(found, ["eps"], 3), ["silhouette"])
 
 
 _SWEEP = """s AS (SELECT l_tax AS eps, l_linenumber AS min_samples, COUNT(DISTINCT l_suppkey) - 95 AS n_clusters,
