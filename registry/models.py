@@ -283,12 +283,45 @@ def _(spark, sf):
     return _curve_facts(spark, SEL.select_features(_classified(spark, sf), "label", n_features=4), 4, 1.0)
 
 
-@query("select_features_regression", facts_sql(sizes=3, in_range=1, chosen=1, importances=1))
-def _(spark, sf):
+def _elimination_sql() -> str:
+    """Linear fits of all subsets of three columns by determinants; each fold drops its smallest coefficient in turn."""
+    key = "l_orderkey * 8 + l_linenumber"
+    names = "abc"
+    pairs = [(p, q) for i, p in enumerate(names) for q in names[i:]]
+    moments = ", ".join([f"covar_pop({p}, {q}) AS v{p}{q}" for p, q in pairs] + [f"covar_pop({p}, y) AS v{p}y, AVG({p}) AS m{p}" for p in names])
+    three = {
+        "a": "vay * (vbb * vcc - vbc * vbc) - vab * (vby * vcc - vbc * vcy) + vac * (vby * vbc - vbb * vcy)",
+        "b": "vaa * (vby * vcc - vbc * vcy) - vay * (vab * vcc - vbc * vac) + vac * (vab * vcy - vby * vac)",
+        "c": "vaa * (vbb * vcy - vby * vbc) - vab * (vab * vcy - vby * vac) + vay * (vab * vbc - vbb * vac)",
+    }
+    whole = "(vaa * (vbb * vcc - vbc * vbc) - vab * (vab * vcc - vbc * vac) + vac * (vab * vbc - vbb * vac))"
+    fits = ["SELECT fold, 'abc' AS kept, " + ", ".join(f"({e}) / {whole} AS {n}" for n, e in three.items()) + " FROM train"]
+    for p, q in ("ab", "ac", "bc"):
+        det = f"(v{p}{p} * v{q}{q} - v{p}{q} ** 2)"
+        beta = {p: f"(v{p}y * v{q}{q} - v{q}y * v{p}{q}) / {det}", q: f"(v{q}y * v{p}{p} - v{p}y * v{p}{q}) / {det}"}
+        fits.append(f"SELECT fold, '{p}{q}', " + ", ".join(beta.get(n, "0") for n in names) + " FROM train")
+    fits += [f"SELECT fold, '{p}', " + ", ".join(f"v{p}y / v{p}{p}" if n == p else "0" for n in names) + " FROM train" for p in names]
+    drop3 = "CASE WHEN abs(a) <= abs(b) AND abs(a) <= abs(c) THEN 'bc' WHEN abs(b) <= abs(c) THEN 'ac' ELSE 'ab' END"
+    drop2 = "CASE kept WHEN 'ab' THEN CASE WHEN abs(a) <= abs(b) THEN 'b' ELSE 'a' END WHEN 'ac' THEN CASE WHEN abs(a) <= abs(c) THEN 'c' ELSE 'a' END ELSE CASE WHEN abs(b) <= abs(c) THEN 'c' ELSE 'b' END END"
+    return f"""WITH x AS (SELECT l_quantity AS a, l_discount AS b, l_tax AS c, l_extendedprice AS y, floor({hash_sql(key)} * 5.0::DOUBLE / 2147483647.0::DOUBLE)::INTEGER AS fold FROM lineitem),
+    train AS (SELECT f.fold, {moments}, AVG(y) AS my FROM (SELECT DISTINCT fold FROM x) f JOIN x ON x.fold <> f.fold GROUP BY f.fold),
+    fits AS ({union_all(fits)}),
+    path AS (SELECT fold, 3 AS size, kept, a, b, c FROM fits WHERE kept = 'abc'),
+    path2 AS (SELECT f.fold, 2 AS size, f.kept, f.a, f.b, f.c FROM fits f JOIN (SELECT fold, {drop3} AS k FROM path) p ON p.fold = f.fold AND p.k = f.kept),
+    path1 AS (SELECT f.fold, 1 AS size, f.kept, f.a, f.b, f.c FROM fits f JOIN (SELECT fold, {drop2} AS k FROM path2) p ON p.fold = f.fold AND p.k = f.kept),
+    used AS (FROM path UNION ALL FROM path2 UNION ALL FROM path1),
+    r AS (SELECT u.size, u.fold, 1 - SUM((x.y - my - u.a * (x.a - ma) - u.b * (x.b - mb) - u.c * (x.c - mc)) ** 2) / (var_pop(x.y) * COUNT(*)) AS r2
+      FROM used u JOIN train t ON t.fold = u.fold JOIN x ON x.fold = u.fold GROUP BY u.size, u.fold)
+    SELECT size::INTEGER AS n_features, round(AVG(r2), 6) AS mean_score FROM r GROUP BY size"""
+
+
+@query("select_features_regression", _elimination_sql())
+def _(spark, sf):
+    """The elimination curve of three columns, where SQL can solve every fit."""
     li = table(spark, sf, "lineitem").select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"), "l_extendedprice", "l_quantity", "l_discount", "l_tax"
     )
-    return _curve_facts(spark, SEL.select_features(li, "l_extendedprice", "regression"), 3, 1.0)
+    return rounded(SEL.select_features(li, "l_extendedprice", "regression")["curve"], ["mean_score"])
 
 
 @query(

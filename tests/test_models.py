@@ -95,6 +95,35 @@ def test_elimination_keeps_what_matters(spark, data):
         SEL.select_features(data, "y", "ranking")
 
 
+def test_linear_elimination_equals_fits_of_their_own(spark):
+    draw = np.random.default_rng(8)
+    x = draw.normal(1000, 1, size=(90, 5))
+    x[:, 3] *= 7
+    x[:, 4] = x[:, 0] + draw.normal(0, 0.1, 90)
+    y = 3 * x[:, 0] - 2 * x[:, 1] + 0.01 * x[:, 2] + draw.normal(0, 0.2, 90)
+    cols = [f"x{i}" for i in range(5)]
+    rows = [(i, *map(float, r), float(t)) for i, (r, t) in enumerate(zip(x, y, strict=True))] + [(900, *[None] * 5, 1.0)]
+    df = spark.createDataFrame(rows, "row_id long, " + ", ".join(f"{c} double" for c in (*cols, "t"))).repartition(3)
+    folds = {r["row_id"]: r["f"] for r in df.select("row_id", SEL.fold_column("row_id", 4, 1).alias("f")).collect()}
+    fold, want = np.array([folds[i] for i in range(90)]), {n: [] for n in range(1, 6)}
+
+    def fitted(rows, kept):
+        return np.linalg.lstsq(np.column_stack([np.ones(rows.sum()), x[rows][:, kept]]), y[rows], rcond=None)[0]
+
+    for f in range(4):
+        kept = list(range(5))
+        while kept:
+            b = fitted(fold != f, kept)
+            off = y[fold == f] - b[0] - x[fold == f][:, kept] @ b[1:]
+            want[len(kept)].append(1 - (off**2).sum() / ((y[fold == f] - y[fold == f].mean()) ** 2).sum())
+            kept.pop(int(np.abs(b[1:]).argmin()))
+    curve, eliminated = SEL.eliminate_linear(df, cols, "t", folds=4, seed=1)
+    assert [n for n, _ in curve] == [1, 2, 3, 4, 5]
+    assert [s for _, s in curve] == pytest.approx([np.mean(want[n]) for n in range(1, 6)], abs=1e-6)
+    kept, weights = eliminated(5)
+    assert kept == [0, 1, 2, 3, 4] and weights == pytest.approx(np.abs(fitted(fold >= 0, kept)[1:]), rel=1e-4, abs=1e-5)
+
+
 @pytest.mark.parametrize("name", list(M.DEFAULTS))
 def test_every_classifier_beats_chance(spark, data, name):
     train, test = data.where("row_id % 5 <> 1"), data.where("row_id % 5 = 1")
