@@ -4,14 +4,16 @@ Parser events are turned, in one pass, into lines: the text between block tags,
 with the number of tags in it. Text-to-tag ratios are smoothed with a Gaussian
 over neighbouring lines and cut in two clusters; lines of the higher cluster
 mark the content. Parts whose tag, role, class or id says that they are something
-else are left out before. The region that holds the marked lines gives the text:
-sibling articles that together hold most of the marked text, else the innermost
-container of nearly all of it.
+else are left out, unless they hold nearly all of the marked text: then the name
+was misread. The region that holds the marked lines gives the text: sibling
+articles that together hold most of the marked text, else the innermost container
+of nearly all of it. All of it takes time in proportion to the page.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -53,8 +55,10 @@ SECONDARY = frozenset(
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 SIGMA, REACH = 1.0, 3
+APART = 0.3  # of the higher cluster's mean, which the lower one's must not reach
 MOST = 0.5  # of the selected text that articles must hold to be the region
 SHARE = 0.98  # of the selected text that a container must hold to be entered
+MISREAD = 0.9  # of the selected text in a part that its name would leave out
 
 
 @dataclass
@@ -62,8 +66,9 @@ class Line:
     text: str
     tags: int
     path: tuple[int, ...]  # open containers, outermost first
-    aside: bool
+    asides: tuple[int, ...]  # open parts that are something else, by number
     heading: bool
+    aside: bool = False
 
 
 class Lines(HTMLParser):
@@ -72,7 +77,14 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, int, int, bool]] = []  # tag, container number or -1, aside (2: also for articles in it), silent
+        self.open: list[str] = []
+        self.kinds: list[tuple[int, int]] = []  # of open elements: container or -1, aside or -1
+        self.count = Counter()  # open elements by tag
+        self.silent = self.headings = 0
+        self.path: list[int] = []
+        self.asides: list[int] = []  # open ones
+        self.firm: list[int] = []  # of all asides: 1, or 2 where an article in it does not count
+        self.certain: list[bool] = []  # of all asides: whatever they hold
         self.containers: list[str] = []
         self.text: list[str] = []
         self.tags = 0
@@ -80,21 +92,27 @@ class Lines(HTMLParser):
     def _flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            path = tuple(c for _, c, _, _ in self.open if c >= 0)
-            heading = any(t in HEADINGS for t, *_ in self.open)
-            self.lines.append(Line(text, self.tags, path, any(a > 0 for _, _, a, _ in self.open), heading))
+            self.lines.append(Line(text, self.tags, tuple(self.path), tuple(self.asides), self.headings > 0))
             self.tags = 0
         self.text = []
 
     def _pop(self, depth: int) -> None:
-        if any(tag in BLOCKS for tag, *_ in self.open[depth:]):
+        if any(tag in BLOCKS for tag in self.open[depth:]):
             self._flush()
-        del self.open[depth:]
+        for tag, (container, aside) in zip(reversed(self.open[depth:]), reversed(self.kinds[depth:]), strict=True):
+            self.count[tag] -= 1
+            self.silent -= tag in SILENT
+            self.headings -= tag in HEADINGS
+            if container >= 0:
+                self.path.pop()
+            if aside >= 0 and self.asides and self.asides[-1] == aside:
+                self.asides.pop()
+        del self.open[depth:], self.kinds[depth:]
 
     def _is_aside(self, tag: str, attrs: dict[str, str]) -> int:
         if tag in ASIDE:
             return 2
-        in_article = any(t in ("article", "main") for t, *_ in self.open)
+        in_article = self.count["article"] + self.count["main"] > 0
         if tag == "header" and not in_article:
             return 1
         names = [w.lower() for w in WORDS.findall(attrs.get("class", "") + " " + attrs.get("id", ""))]
@@ -110,6 +128,14 @@ class Lines(HTMLParser):
             return 1
         return int(not NAMES.isdisjoint(names) or not in_article and not PAGE_NAMES.isdisjoint(names))
 
+    @staticmethod
+    def _says_so(attrs: dict[str, str]) -> bool:
+        """Whether a part is called something else by a whole name, its role or its style, not by a word of a longer name."""
+        if attrs.get("role", "").lower() in ROLES or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
+            return True
+        whole = {*attrs.get("class", "").lower().split(), attrs.get("id", "").lower()}
+        return not NAMES.isdisjoint(whole) or not SECONDARY.isdisjoint(whole) or bool(UNSEEN.search(attrs.get("style", "")))
+
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:  # the tag counts for the line that it starts
             self._flush()
@@ -121,19 +147,32 @@ class Lines(HTMLParser):
         if tag in CLOSED_BY:
             self._imply_end(CLOSED_BY[tag])
         found = {k: v or "" for k, v in attrs}
-        number = -1
         # A wrapper named after one of its parts is not that part; within an article it is.
-        if tag in ("article", "main") and not any(t == "article" for t, *_ in self.open):
-            self.open = [(t, c, a if a == 2 else 0, s) for t, c, a, s in self.open]
+        if tag in ("article", "main") and not self.count["article"]:
+            self.asides = [k for k in self.asides if self.firm[k] == 2]
+        container = aside = -1
+        firm = self._is_aside(tag, found)
         if tag in CONTAINERS:
-            number = len(self.containers)
+            container = len(self.containers)
             self.containers.append("main" if found.get("role") == "main" else tag)
-        self.open.append((tag, number, self._is_aside(tag, found), tag in SILENT))
+            self.path.append(container)
+        if firm:
+            aside = len(self.firm)
+            self.firm.append(firm)
+            self.certain.append(tag != "form" and (tag in ASIDE or tag == "header" or self._says_so(found)))
+            self.asides.append(aside)
+        self.open.append(tag)
+        self.kinds.append((container, aside))
+        self.count[tag] += 1
+        self.silent += tag in SILENT
+        self.headings += tag in HEADINGS
 
     def _imply_end(self, tags: tuple[str, ...]) -> None:
         """Close an open element of these, unless a container or list stands between."""
+        if not any(self.count[t] for t in tags):
+            return
         for depth in range(len(self.open) - 1, -1, -1):
-            tag = self.open[depth][0]
+            tag = self.open[depth]
             if tag in tags:
                 self._pop(depth)
                 return
@@ -147,13 +186,15 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
+        if not self.count[tag]:
+            return
         for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0] == tag:
+            if self.open[depth] == tag:
                 self._pop(depth)
                 return
 
     def handle_data(self, data):
-        if not (self.open and any(s for *_, s in self.open)):
+        if not self.silent:
             self.text.append(data)
 
     def finish(self) -> None:
@@ -162,7 +203,7 @@ class Lines(HTMLParser):
 
 
 def selected(lines: list[Line]) -> np.ndarray:
-    """Which lines lie in the higher of two clusters of smoothed text-to-tag ratios."""
+    """Which lines lie in the higher of two clusters of smoothed text-to-tag ratios; all, where the two are close."""
     ratio = np.array([len(x.text) / max(1, x.tags) for x in lines])
     at = np.arange(-REACH, REACH + 1)
     kernel = np.exp(-(at**2) / (2 * SIGMA**2))
@@ -177,7 +218,7 @@ def selected(lines: list[Line]) -> np.ndarray:
         if new == (low, high):
             break
         low, high = new
-    return smooth >= (low + high) / 2
+    return smooth >= (low + high) / 2 if low < APART * high else np.ones(len(lines), bool)
 
 
 def region(lines: list[Line], marked: np.ndarray, containers: list[str]) -> list[Line]:
@@ -216,12 +257,29 @@ def main_text(html: str) -> str:
     parser = Lines()
     parser.feed(html)
     parser.finish()
-    if not parser.lines:
-        return ""
+    leave_out(parser)
     lines = [x for x in parser.lines if not x.aside]
     return "\n\n".join(x.text for x in region(lines, selected(lines), parser.containers)) if lines else ""
 
 
+def leave_out(parser: Lines) -> None:
+    """Mark the lines of parts that are something else.
+
+    A form, or a part that only a word of a longer name calls so, stays in when
+    it holds nearly all of the text that the ratios select among the lines that
+    nothing surer rules out: the page would have no text without it.
+    """
+    open_lines = [x for x in parser.lines if not any(parser.certain[k] for k in x.asides)]
+    held, total = Counter(), 0
+    for x, m in zip(open_lines, selected(open_lines) if open_lines else (), strict=True):
+        total += len(x.text) * m
+        for k in x.asides:
+            held[k] += len(x.text) * m
+    misread = {k for k, n in held.items() if total and n >= MISREAD * total}
+    for x in parser.lines:
+        x.aside = any(k not in misread for k in x.asides)
+
+
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """All columns of ``pages`` but the html, with ``text`` and ``n_chars``.
 
