@@ -115,6 +115,38 @@ def test_passages_equal_brute_force():
                 assert e == want and plain_edits(item, text[a:b]) == want
 
 
+def test_crowded_texts_count_the_same_bands(monkeypatch):
+    rng = random.Random(9)
+    items = ["x" * 60, "ab" * 40, "".join(rng.choice("abc ") for _ in range(90)), "x" * 30 + "y" + "x" * 30]
+    texts = ["x" * 300, "ab" * 100 + "x" * 50 + items[2] + "ba" * 50, "x" * 70 + "y" + "x" * 90, "ab" * 10, "q" * 40]
+    rows = list(enumerate(items))
+    want = D._finder(rows, D.Q, D.EDITS)(texts)
+    assert {(t, i) for t, i, *_ in want} >= {(0, 0), (1, 1), (1, 2), (2, 3)}
+    for laid_out in (1, 7, 60, 2000):  # nearly all by correlation, some, none
+        monkeypatch.setattr(D, "LAID_OUT", laid_out)
+        assert D._finder(rows, D.Q, D.EDITS)(texts) == want
+
+
+def test_diagonals_equal_all_pairs(monkeypatch):
+    monkeypatch.setattr(D, "LAID_OUT", 16)
+    rng = np.random.default_rng(3)
+    position, offset = np.sort(rng.choice(200, 80, replace=False)), rng.choice(40, 25, replace=False)
+    got = D.diagonal_counts(position, offset, 200, 40)
+    assert got.tolist() == np.bincount((position[:, None] - offset + 39).ravel(), minlength=240).tolist()
+
+
+def test_one_repeated_character_needs_little_memory():
+    import tracemalloc
+
+    find = D._finder([(1, "x" * 10_000)], D.Q, D.EDITS)
+    find(["warm"])
+    tracemalloc.start()
+    assert find(["x" * 1_000_000]) == [(0, 0, 0, 0, 10_000)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 << 20
+
+
 def test_short_items_match_as_whole_words(spark):
     docs = spark.createDataFrame([(1, "say hello, you"), (2, "othello"), (3, None)], "doc_id long, text string")
     items = spark.createDataFrame([(7, "Hello"), (8, ""), (9, None), (10, "zz")], "item_id long, text string")

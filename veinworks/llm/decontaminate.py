@@ -26,6 +26,7 @@ EDITS = 0.05
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SLOTS = 22  # bits of the first look-up
 LOT_CHARS = 2 << 20
+LAID_OUT = 1 << 20  # hits in memory at once
 BLOCK_CHARS = 1 << 20  # code points of items that a task holds at once: bounds what is sent to it
 SPACES = np.array([9, 10, 11, 12, 13, 32, 0x85, 0xA0])
 WALL = 0xFFFFFFFF  # between texts; no character
@@ -149,17 +150,36 @@ def matches(lot: list[str], items: Items, q: int) -> list[tuple[int, int, int, i
     if not len(position):
         return []
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    # A common q-gram has many places in the items: hits are laid out a bounded number at a time, text by text.
     owner_text = np.searchsorted(starts, position, side="right") - 1
+
+    def align(rows) -> None:
+        for t, i, b in rows:
+            done = best.get((t, i))
+            if done and done[0] == 0:
+                continue
+            k, item = int(items.edits[i]), items.chars[i]
+            first, width = b * (k + 1) - int(starts[t]) - k, 4 * k + 2
+            got = _equal(item, parts[t], first, width) or banded_distance(item, parts[t], first, width, done[0] if done else k)
+            if got and (done is None or got < done):
+                best[t, i] = got
+
+    # A common q-gram has many places in the items: hits are laid out a bounded number at a time, text by
+    # text, and a text that has more than that (a run of dashes) is counted without laying them out.
+    crowded = np.bincount(owner_text, count, minlength=len(parts)) > LAID_OUT
+    alone = crowded[owner_text]
+    for t in np.flatnonzero(crowded).tolist():
+        of = slice(*np.searchsorted(owner_text, [t, t + 1]))
+        align((t, i, b) for i, b in crowded_bands(position[of], low[of], count[of], items, int(starts[t]), len(parts[t])))
+    position, low, count, owner_text = position[~alone], low[~alone], count[~alone], owner_text[~alone]
     total = np.cumsum(count)
     begin = 0
     while begin < len(position):
-        reach = int(np.searchsorted(total, (total[begin - 1] if begin else 0) + (4 << 20)))
+        reach = int(np.searchsorted(total, (total[begin - 1] if begin else 0) + LAID_OUT))
         end = int(np.searchsorted(owner_text, owner_text[min(max(reach, begin), len(position) - 1)], side="right"))
         part = slice(begin, end)
         begin = end
         n = count[part]
-        slot = np.repeat(low[part] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        slot = _ranges(low[part], n)
         item, text = items.owner[slot], np.repeat(owner_text[part], n)
         diagonal = np.repeat(position[part], n) - items.offset[slot]
         step = items.edits[item] + 1
@@ -170,19 +190,78 @@ def matches(lot: list[str], items: Items, q: int) -> list[tuple[int, int, int, i
         rows = rows[key]
         cuts = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)]))
         shared = np.diff(np.concatenate([cuts, [len(rows)]]))
-        rows = rows[cuts][shared >= items.needed[rows[cuts, 1]]]
-        for t, i, b in rows.tolist():
-            done = best.get((t, i))
-            if done and done[0] == 0:
-                continue
-            k, item = int(items.edits[i]), items.chars[i]
-            first, width = b * (k + 1) - int(starts[t]) - k, 4 * k + 2
-            got = _equal(item, parts[t], first, width) or banded_distance(item, parts[t], first, width, k)
-            if got and (done is None or got < done):
-                best[t, i] = got
+        align(rows[cuts][shared >= items.needed[rows[cuts, 1]]].tolist())
     return [(t, i, *v) for (t, i), v in sorted(best.items())]
 
 
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... (n of them), one range after another."""
+    return np.repeat(start - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+
+
+def crowded_bands(position: np.ndarray, low: np.ndarray, count: np.ndarray, items: Items, start: int, size: int):
+    """(item number, band) of one text, from where the text's q-grams are and where the items have the same ones.
+
+    The same bands as hit by hit, item by item in counts by band: a q-gram with
+    very many hits in an item adds the cross-correlation of its places.
+    """
+    first, gram = np.unique(low, return_index=True, return_inverse=True)[1:]
+    places = position[np.argsort(gram, kind="stable")]
+    times = np.bincount(gram)
+    place_at = np.concatenate([[0], np.cumsum(times)])
+    slot = _ranges(low[first], count[first])  # at most all q-grams of the block
+    slot_gram = np.repeat(np.arange(len(first)), count[first])
+    order = np.argsort(items.owner[slot], kind="stable")
+    slot, slot_gram = slot[order], slot_gram[order]
+    owner = items.owner[slot]
+    for i in np.unique(owner).tolist():
+        of = slice(*np.searchsorted(owner, [i, i + 1]))
+        offset, of_gram = items.offset[slot[of]], slot_gram[of]
+        step, length = int(items.edits[i]) + 1, len(items.chars[i])
+        lowest = (start - length) // step - 1
+        bands = np.zeros((start + size) // step - lowest + 2, np.int64)
+        hits = np.bincount(of_gram) * times[: of_gram.max() + 1]
+        for g in np.flatnonzero(hits > LAID_OUT).tolist():
+            found = diagonal_counts(places[place_at[g] : place_at[g + 1]] - start, offset[of_gram == g], size, length)
+            band = (np.arange(len(found)) + start - length + 1) // step - lowest
+            bands += np.bincount(band, found, minlength=len(bands)).astype(np.int64)
+        few = hits[of_gram] <= LAID_OUT
+        offset, of_gram = offset[few], of_gram[few]
+        laid = np.cumsum(times[of_gram])
+        begin = 0
+        while begin < len(offset):
+            end = max(begin + 1, int(np.searchsorted(laid, (laid[begin - 1] if begin else 0) + LAID_OUT, side="right")))
+            g = of_gram[begin:end]
+            diagonal = places[_ranges(place_at[g], times[g])] - np.repeat(offset[begin:end], times[g])
+            bands += np.bincount(diagonal // step - lowest, minlength=len(bands))
+            begin = end
+        shared = bands + np.append(bands[1:], 0)
+        yield from ((i, int(b) + lowest) for b in np.flatnonzero(shared >= items.needed[i]))
+
+
+def diagonal_counts(position: np.ndarray, offset: np.ndarray, size: int, length: int) -> np.ndarray:
+    """How many pairs have each difference position - offset, from ``1 - length`` up.
+
+    Cross-correlation by Fourier transforms over blocks of the text; counts are
+    whole numbers far below the rounding of doubles.
+    """
+    out = np.zeros(size + length, np.int64)
+    block = max(LAID_OUT, length)
+    width = 1 << int(block + length).bit_length()
+    mirror = np.zeros(width)
+    mirror[length - 1 - offset] = 1
+    mirror = np.fft.rfft(mirror)
+    for begin in range(0, size, block):
+        inside = position[slice(*np.searchsorted(position, [begin, begin + block]))] - begin
+        if len(inside):
+            here = np.zeros(width)
+            here[inside] = 1
+            found = np.rint(np.fft.irfft(np.fft.rfft(here) * mirror, width)).astype(np.int64)
+            end = min(len(out), begin + block + length - 1)
+            out[begin:end] += found[: end - begin]
+    return out
+
+
 def short_matches(lot: list[str], short: list[tuple[int, str]]) -> list[tuple[int, int, int, int, int]]:
     """Exact first occurrences, as whole words, of items too short for a q-gram."""
     import ahocorasick
