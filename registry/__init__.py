@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["profiling", "preparing", "clusters", "web", "models"]
+AREAS = ["profiling", "preparing", "clusters", "web", "models", "estimators"]
 
 
 def _load():

@@ -204,6 +204,21 @@ READERS = {
 }
 
 
+def add_scores(fitted: Fitted, df: DataFrame) -> DataFrame:
+    """All columns of ``df`` with ``score`` and ``prediction``, which replace columns of these names.
+
+    Without a join, but for the neighbour model, which looks rows up by their key.
+    """
+    kept = [c for c in df.columns if c not in ("score", "prediction")]
+    if fitted.name == "KNN":
+        return df.select(*[F.col(f"`{c}`") for c in kept]).join(fitted.score(df), fitted.row_id)
+    # The whole row takes the place of the key.
+    score = SCORERS[fitted.name](fitted.parts, fitted.features, "_row", fitted.params, fitted.extra)
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row")
+    scored = score(df.select(row, *[F.col(f"`{c}`") for c in fitted.features]))
+    return scored.select(*[F.col(f"_row.`{c}`") for c in kept], "score", "prediction")
+
+
 def save_fitted(fitted: Fitted, path: str, spark: SparkSession) -> str:
     """Write a trained model of any kind: its parts, and a row that describes it."""
     about = {"name": fitted.name, "params": fitted.params, "features": fitted.features, "row_id": fitted.row_id, "extra": fitted.extra}
