@@ -174,3 +174,18 @@ def test_gram_hashes_depend_on_the_gram_only():
         grams = [chars[i : i + q].tobytes() for i in range(len(chars) - q + 1)]
         assert len(found) == len(grams) and len(set(found.tolist())) == len(set(grams))
         assert all((found[i] == found[j]) == (grams[i] == grams[j]) for i in range(len(grams)) for j in range(len(grams)))
+
+
+def test_index_entries_are_never_broadcast(spark, monkeypatch):
+    """Entries are dozens of times the fingerprints, which Spark's estimate of an explode leaves out."""
+    plans, kept = [], S.written
+
+    def watched(df, name, **options):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return kept(df, name, **options)
+
+    monkeypatch.setattr(S, "written", watched)
+    prints = kept(spark.range(200).select((F.col("id") * 3).alias("fp")), "prints")
+    pairs = S.links(prints, 2, 4)
+    plans += [df._jdf.queryExecution().sparkPlan().toString() for df in (pairs, S.stars(prints, 1), S.stars(prints, 2))]
+    assert len(plans) == 4 and not [p for p in plans if "Broadcast" in p]

@@ -82,6 +82,15 @@ def index(prints: DataFrame, max_bits: int) -> DataFrame:
     )
 
 
+def sorted_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
+    """An equality join that is never a broadcast.
+
+    Spark's estimates leave out how many rows an ``explode`` makes, so index
+    entries many times the size of any broadcast would pass for small tables.
+    """
+    return left.join(right.hint("merge"), on)
+
+
 def links(prints: DataFrame, max_bits: int = 2, bucket: int = 16) -> DataFrame:
     """(a, b): pairs of distinct fingerprints that connect all those at most ``max_bits`` apart.
 
@@ -96,14 +105,14 @@ def links(prints: DataFrame, max_bits: int = 2, bucket: int = 16) -> DataFrame:
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entries = index(prints.repartition(parts, "fp"), max_bits)
     sizes = entries.groupBy("entry", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = written(entries.join(sizes, ["entry", "value"]), "simhash-shared")
+    shared = written(sorted_join(entries, sizes, ["entry", "value"]), "simhash-shared")
     few = shared.where(F.col("n") <= bucket).drop("n")
     left, right = few.withColumnRenamed("fp", "a").alias("l"), few.withColumnRenamed("fp", "b").alias("r")
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     # Equal segments meet in the entry without an open bit, others where that bit differs.
     ordered = F.coalesce(F.col("l.open") < F.col("r.open"), F.col("a") < F.col("b"))
     same = (F.col("l.entry") == F.col("r.entry")) & (F.col("l.value") == F.col("r.value"))
-    pairs = left.join(right, same & ordered & (apart <= max_bits)).select("a", "b")
+    pairs = sorted_join(left, right, same & ordered & (apart <= max_bits)).select("a", "b")
     return pairs.unionByName(stars(shared.where(F.col("n") > bucket).select("fp").distinct(), max_bits))
 
 
@@ -111,10 +120,10 @@ def stars(prints: DataFrame, max_bits: int) -> DataFrame:
     """(a, b): each fingerprint with the smallest that shares a value one bit away."""
     if max_bits == 1:  # neighbours are themselves values one bit away
         near = prints.select(F.col("fp").alias("b"), F.explode(_flips(F.col("fp"))).alias("a"))
-        return near.join(prints.select(F.col("fp").alias("a")), "a").select("a", "b")
+        return sorted_join(near, prints.select(F.col("fp").alias("a")), "a").select("a", "b")
     around = prints.select("fp", F.explode(F.array_append(_flips(F.col("fp")), F.col("fp"))).alias("value"))
     least = around.groupBy("value").agg(F.min("fp").alias("b"), F.max("fp").alias("top")).where("b < top")
-    return around.join(least, "value").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
+    return sorted_join(around, least, "value").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
 
 
 def _flips(fp: Column) -> Column:
@@ -137,10 +146,10 @@ def near_duplicates(
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
     nodes = written(classes.coalesce(max(1, prints.count() // ROWS_PER_FILE)), "simhash-classes")
     found = connected_components(nodes.select(F.col("fp").alias("node")), links(nodes.select("fp"), max_bits, bucket))
-    joined = nodes.join(found.withColumnRenamed("node", "fp"), "fp")
+    joined = sorted_join(nodes, found.withColumnRenamed("node", "fp"), "fp")
     names = joined.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = joined.join(names, "component").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = sorted_join(joined, names, "component").select("fp", "component_id")
+    return sorted_join(prints, named, "fp").select("doc_id", "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
