@@ -330,3 +330,29 @@ def test_best_row_and_elbow(spark):
     assert RK.best_row(df.where("m = 'x'"), "s", ["m"]).first() is None
     k = spark.createDataFrame([(2, 100.0), (3, 60.0), (5, 1.0), (6, 0.5)], "k int, inertia double")
     assert RK.elbow(k).first()["k"] == 3
+
+
+def test_kmeans_spreads_the_rows_of_one_file_over_all_cores(spark, monkeypatch):
+    seen, sums = [], LL._sums
+
+    def watched(points, centers, shift):
+        seen.append(points.rdd.getNumPartitions())
+        return sums(points, centers, shift)
+
+    monkeypatch.setattr(LL, "_sums", watched)
+    df, cols = frame(spark, blobs(60, 2, 3))
+    found = LL.fit_many(df.coalesce(1), cols, {3: 2}, max_iter=2)
+    assert len(found[3].points) == 3 and set(seen) == {LL.PARTS_PER_CORE * spark.sparkContext.defaultParallelism}
+
+
+def test_sums_of_more_centres_than_a_group_adds_up(spark, monkeypatch):
+    monkeypatch.setattr(LL, "CENTERS_PER_GROUP", 2)
+    points = blobs(80, 2, 5)
+    df, cols = frame(spark, points)
+    x, shift = np.array(points), np.zeros(2)
+    centers = [x[:3], x[3:8]]
+    got = LL._sums(LL.vectors_of(df, cols), centers, shift)
+    for own, part in zip(centers, (got[:3], got[3:])):
+        near = LL.squared_gaps(x, own).argmin(1)
+        assert np.allclose(part[:, 0], np.bincount(near, minlength=len(own)))
+        assert np.allclose(part[:, 1:-1], [x[near == i].sum(0) for i in range(len(own))])
