@@ -356,3 +356,34 @@ def test_sums_of_more_centres_than_a_group_adds_up(spark, monkeypatch):
         near = LL.squared_gaps(x, own).argmin(1)
         assert np.allclose(part[:, 0], np.bincount(near, minlength=len(own)))
         assert np.allclose(part[:, 1:-1], [x[near == i].sum(0) for i in range(len(own))])
+
+
+def test_best_of_a_block_measures_few_rows_exactly(monkeypatch):
+    """Ties, copies, missing and huge values come out as from all exact distances; few pairs are measured so."""
+    import pandas as pd
+
+    draw, measured, einsum = np.random.default_rng(5), [], np.einsum
+
+    def watched(names, left, right):
+        measured.append(left.size)
+        return einsum(names, left, right)
+
+    monkeypatch.setattr(np, "einsum", watched)
+    x = draw.normal(size=(400, 8)) + 1000
+    x[50:60] = x[50]
+    rows = pd.DataFrame({"id": draw.permutation(400), "v": list(x)})
+    found = NB._best_in_block(5, 8, True)(rows, rows)
+    assert sum(measured) < 400 * 60 * 8
+    for extra in ([], [[math.nan] * 8, [1e200] * 8, [1e200] * 8]):
+        points = np.concatenate([x, np.array(extra).reshape(-1, 8)])
+        every = pd.DataFrame({"id": np.arange(len(points)), "v": list(points)})
+        found = NB._best_in_block(5, 8, True)(every, every)
+        got = {}
+        for q, n, d in found.itertuples(index=False):
+            got.setdefault(q, []).append((d, n))
+        for q, p in enumerate(points):
+            with np.errstate(over="ignore", invalid="ignore"):
+                away = np.sqrt(((points - p) ** 2).sum(1))
+            want = sorted((a, i) for i, a in enumerate(away) if i != q and np.isfinite(a))[:5]
+            assert [n for _, n in sorted(got.get(q, []))] == [i for _, i in want]
+            assert np.allclose([d for d, _ in sorted(got.get(q, []))], [a for a, _ in want], atol=0)
