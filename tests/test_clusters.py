@@ -387,3 +387,21 @@ def test_best_of_a_block_measures_few_rows_exactly(monkeypatch):
             want = sorted((a, i) for i, a in enumerate(away) if i != q and np.isfinite(a))[:5]
             assert [n for _, n in sorted(got.get(q, []))] == [i for _, i in want]
             assert np.allclose([d for d, _ in sorted(got.get(q, []))], [a for a, _ in want], atol=0)
+
+
+def test_distances_of_blocks_measure_few_differences(monkeypatch):
+    draw, measured, einsum = np.random.default_rng(6), [], np.einsum
+
+    def watched(names, left, right):
+        measured.append(left.size)
+        return einsum(names, left, right)
+
+    monkeypatch.setattr(np, "einsum", watched)
+    x = draw.normal(size=(300, 4)) + 500
+    x[10:20], x[20] = x[10], x[10] + 1e-9
+    for points, most in ((x, 300 * 8 * 4), (np.concatenate([x, [[math.nan] * 4, [1e200] * 4]]), math.inf)):
+        measured.clear()
+        with np.errstate(over="ignore", invalid="ignore"):
+            want = np.sqrt(((points[:, None] - points[None]) ** 2).sum(2))
+        assert np.allclose(SI._distances(points, points), want, rtol=1e-8, atol=0, equal_nan=True)
+        assert 0 < sum(measured) <= most
