@@ -206,3 +206,23 @@ def test_batches_cover_all_rows_and_respect_the_size(spark):
     df = spark.range(1005).repartition(3)
     out = apply_in_batches(df, lambda p: p.assign(n=len(p)), "id long, n long", 100)
     assert out.count() == 1005 and out.agg(F.max("n")).first()[0] <= 100
+
+
+def test_a_forest_grown_in_lots_scores_as_all_its_trees(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(M, "ROWS_PER_LOT", 200)
+    rows = [(i % 70, float(i % 17), float(i * i % 23), int(i % 17 > 8)) for i in range(80)]  # row ids repeat
+    df = spark.createDataFrame(rows, "row_id long, a double, b double, label int")
+    fitted = M.fit_forest(df, ["a", "b"], "label", "row_id", n_estimators=5, max_depth=4)
+    assert fitted.extra["lots"] == [2, 2, 1]  # never more than two trees of 80 rows at once
+    scored = [tuple(r) for r in M.add_scores(fitted, df).orderBy("row_id", "a", "b").collect()]
+    want = {}
+    for path, n in zip(fitted.model.paths, fitted.model.trees, strict=True):
+        lot = M.RandomForestClassificationModel.load(path)
+        assert lot.getNumTrees == n
+        for row in lot.transform(M.with_vectors(df, ["a", "b"])).select("a", "b", "probability").collect():
+            want.setdefault((row["a"], row["b"]), {})[path] = n * row["probability"][1] / 5
+    assert len(scored) == 80 and all(abs(r[4] - sum(want[r[1], r[2]].values())) < 1e-9 and r[5] == (r[4] > 0.5) for r in scored)
+    again = M.load_fitted(spark, M.save_fitted(fitted, str(tmp_path / "forest"), spark))
+    assert [tuple(r) for r in M.add_scores(again, df).orderBy("row_id", "a", "b").collect()] == scored
+    weights = {r["feature"]: r["importance"] for r in M.feature_importances(again).collect()}
+    assert abs(sum(weights.values()) - 1) < 1e-9 and weights["a"] > weights["b"]
