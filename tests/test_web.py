@@ -235,3 +235,19 @@ def test_stored_index_gives_the_rows_of_a_search_without_one(spark, tmp_path, ma
     assert one.count() == 0
     plan = I._opened(spark, f"{folder}/postings", queries.limit(1).selectExpr("'w3' as term"), "term", 8)._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan  # other buckets are not read
+
+
+@pytest.mark.parametrize("match", ["all", "any"])
+def test_search_in_many_blocks_gives_the_rows_of_one_block(spark, tmp_path, monkeypatch, match):
+    draw = random.Random(8)
+    texts = [" ".join(draw.choices("abcdefgh", k=draw.randint(1, 12))) for _ in range(150)]
+    rows = [(f"d{i % 140}", "t", "u", t) for i, t in enumerate(texts)] + [(None, "t", "u", "a b c d")]  # ids repeat, one is missing
+    corpus = spark.createDataFrame(rows, "doc_id string, title string, url string, text string")
+    queries = spark.createDataFrame([(i, " ".join(draw.sample("abcdefgh", 3))) for i in range(12)] + [(3, "a b")], "query_id long, query string")
+    folder, order = I.write_index(corpus, str(tmp_path / "index"), buckets=4), ["query_id", "rank", "doc_id", "score", "snippet"]
+    want = I.search_index(folder, queries, 4, match).select(*order).orderBy(*order).collect()
+    for name, size in (("BLOCK_POSTINGS", 60), ("BLOCK_QUERIES", 5), ("CELLS", 64)):
+        monkeypatch.setattr(I, name, size)
+    found = I.search_index(folder, queries, 4, match)
+    assert found.select(*order).orderBy(*order).collect() == want and len(want) > 20
+    assert all(r["doc_id"] is not None for r in want)

@@ -2,12 +2,19 @@
 
 Postings are written once, in buckets by term, with the number of documents and
 the largest count of each term; documents in buckets by id. A batch of queries
-opens the buckets of its terms. Rare terms come first: they name the candidates,
-and common terms are only looked up for those.
+opens the buckets of its terms. The postings of these terms are dealt into blocks
+of documents, the queries into blocks of their own; where two blocks meet, one
+task scores all pairs as a matrix product and keeps the best of each query, so a
+pair of query and document is never a row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from veinworks.functions.text import tokens
@@ -16,7 +23,9 @@ from veinworks.session import durable
 BUCKETS = 64
 # Scores are rounded so that equal ones tie whatever the order of summation.
 SCORE_DIGITS = 9
-SLACK = 1e-6  # of a bound, above what rounding can hide
+BLOCK_POSTINGS = 500_000
+BLOCK_QUERIES, BLOCK_WORDS = 512, 20_000  # of a block of queries: queries, and words of all of them
+CELLS = 2_000_000
 
 
 def bucket_of(col: Column, buckets: int) -> Column:
@@ -66,56 +75,76 @@ def search_index(folder: str, queries: DataFrame, max_results: int = 10, match:
     terms = _opened(spark, f"{folder}/terms", asked, "term", about["buckets"])
     postings = _opened(spark, f"{folder}/postings", asked, "term", about["buckets"])
     idf = F.log(1 + F.lit(about["documents"]) / F.col("df"))
-    known = asked.join(terms, "term").select("query_id", "term", idf.alias("idf"), (F.col("max_tf") * idf).alias("most"))
-    # A query is one row of words: its windows are as short as it.
-    order = Window.partitionBy("query_id").orderBy(F.desc("idf"), "term")
-    plan = known.withColumn("place", F.row_number().over(order))
-    plan = plan.withColumn("rest", F.sum("most").over(order.rowsBetween(1, Window.unboundedFollowing)))
+    known = durable(asked.join(terms, "term").select("query_id", "term", "df", idf.alias("idf")))
     needed = asked.groupBy("query_id").agg(F.count("term").alias("needed"))
-    plan = durable(plan.join(needed, "query_id").withColumn("terms", F.count("term").over(Window.partitionBy("query_id"))))
-    if match == "all":
-        plan = plan.where("terms = needed")
-        scored = _scored(postings, plan, _candidates(postings, plan, 1, 1, doc_id), doc_id).where("found = needed")
-    else:
-        scored = _until_safe(postings, plan, max_results, doc_id)
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), doc_id)
-    top = durable(scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max_results).select("query_id", "rank", doc_id, "score"))
+    # Queries and terms by number, as ids may be of any type.
+    needed = durable(needed.withColumn("query", F.monotonically_increasing_id()))
+    numbers = durable(known.select("term", "df").distinct().withColumn("number", F.monotonically_increasing_id()))
+    plan = known.join(needed, "query_id").join(numbers.select("term", "number"), "term").select("query", "number", "idf", "needed")
+    size = plan.agg(F.count(F.lit(1)), F.count_distinct("query")).first()
+    found = numbers.agg(F.sum("df")).first()[0] or 0
+    d_blocks, q_blocks = max(1, -(-found // BLOCK_POSTINGS)), max(1, -(-size[0] // BLOCK_WORDS), -(-size[1] // BLOCK_QUERIES))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    wanted = postings.where(F.col(doc_id).isNotNull()).join(numbers.select("term", "number"), "term")
+    left = wanted.select("number", doc_id, "tf", F.pmod(F.xxhash64(doc_id), F.lit(d_blocks)).cast("int").alias("d"), every(q_blocks).alias("q"))
+    right = plan.select("*", F.pmod(F.xxhash64("query"), F.lit(q_blocks)).cast("int").alias("q"), every(d_blocks).alias("d"))
+    kind = postings.schema[doc_id].dataType.simpleString()
+    best = left.groupBy("d", "q").cogroup(right.groupBy("d", "q")).applyInArrow(
+        _best_of_block(doc_id, max_results, match), f"query long, `{doc_id}` {kind}, score double"
+    )
+    w = Window.partitionBy("query").orderBy(F.desc("score"), doc_id)
+    best = best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max_results)
+    top = durable(best.join(needed, "query").select("query_id", "rank", doc_id, F.round("score", SCORE_DIGITS).alias("score")))
     documents = _opened(spark, f"{folder}/documents", top, doc_id, about["buckets"])
     return top.join(documents, doc_id).select("query_id", "rank", doc_id, "title", "url", F.col("text").alias("snippet"), "score")
 
 
-def _candidates(postings: DataFrame, plan: DataFrame, low: int, high: int, doc_id: str) -> DataFrame:
-    """(query_id, doc_id): documents with one of the terms in these places of their query."""
-    lead = plan.where(F.col("place").between(low, high)).select("query_id", "term")
-    return postings.join(lead, "term").select("query_id", doc_id).distinct()
-
-
-def _scored(postings: DataFrame, plan: DataFrame, candidates: DataFrame, doc_id: str) -> DataFrame:
-    """(query_id, doc_id, score, found, needed) over all terms of the query; meets on term and document."""
-    wanted = candidates.join(plan.select("query_id", "term", "idf", "needed"), "query_id")
-    met = wanted.join(postings, ["term", doc_id])
-    score = F.round(F.sum(F.col("tf") * F.col("idf")), SCORE_DIGITS).alias("score")
-    return met.groupBy("query_id", doc_id).agg(score, F.count("term").alias("found"), F.max("needed").alias("needed"))
+def _best_of_block(doc_id: str, k: int, match: str) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """(query, document, score): the k best documents of a block for each query of another block.
 
-
-def _until_safe(postings: DataFrame, plan: DataFrame, k: int, doc_id: str) -> DataFrame:
-    """Scores of candidates by ever more common terms, until no other document can reach the k best.
-
-    A document without any of the terms so far scores at most what the terms
-    left can give together. The number of terms doubles with each round.
+    Scores come from a matrix product over slices of documents; of equal scores
+    the smaller id is the better. ``match='all'`` leaves out documents without
+    all terms of the query.
     """
-    scored, live, low, high = None, plan, 1, 1
-    while True:
-        new = _candidates(postings, live, low, high, doc_id)
-        if scored is not None:
-            new = new.join(scored.select("query_id", doc_id), ["query_id", doc_id], "left_anti")
-        found = _scored(postings, plan, new, doc_id)
-        scored = durable(found if scored is None else scored.unionByName(found))
-        place = Window.partitionBy("query_id").orderBy(F.desc("score"))
-        kth = scored.withColumn("r", F.row_number().over(place)).where(F.col("r") == k).select("query_id", F.col("score").alias("kth"))
-        left = live.where(F.col("place") == F.least(F.lit(high), F.col("terms"))).where("rest is not null")
-        unsafe = left.join(kth, "query_id", "left").where(F.col("kth").isNull() | (F.col("rest") + SLACK >= F.col("kth")))
-        live = durable(live.join(unsafe.select("query_id"), "query_id", "left_semi"))
-        if live.isEmpty():
-            return scored
-        low, high = high + 1, 2 * high + 1
+
+    def run(postings: pa.Table, plan: pa.Table) -> pa.Table:
+        ids = postings[doc_id].combine_chunks()
+        names = ids.unique().sort()
+        hits = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        if len(names) and plan.num_rows:
+            queries, query = np.unique(plan["query"].to_numpy(), return_inverse=True)
+            words, word = np.unique(plan["number"].to_numpy(), return_inverse=True)
+            weight, uses = np.zeros((len(words), len(queries))), np.zeros((len(words), len(queries)))
+            np.add.at(weight, (word, query), plan["idf"].to_numpy())
+            np.add.at(uses, (word, query), 1.0)
+            needed = np.zeros(len(queries))
+            needed[query] = plan["needed"].to_numpy()
+            doc = pc.index_in(ids, names).to_numpy()
+            asked, tf = postings["number"].to_numpy(), postings["tf"].to_numpy()
+            at = np.minimum(np.searchsorted(words, asked), len(words) - 1)
+            own = words[at] == asked
+            order = doc[own].argsort(kind="stable")
+            doc, at, tf = doc[own][order], at[own][order], tf[own][order].astype(float)
+            step = max(1, CELLS // max(len(words), len(queries)))
+            for low in range(0, len(names), step):
+                first, last = np.searchsorted(doc, [low, low + step])
+                counts = np.zeros((min(step, len(names) - low), len(words)))
+                counts[doc[first:last] - low, at[first:last]] = tf[first:last]
+                score = np.round(counts @ weight, SCORE_DIGITS)
+                fits = score > 0
+                if match == "all":
+                    fits &= (counts > 0).astype(float) @ uses == needed
+                score = np.where(fits, score, -np.inf)
+                if len(score) > k:  # those below the k best of the slice go first
+                    fits &= score >= np.partition(score, len(score) - k, axis=0)[len(score) - k]
+                row, column = fits.nonzero()
+                hits = [np.concatenate(p) for p in zip(hits, (column, row + low, score[row, column]), strict=True)]
+                order = np.lexsort((hits[1], -hits[2], hits[0]))
+                hits = [h[order] for h in hits]
+                place = np.arange(len(order)) - np.searchsorted(hits[0], hits[0])
+                hits = [h[place < k] for h in hits]
+            hits[0] = queries[hits[0]]
+        columns = [pa.array(hits[0], pa.int64()), names.take(pa.array(hits[1])), pa.array(hits[2], pa.float64())]
+        return pa.Table.from_arrays(columns, ["query", doc_id, "score"])
+
+    return run
