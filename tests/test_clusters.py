@@ -405,3 +405,41 @@ def test_distances_of_blocks_measure_few_differences(monkeypatch):
             want = np.sqrt(((points[:, None] - points[None]) ** 2).sum(2))
         assert np.allclose(SI._distances(points, points), want, rtol=1e-8, atol=0, equal_nan=True)
         assert 0 < sum(measured) <= most
+
+
+def test_kmeans_works_on_different_rows_only(spark, monkeypatch):
+    rows = [(i, float(i % 20), float((i * i) % 20)) for i in range(400)]
+    df, seen, sums = spark.createDataFrame(rows, "row_id long, x double, y double"), [], LL._sums
+    monkeypatch.setattr(LL, "_sums", lambda points, *rest: seen.append(points.count()) or sums(points, *rest))
+    found = LL.fit_many(df, ["x", "y"], {3: 2})[3]
+    assert set(seen) == {20}
+    x = np.array([r[1:] for r in rows])
+    gaps = ((x[:, None] - found.points[None]) ** 2).sum(2)
+    assert abs(gaps.min(1).sum() - found.cost) < 1e-6  # every row counts
+    for c in range(3):
+        assert np.allclose(x[gaps.argmin(1) == c].mean(0), found.points[c], atol=0.2)
+
+
+@pytest.mark.parametrize("width", [2, 12])
+def test_sums_of_few_and_many_centres_agree_with_brute_force(spark, width):
+    draw = np.random.default_rng(4)
+    x, weight = draw.normal(size=(300, width)), draw.integers(1, 5, 300)
+    centers = [draw.normal(size=(k, width)) for k in (1, 3, 60)]
+    points = spark.createDataFrame([(v.tolist(), int(n)) for v, n in zip(x, weight)], "v array<double>, n long").repartition(3)
+    found, low = LL._sums(points, centers, np.zeros(width)), 0
+    for own in centers:
+        gaps = ((x[:, None] - own[None]) ** 2).sum(2)
+        for c in range(len(own)):
+            mine = gaps.argmin(1) == c
+            want = [weight[mine].sum(), *(x * weight[:, None])[mine].sum(0), (gaps[:, c] * weight)[mine].sum()]
+            assert np.allclose(found[low + c], want)
+        low += len(own)
+
+
+def test_the_first_of_equally_near_centres_among_many():
+    draw = np.random.default_rng(5)
+    centers = draw.integers(0, 4, (80, 3)).astype(float) + 1e8  # many are equal, far from the origin
+    x = draw.integers(0, 8, (200, 3)) / 2 + 1e8
+    place, gap = LL._first_nearest(x, centers)
+    gaps = ((x[:, None] - centers[None]) ** 2).sum(2)
+    assert (place == gaps.argmin(1)).all() and (gap == gaps.min(1)).all()
