@@ -443,3 +443,21 @@ def test_the_first_of_equally_near_centres_among_many():
     place, gap = LL._first_nearest(x, centers)
     gaps = ((x[:, None] - centers[None]) ** 2).sum(2)
     assert (place == gaps.argmin(1)).all() and (gap == gaps.min(1)).all()
+
+
+def test_silhouettes_of_many_settings_are_dealt_over_all_cores(spark):
+    draw = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, *map(float, draw.normal(size=2))) for i in range(90)], "row_id long, x double, y double")
+    labels = df.select("row_id", F.explode(F.array(F.lit("a"), F.lit("b"), F.lit("c"))).alias("setting"))
+    labels = labels.withColumn("label", F.when(F.col("setting") == "c", F.lit(1)).otherwise(F.col("row_id") % F.when(F.col("setting") == "a", 2).otherwise(5)).cast("long"))
+    found, seen, run = SI.mean_silhouettes(df, labels, ["x", "y"]), [], type(df).mapInArrow
+    for name, k in (("a", 2), ("b", 5)):
+        want = SI.mean_silhouette(df.withColumn("prediction", F.col("row_id") % k), ["x", "y"])
+        assert abs(found[name] - want) < 1e-9
+    assert found["c"] is None
+    try:
+        type(df).mapInArrow = lambda self, *a, **kw: seen.append(self.rdd.getNumPartitions()) or run(self, *a, **kw)
+        SI.mean_silhouettes(df, labels, ["x", "y"])
+    finally:
+        type(df).mapInArrow = run
+    assert seen and seen[0] >= 2 * spark.sparkContext.defaultParallelism
