@@ -251,3 +251,12 @@ def test_search_in_many_blocks_gives_the_rows_of_one_block(spark, tmp_path, monk
     found = I.search_index(folder, queries, 4, match)
     assert found.select(*order).orderBy(*order).collect() == want and len(want) > 20
     assert all(r["doc_id"] is not None for r in want)
+
+
+def test_pages_are_parsed_in_lots_of_few_characters():
+    import pandas as pd
+
+    bodies = pd.Series(["x" * 300_000, None, "y" * 300_000, "z" * 2_000_000, "", "w"])
+    assert list(H.lots(bodies)) == [(0, 2), (2, 3), (3, 4), (4, 6)]
+    assert list(H.lots(pd.Series(["a"] * 600))) == [(0, 256), (256, 512), (512, 600)]
+    assert list(H.lots(pd.Series([], dtype=object))) == []

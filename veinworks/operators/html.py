@@ -33,7 +33,7 @@ NODE_SCHEMA = (
     "classes:array<string>,start:int,length:int,mark:string>>"
 )
 P_RULES = ("literal", "html5")
-PAGES_PER_LOT = 256
+PAGES_PER_LOT, CHARACTERS_PER_LOT = 256, 500_000  # a longer page is a lot of its own
 
 
 class _Nodes(HTMLParser):
@@ -154,6 +154,19 @@ def parse_page(html: str, p_rule: str = "literal") -> tuple[str, list[dict]]:
     return parser.finish()
 
 
+def lots(bodies: pd.Series) -> Iterator[tuple[int, int]]:
+    """Stretches of few pages and few characters, in which nodes are made and handed on."""
+    start = size = 0
+    for place, body in enumerate(bodies):
+        own = len(body) if body is not None else 0
+        if place > start and (place - start >= PAGES_PER_LOT or size + own > CHARACTERS_PER_LOT):
+            yield start, place
+            start, size = place, 0
+        size += own
+    if len(bodies):
+        yield start, len(bodies)
+
+
 def parse_pages(
     pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url"), p_rule: str = "literal"
 ) -> DataFrame:
@@ -177,8 +190,8 @@ def parse_pages(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             # Nodes take more room than their page: hand them on in small lots.
-            for start in range(0, len(batch), PAGES_PER_LOT):
-                lot = batch.iloc[start : start + PAGES_PER_LOT]
+            for start, end in lots(batch["_html"]):
+                lot = batch.iloc[start:end]
                 found = [read(body) for body in lot["_html"]]
                 yield lot.drop(columns="_html").assign(
                     text=[f[0] for f in found], nodes=[f[1] for f in found], error=[f[2] for f in found]
