@@ -1,6 +1,7 @@
 """Markup cases for extraction, term search and stored result pages."""
 
 import random
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -260,3 +261,42 @@ def test_pages_are_parsed_in_lots_of_few_characters():
     assert list(H.lots(bodies)) == [(0, 2), (2, 3), (3, 4), (4, 6)]
     assert list(H.lots(pd.Series(["a"] * 600))) == [(0, 256), (256, 512), (512, 600)]
     assert list(H.lots(pd.Series([], dtype=object))) == []
+
+
+PLAIN_PAGES = [
+    "<h2>Orders</h2><table><tr><th>key</th><th>state</th></tr>\n<tr><td> 1</td><td><b>O</b></td></tr></table>",
+    "<table><tr><td>1<tr><td>2</table> <p>a<p>b<pre> \n </pre><br><script>x = 1</script>c",
+    "<title>a<b>c</title><p>x &amp; y</p><textarea> <b> </textarea></i></p><tr><tr><td>d</tr></tr>e<",
+]
+
+
+@pytest.mark.parametrize("html", PLAIN_PAGES)
+@pytest.mark.parametrize("p_rule", H.P_RULES)
+def test_plain_tags_are_read_as_other_tags_are(html, p_rule):
+    assert H.parse_page(html, p_rule) == H.parse_page(html.replace(">", " >"), p_rule)  # no tag is plain then
+
+
+def test_plain_tags_take_few_calls():
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    page = "<table>" + "<tr><td>1</td><td><b>O</b></td></tr>\n" * 50 + "</table>"
+    sys.setprofile(count)
+    try:
+        nodes = H.parse_page(page)[1]
+    finally:
+        sys.setprofile(None)
+    assert len(nodes) == 201 and calls < 40 * len(nodes)
+
+
+def test_nodes_as_columns_are_those_of_the_page(spark):
+    pages = ["<div class='a b' id=\"é\"><p class>x</p></div>", "", None, *PLAIN_PAGES, "<![foo]>"]
+    rows = spark.createDataFrame([(i, "u", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in X.parsed_pages(rows).collect()}
+    assert [got[2]["text"], got[2]["nodes"], got[2]["error"]] == [None, [], "no page body"]
+    assert got[6]["nodes"] == [] and got[6]["error"]
+    for i in (0, 1, 3, 4, 5):
+        assert (got[i]["text"], [n.asDict() for n in got[i]["nodes"]]) == H.parse_page(pages[i]) and got[i]["error"] is None

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence, Sized
 from html import unescape
 from html.entities import html5
 from html.parser import HTMLParser
+from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veinworks.functions.text import strip
@@ -26,13 +27,24 @@ VOID_TAGS = frozenset(
 )
 HIDDEN_TAGS = frozenset("script style template rt rp".split())
 KEEP_SPACE_TAGS = frozenset("pre textarea".split())
+TEXT_TAGS = frozenset("script style textarea title iframe noembed noframes noscript xmp plaintext".split())  # markup may end with them
 ASCII_SPACES = " \n\t\f\r"
 
 NODE_SCHEMA = (
     "array<struct<node:int,parent:int,previous:int,last:int,tag:string,attrs:map<string,string>,"
     "classes:array<string>,start:int,length:int,mark:string>>"
 )
+NODE_TYPES = {
+    "node": pa.int32(), "parent": pa.int32(), "previous": pa.int32(), "last": pa.int32(), "tag": pa.string(),
+    "attrs": pa.map_(pa.string(), pa.string()), "classes": pa.list_(pa.string()), "start": pa.int32(), "length": pa.int32(), "mark": pa.string(),
+}
+# Places of a node's fields while it is read.
+LAST, TAG, START, LENGTH, MARK, NEWEST = 3, 4, 7, 8, 9, 10
+NO_ATTRS: dict[str, str] = {}
+NO_CLASSES: list[str] = []
+NO_NODES: dict[str, Sequence] = {name: () for name in NODE_TYPES}
 P_RULES = ("literal", "html5")
+_PLAIN = re.compile(r"([^<&]*)<(/?)([a-zA-Z][a-zA-Z0-9]*)>")
 PAGES_PER_LOT, CHARACTERS_PER_LOT = 256, 500_000  # a longer page is a lot of its own
 
 
@@ -47,71 +59,116 @@ class _Nodes(HTMLParser):
     def __init__(self, p_rule: str):
         super().__init__(convert_charrefs=False)
         self.p_rule = p_rule
-        self.nodes: list[dict] = []
-        self.open: list[int] = []
-        self.newest: dict[int, int] = {}  # last child so far of each parent
+        self.nodes: list[list] = []  # the fields of NODE_TYPES, and the last child so far
+        self.top = [-1] * (NEWEST + 1)
+        self.open: list[list] = []
+        self.hidden = self.spaced = self.rows = 0  # open elements: not shown, with kept white space, rows of tables
         self.text: list[str] = []
         self.length = 0
         self.pending: list[str] = []
-        self.trace: list[str] = []
+        self.trace: list[str] = []  # events inside rows of tables
+        self.traced: list[int] = []  # where the trace of each open row begins
 
     def _flush(self) -> None:
+        if not self.pending:
+            return
         data = "".join(self.pending)
         self.pending = []
         if not data:
             return
-        tags = {self.nodes[i]["tag"] for i in self.open}
-        if not data.strip(ASCII_SPACES) and not tags & KEEP_SPACE_TAGS:
+        if not self.spaced and not data.strip(ASCII_SPACES):
             data = "\n" if "\n" in data else " "
-        self.trace.append("\x00t" + data)
-        if not tags & HIDDEN_TAGS:
+        if self.rows:
+            self.trace.append("\x00t" + data)
+        if not self.hidden:
             self.text.append(data)
             self.length += len(data)
 
     def _close(self, depth: int) -> None:
+        last = len(self.nodes) - 1
         while len(self.open) > depth:
-            node = self.nodes[self.open.pop()]
-            node["last"] = len(self.nodes) - 1
-            node["length"] = self.length - node["start"]
-            if node["tag"] == "tr":
-                own = "".join(self.trace[node["_trace"] :])
-                node["mark"] = hashlib.md5(own.encode("utf-8", "surrogatepass")).hexdigest()
-            self.trace.append("\x00e")
-
-    def handle_starttag(self, tag, attrs):
-        self._flush()
+            node = self.open.pop()
+            node[LAST], node[LENGTH] = last, self.length - node[START]
+            tag = node[TAG]
+            if tag == "tr":
+                own = "".join(self.trace[self.traced.pop() :])
+                node[MARK] = hashlib.md5(own.encode("utf-8", "surrogatepass")).hexdigest()
+                self.rows -= 1
+                if not self.rows:
+                    self.trace = []
+            elif tag in HIDDEN_TAGS:
+                self.hidden -= 1
+            elif tag in KEEP_SPACE_TAGS:
+                self.spaced -= 1
+            if self.rows:
+                self.trace.append("\x00e")
+
+    def _begin(self, tag: str, attrs: dict[str, str]) -> None:
+        if self.pending:
+            self._flush()
         if tag == "p" and self.p_rule == "html5":
             self.handle_endtag("p")
-        found = {k: v if v is not None else "" for k, v in attrs}
-        parent = self.open[-1] if self.open else -1
-        previous, self.newest[parent] = self.newest.get(parent, -1), len(self.nodes)
-        self.nodes.append(
-            {
-                "node": len(self.nodes),
-                "parent": parent,
-                "previous": previous,
-                "tag": tag,
-                "attrs": found,
-                "classes": found.get("class", "").split(),
-                "start": self.length,
-                "mark": None,
-                "_trace": len(self.trace),
-            }
-        )
-        self.trace.append("\x00s" + tag + repr(sorted(found.items())))
-        self.open.append(len(self.nodes) - 1)
+        number, above = len(self.nodes), self.open[-1] if self.open else self.top
+        classes = attrs.get("class", "").split() if attrs else NO_CLASSES
+        node = [number, above[0], above[NEWEST], number, tag, attrs, classes, self.length, 0, None, -1]
+        above[NEWEST] = number
+        self.nodes.append(node)
+        self.open.append(node)
+        if tag == "tr":
+            self.rows += 1
+            self.traced.append(len(self.trace))
+        elif tag in HIDDEN_TAGS:
+            self.hidden += 1
+        elif tag in KEEP_SPACE_TAGS:
+            self.spaced += 1
+        if self.rows:
+            self.trace.append(f"\x00s{tag}{sorted(attrs.items())!r}" if attrs else f"\x00s{tag}[]")
         if tag in VOID_TAGS:
             self._close(len(self.open) - 1)
 
+    def _plain(self, place: int) -> int:
+        """Take text and tags without attributes from ``place`` on, up to anything else."""
+        match, page = _PLAIN.match, self.rawdata
+        while (found := match(page, place)) is not None:
+            data, end, tag = found.groups()
+            tag = tag.lower()
+            if not end and tag in TEXT_TAGS:
+                break
+            if data:
+                self.pending.append(data)
+            if end:
+                self.handle_endtag(tag)
+            else:
+                self._begin(tag, NO_ATTRS)
+            place = found.end()
+        return place
+
+    def updatepos(self, i, j):
+        return j  # line numbers are not asked for
+
+    def parse_starttag(self, i):
+        end = self._plain(i)
+        if end == i:
+            end = super().parse_starttag(i)
+        return end if end < 0 or self.cdata_elem is not None else self._plain(end)
+
+    def parse_endtag(self, i):
+        end = super().parse_endtag(i)
+        return end if end < 0 or self.cdata_elem is not None else self._plain(end)
+
+    def handle_starttag(self, tag, attrs):
+        self._begin(tag, {k: v if v is not None else "" for k, v in attrs})
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID_TAGS:
             self._close(len(self.open) - 1)
 
     def handle_endtag(self, tag):
-        self._flush()
+        if self.pending:
+            self._flush()
         for depth in range(len(self.open) - 1, -1, -1):
-            if self.nodes[self.open[depth]]["tag"] == tag:
+            if self.open[depth][TAG] == tag:
                 self._close(depth)
                 return
 
@@ -127,7 +184,8 @@ class _Nodes(HTMLParser):
 
     def handle_comment(self, data):
         self._flush()
-        self.trace.append("\x00c" + data)
+        if self.rows:
+            self.trace.append("\x00c" + data)
 
     def handle_decl(self, decl):
         self._flush()
@@ -139,32 +197,54 @@ class _Nodes(HTMLParser):
         if data.upper().startswith("CDATA["):
             self.pending.append(data[len("CDATA[") :])
 
-    def finish(self) -> tuple[str, list[dict]]:
+    def finish(self) -> tuple[str, dict[str, Sequence]]:
+        """The text, and per field the values of all nodes."""
         self.close()
         self._flush()
         self._close(0)
-        for node in self.nodes:
-            del node["_trace"]
-        return "".join(self.text), self.nodes
+        return "".join(self.text), dict(zip(NODE_TYPES, zip(*self.nodes, strict=True))) if self.nodes else NO_NODES
 
 
-def parse_page(html: str, p_rule: str = "literal") -> tuple[str, list[dict]]:
+def _parsed(html: str, p_rule: str) -> tuple[str, dict[str, Sequence]]:
     parser = _Nodes(p_rule)
     parser.feed(html)
     return parser.finish()
 
 
-def lots(bodies: pd.Series) -> Iterator[tuple[int, int]]:
+def parse_page(html: str, p_rule: str = "literal") -> tuple[str, list[dict]]:
+    text, fields = _parsed(html, p_rule)
+    return text, [dict(zip(fields, node, strict=True)) for node in zip(*fields.values(), strict=True)]
+
+
+def _offsets(lists: Iterable[Sized]) -> pa.Array:
+    return pa.array([0, *accumulate(map(len, lists))], pa.int32())
+
+
+def _node_lists(pages: Sequence[dict[str, Sequence]]) -> pa.Array:
+    """The nodes of each page as one list of structs, made field by field."""
+    fields = {name: [value for page in pages for value in page[name]] for name in NODE_TYPES}
+    attrs, classes = fields["attrs"], fields["classes"]
+    keys, values = [k for a in attrs for k in a], [v for a in attrs for v in a.values()]
+    columns = fields | {
+        "attrs": pa.MapArray.from_arrays(_offsets(attrs), pa.array(keys, pa.string()), pa.array(values, pa.string())),
+        "classes": pa.ListArray.from_arrays(_offsets(classes), pa.array([c for own in classes for c in own], pa.string())),
+    }
+    arrays = [c if isinstance(c, pa.Array) else pa.array(c, NODE_TYPES[name]) for name, c in columns.items()]
+    nodes = pa.StructArray.from_arrays(arrays, fields=[pa.field(name, kind) for name, kind in NODE_TYPES.items()])
+    return pa.ListArray.from_arrays(_offsets([page["tag"] for page in pages]), nodes)
+
+
+def lots(bodies: Iterable[str | None]) -> Iterator[tuple[int, int]]:
     """Stretches of few pages and few characters, in which nodes are made and handed on."""
-    start = size = 0
+    start = size = end = 0
     for place, body in enumerate(bodies):
-        own = len(body) if body is not None else 0
+        own, end = len(body) if body is not None else 0, place + 1
         if place > start and (place - start >= PAGES_PER_LOT or size + own > CHARACTERS_PER_LOT):
             yield start, place
             start, size = place, 0
         size += own
-    if len(bodies):
-        yield start, len(bodies)
+    if end:
+        yield start, end
 
 
 def parse_pages(
@@ -181,24 +261,26 @@ def parse_pages(
 
     def read(body):
         if body is None:
-            return None, [], "no page body"
+            return None, NO_NODES, "no page body"
         try:
-            return *parse_page(body, p_rule), None
+            return *_parsed(body, p_rule), None
         except (AssertionError, ValueError) as problem:
-            return None, [], str(problem)
+            return None, NO_NODES, str(problem)
+
+    names = [*keep, "text", "nodes", "error"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            bodies = batch.column(len(keep)).to_pylist()
             # Nodes take more room than their page: hand them on in small lots.
-            for start, end in lots(batch["_html"]):
-                lot = batch.iloc[start:end]
-                found = [read(body) for body in lot["_html"]]
-                yield lot.drop(columns="_html").assign(
-                    text=[f[0] for f in found], nodes=[f[1] for f in found], error=[f[2] for f in found]
-                )
+            for start, end in lots(bodies):
+                text, nodes, error = zip(*map(read, bodies[start:end]), strict=True)
+                lot = batch.slice(start, end - start).columns[: len(keep)]
+                made = [pa.array(text, pa.string()), _node_lists(nodes), pa.array(error, pa.string())]
+                yield pa.RecordBatch.from_arrays([*lot, *made], names)
 
     kept = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep)
-    return source.mapInPandas(run, f"{kept}, text string, nodes {NODE_SCHEMA}, error string")
+    return source.mapInArrow(run, f"{kept}, text string, nodes {NODE_SCHEMA}, error string")
 
 
 def node_table(parsed: DataFrame, key: str = "page_id") -> DataFrame:
