@@ -461,3 +461,18 @@ def test_silhouettes_of_many_settings_are_dealt_over_all_cores(spark):
     finally:
         type(df).mapInArrow = run
     assert seen and seen[0] >= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_candidates_for_starts_do_not_grow_with_the_rows(spark):
+    draws = LL._draws(np.array([-(2**63), -1, 0, 2**63 - 1]))
+    assert draws.min() == 0 and draws.max() <= 1
+    shift = np.zeros(2)
+    for rows in (4_000, 16_000):
+        points = spark.range(rows).select(
+            F.array((F.col("id") % 127).cast("double"), F.col("id").cast("double") / 100).alias("v"), F.lit(1).cast("long").alias("n")
+        )
+        pool, weight = LL._pool(points, rows, shift, 3, 42)
+        assert 3 <= len(pool) <= 2 * LL.POOL_ROUNDS * LL.POOL_LEAST and weight.sum() == rows
+    few = spark.createDataFrame([([1.0, 2.0], 3), ([0.0, 5.0], 1)], "v array<double>, n long")
+    pool, weight = LL._pool(few, 2, shift, 3, 42)
+    assert pool.tolist() == [[0.0, 5.0], [1.0, 2.0]] and weight.tolist() == [1, 3]
