@@ -253,6 +253,24 @@ def test_micro_clusters_stand_for_their_rows(spark, linkage):
     assert grouped(found, "k4") == {frozenset(range(i, 400, 4)) for i in range(4)}
 
 
+@pytest.mark.parametrize("linkage", LK.LINKAGES)
+def test_hierarchies_are_exact_beyond_one_matrix(spark, linkage, monkeypatch):
+    rng = np.random.default_rng(31)
+    points = [tuple(p) for c in (0.0, 5.0) for p in rng.normal(c, 1.0, (30, 2)).tolist()] + [(40.0, 40.0), (43.0, 40.0)]
+    points += points[:5]  # copies
+    df, cols = frame(spark, points)
+    monkeypatch.setattr(LK._write_runs, "__defaults__", (7,))  # a cluster of several blocks
+    found = LK.linkage_labels(df, cols, [2, 3, 6, 45], linkage, micro=12)
+    for k in (2, 3, 6, 45):
+        assert grouped(found, f"k{k}") == plain_linkage(points, k, linkage)
+
+
+def test_rows_with_a_gap_have_no_place_in_a_hierarchy(spark):
+    df = spark.createDataFrame([(0, 1.0), (1, None), (2, 5.0), (3, 1.5), (4, float("nan"))], "row_id long, x double")
+    for micro in (LK.MICRO, 2):
+        assert {r["row_id"]: r["k2"] for r in LK.linkage_labels(df, ["x"], [2], micro=micro).collect()} == {0: 0, 1: None, 2: 1, 3: 0, 4: None}
+
+
 def test_lloyd_equals_one_fit_at_a_time(spark):
     points = blobs(90, 2, 3, 23, 0.6)
     df, cols = frame(spark, points)
