@@ -122,6 +122,37 @@ def test_nearest_neighbors_equal_brute_force(spark, block, n, dims):
         assert [j for _, j in sorted(got[i])] == [j for _, j in want]
 
 
+def test_pairs_of_blocks_copy_no_rows(spark, monkeypatch):
+    points = blobs(200, 3, 3, 41, 1.0)
+    df, cols = frame(spark, points, [i % 3 for i in range(200)])
+    written = []
+    for module in (NB, SI):  # rows go into files once, and no row is exploded over blocks
+        monkeypatch.setattr(module, "deal", lambda *a, deal=module.deal: written.append(deal(*a)) or written[-1])
+    monkeypatch.setattr(SI, "BLOCK_ROWS", 20)
+    near = NB.nearest_neighbors(df, cols, 4, block_rows=20)
+    scores = SI.silhouette_samples(df, cols, metric="euclidean")
+    assert [sum(b.n for b in known) for known in written] == [200, 200] and all(b.n < 60 for known in written for b in known)
+    for made in (near, scores):
+        plan = made._jdf.queryExecution().toString()
+        assert "Generate" not in plan and "FlatMapCoGroups" not in plan
+    assert near.count() == 800 and scores.count() == 200
+
+
+def test_neighbors_of_equal_ids_are_shared(spark):
+    twice = spark.createDataFrame([(0, 0.0), (0, 10.0), (1, 1.0), (2, 9.5), (3, 30.0)], "row_id long, x double")
+    got = [(r["query_id"], r["rank"], r["neighbor_id"]) for r in NB.nearest_neighbors(twice, ["x"], 2).where("query_id < 2").orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 2), (0, 2, 1), (1, 1, 0), (1, 2, 2)]
+
+
+def test_the_segmentation_looks_at_the_neighbours_of_all_rows(spark, monkeypatch):
+    df, cols = frame(spark, blobs(60, 2, 3, 42, 0.3))
+    whole = NB.neighbor_distance_range(df, cols, sample=None)
+    monkeypatch.setattr(NB.neighbor_distance_range, "__defaults__", ("row_id", 42, 5))
+    found = K.segmentation(df, (2, 3), all_columns=True, methods=("dbscan",))["results"]["DBSCAN"]["sweep"]
+    tried = sorted({r["eps"] for r in found.collect()})
+    assert (tried[0], tried[-1]) == pytest.approx(whole)
+
+
 def test_neighbors_within_groups_and_for_other_rows(spark):
     points = blobs(60, 2, 3, 8)
     df, cols = frame(spark, points, extra=[i % 3 for i in range(60)])
