@@ -208,6 +208,15 @@ def test_batches_cover_all_rows_and_respect_the_size(spark):
     assert out.count() == 1005 and out.agg(F.max("n")).first()[0] <= 100
 
 
+def test_a_forest_keeps_the_nodes_of_rows_and_grows_the_same_trees(spark):
+    rows = [(i, float(i * 7 % 31), float(i * 5 % 17), int(i * i % 7 < 3)) for i in range(120)]
+    df = spark.createDataFrame(rows, "row_id long, a double, b double, label int")
+    fitted = M.fit_forest(df, ["a", "b"], "label", "row_id", n_estimators=4, max_depth=12)
+    plain = M.RandomForestClassifier(labelCol="label", numTrees=4, maxDepth=12, seed=M.SEED).fit(M.with_vectors(df, ["a", "b"]))
+    nodes = lambda m: m.toDebugString.split("\n", 1)[1]  # noqa: E731  (the first line has a name of its own)
+    assert fitted.model.getCacheNodeIds() and nodes(fitted.model) == nodes(plain)
+
+
 def test_a_forest_grown_in_lots_scores_as_all_its_trees(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(M, "ROWS_PER_LOT", 200)
     rows = [(i % 70, float(i % 17), float(i * i % 23), int(i % 17 > 8)) for i in range(80)]  # row ids repeat
