@@ -355,6 +355,18 @@ def test_kmeans_takes_the_cheapest_start_and_the_sweep_finds_k(spark):
     assert K.cluster_counts_to_try((2, 10), 45) == [2, 3, 4]
 
 
+def test_a_start_is_the_best_of_a_few_draws():
+    pool = np.arange(40.0)[:, None]
+    cost = lambda c: ((pool - c[:, 0]) ** 2).min(1).sum()
+    for seed in range(5):
+        rng, one = np.random.default_rng(seed), np.random.default_rng(seed)
+        first = int(one.choice(40, p=np.full(40, 1 / 40)))
+        p = (pool[:, 0] - first) ** 2
+        drawn = one.choice(40, 2, p=p / p.sum())
+        found = LL._start(pool, np.ones(40), 2, rng)
+        assert cost(found) == min(cost(pool[[first, d]]) for d in drawn)
+
+
 def test_nearest_center_breaks_ties_by_number(spark):
     df, cols = frame(spark, [(0.0,), (2.0,), (1.0,)])
     out = {r["row_id"]: r["prediction"] for r in K.nearest_center(df, cols, [[0.0], [2.0]]).collect()}
